@@ -28,8 +28,8 @@ def _decoder(headings_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
     def decode(batches):
         import io
         import posixpath
-        import re
         import zipfile
+        from functools import cache
         from xml.etree.ElementTree import iterparse
 
         import pyarrow as pa
@@ -44,51 +44,54 @@ def _decoder(headings_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             ]
         )
 
-        def local(tag):
-            return tag.rsplit("}", 1)[-1]
+        def plain(tag):
+            return tag.rpartition("}")[2]
 
         def elements(book, part, name):
+            """Elements of that name, emptied once used so that memory stays flat."""
             with book.open(part) as stream:
                 for _, node in iterparse(stream):
-                    if local(node.tag) == name:
+                    if node.tag.endswith(name) and plain(node.tag) == name:
                         yield node
                         node.clear()
 
         def text_of(node):
             # Phonetic runs (rPh) annotate the text, they are not part of it.
-            if local(node.tag) == "rPh":
+            name = plain(node.tag)
+            if name == "rPh":
                 return ""
-            own = (node.text or "") if local(node.tag) == "t" else ""
-            return own + "".join(text_of(child) for child in node)
+            own = (node.text or "") if name == "t" else ""
+            return own + "".join(map(text_of, node))
 
-        def column_number(ref):
+        @cache
+        def column_number(letters):
             number = 0
-            for letter in re.match(r"[A-Z]+", ref).group():
+            for letter in letters:
                 number = number * 26 + ord(letter) - 64
             return number - 1
 
         def cell_text(cell, shared):
-            kind = cell.get("t", "n")
-            parts = {local(child.tag): child for child in cell}
-            if kind == "inlineStr":
-                return text_of(parts["is"]) if "is" in parts else None
-            raw = parts["v"].text if "v" in parts else None
-            if raw is None or kind == "e":
-                return None
-            if kind == "s":
-                return shared[int(raw)]
-            if kind == "b":
-                return "True" if raw == "1" else "False"
-            return raw
+            kind = cell.get("t")
+            for child in cell:
+                if child.tag.endswith("}is"):
+                    return text_of(child)
+                if child.tag.endswith("}v") and child.text is not None and kind != "e":
+                    raw = child.text
+                    if kind == "s":
+                        return shared[int(raw)]
+                    if kind == "b":
+                        return "True" if raw == "1" else "False"
+                    return raw
+            return None
 
         def sheet_rows(book, part, shared):
             for count, row in enumerate(elements(book, part, "row"), start=1):
                 cells = {}
-                for position, cell in enumerate(c for c in row if local(c.tag) == "c"):
-                    ref = cell.get("r")
-                    place = column_number(ref) if ref else position
+                for position, cell in enumerate(row):
                     value = cell_text(cell, shared)
                     if value is not None:
+                        ref = cell.get("r")
+                        place = column_number(ref.rstrip("0123456789")) if ref else position
                         cells[place] = value
                 if cells:
                     yield int(row.get("r", count)), cells
@@ -112,7 +115,7 @@ def _decoder(headings_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
             if "xl/sharedStrings.xml" in book.namelist():
                 shared = [text_of(n) for n in elements(book, "xl/sharedStrings.xml", "si")]
             tabs = [
-                (n.get("name"), next(v for k, v in n.attrib.items() if local(k) == "id"))
+                (n.get("name"), next(v for k, v in n.attrib.items() if plain(k) == "id"))
                 for n in elements(book, "xl/workbook.xml", "sheet")
             ]
             for index, (name, link) in enumerate(tabs):
@@ -126,8 +129,9 @@ def _decoder(headings_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                             yield path, name, index, row_no, [(n, n) for n in names.values()]
                             break
                         continue
-                    filled = [(names.get(p, f"Unnamed: {p}"), v) for p, v in cells.items()]
-                    yield path, name, index, row_no, filled
+                    yield path, name, index, row_no, [
+                        (names.get(p, f"Unnamed: {p}"), v) for p, v in cells.items()
+                    ]
 
         def as_batch(rows):
             columns = zip(*rows)

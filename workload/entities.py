@@ -24,7 +24,7 @@ from workload.cells import NBSP, dirty_region
 from workload.registry import STAMP, cents, query, school_year, table, through_table
 from workload.xlsx import as_workbooks
 
-ROWS_PER_WORKBOOK = 5000
+ROWS_PER_WORKBOOK = 2000
 
 
 def with_regions(spark: SparkSession, sf_dir: str) -> DataFrame:

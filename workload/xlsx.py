@@ -1,7 +1,5 @@
 """Workbooks made from tables, as input for the workbook scan."""
 
-from __future__ import annotations
-
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
@@ -84,7 +82,7 @@ def as_workbooks(
     tabs = {name: list(cols) for name, cols in columns.items()}
     make = workbook_bytes
 
-    def pack(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         book = {}
         for name, cols in tabs.items():
             part = rows.loc[rows[tab] == name, cols].astype(object)
@@ -92,4 +90,7 @@ def as_workbooks(
         path = f"{stem}_{key[0]:012d}.xlsx"
         return pd.DataFrame({"path": [path], "content": [make(book)]})
 
-    return df.groupBy(F.col(group)).applyInPandas(pack, "path string, content binary")
+    books = df.groupBy(F.col(group)).applyInPandas(pack, "path string, content binary")
+    # Decoding is slow per byte, so keep the workbooks in as many parts as the session runs.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return books.repartition(parts, "path")
