@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from limpid.functions.text import BLANK, squish
+from limpid.functions.text import BLANKS, squish
 
 # A cast alone is too lenient: Spark reads "12d" as 12 and "nan" as NaN.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+WHOLE = r"^([+-]?\d+)(\.0*)?$"
 INFINITY = float("inf")
 
 
@@ -18,9 +19,10 @@ def to_number(col: Column, grouped: bool = False) -> Column:
     ``grouped`` also accepts blanks between digits (``1 245``, NBSP included).
     """
     text = col.cast("string")
-    text = F.regexp_replace(text, rf"(?U){BLANK}", "") if grouped else squish(text)
-    number = F.when(text.rlike(NUMBER), text).try_cast("double")
-    return F.when(F.abs(number) < INFINITY, number)
+    text = F.translate(text, BLANKS, "") if grouped else squish(text)
+    # regexp_substr and nullif name their input once, so the text is cleaned once.
+    number = F.regexp_substr(text, F.lit(NUMBER)).try_cast("double")
+    return F.nullif(F.nullif(number, F.lit(INFINITY)), F.lit(-INFINITY))
 
 
 def to_count(col: Column) -> Column:
@@ -29,9 +31,9 @@ def to_count(col: Column) -> Column:
 
 
 def to_year(col: Column) -> Column:
-    """Whole calendar year, or NULL."""
-    number = to_number(col)
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+    """Whole calendar year (``2023`` or ``2023.0``), or NULL."""
+    digits = F.regexp_extract(squish(col.cast("string")), WHOLE, 1)
+    return digits.try_cast("bigint")
 
 
 def round_half_up(col: Column, digits: int) -> Column:

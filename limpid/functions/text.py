@@ -8,9 +8,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U) makes \s cover NBSP and the other Unicode blanks; the four separators
-# U+001C..U+001F count as blanks too.
-BLANK = r"[\s\x1c-\x1f]"
+# All Unicode blanks: tabs, line ends, NBSP, the wide and narrow spaces.
+BLANKS = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 
 # Cell texts that a reader takes for "no value".
 READER_NULLS = (
@@ -65,7 +64,7 @@ REGIONS = ("Savanes", "Kara", "Centrale", "Plateaux", "Maritime")
 
 def squish(col: Column) -> Column:
     """Strip blanks at both ends, Unicode blanks and tabs included."""
-    return F.regexp_replace(col, rf"(?U)^{BLANK}+|{BLANK}+$", "")
+    return F.btrim(col, F.lit(BLANKS))
 
 
 def nullify_tokens(col: Column, tokens: Sequence[str], strip: bool = False) -> Column:

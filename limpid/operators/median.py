@@ -1,102 +1,164 @@
 """Exact medians of groups of any size.
 
 ``F.median`` keeps every distinct value of a group in one task's memory, which is
-used only up to ``IN_MEMORY_ROWS`` rows of the whole table. Beyond, values are
-counted first, cut at common edges into buckets, and only the bucket holding the
-middle rank of each group is ordered. Wherever the edges lie the result is exact:
-they only decide how the work is spread.
-
-- rows are reduced to (group, value, count) by partial aggregates, and that
-  shuffle is keyed by group *and* value, so a hot group is spread over all tasks;
-- a group then has at most ``PARTS`` bucket counts, which are cumulated;
-- the join and the last window are keyed by group and bucket.
+used only up to ``IN_MEMORY_ROWS`` values of the whole table. Beyond, the middle
+ranks are narrowed down in rounds, as in selection by pivots:
+
+1. ``PARTS - 1`` pivots are drawn from the values still in play;
+2. rows are counted per group and bucket, a bucket being one pivot or the gap
+   between two (a partial aggregate: groups times buckets are shuffled, not rows);
+3. each group keeps the one or two buckets that hold its middle ranks. A pivot
+   bucket is an answer; the rows of a gap, some ``1 / PARTS`` of them, stay in play.
+
+Rounds end when no gap holds more than ``IN_MEMORY_ROWS`` rows, and a last window
+ranks what is left. Wherever the pivots lie the result is exact: they only decide
+how fast the rounds shrink. Rows are not shuffled to find their bucket unless the
+kept buckets are too many to broadcast, which Spark sees from the size of their
+table.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PARTS = 256
+from limpid.sources.scratch import scratch_folder
+from limpid.sources.tables import read_table, write_table
+
+# Few enough for the search to stay one small compiled method.
+PARTS = 32
+# Pivots need not be precise: samples kept per sketch.
+SKETCH = 1000
+SLOTS = 1024
 IN_MEMORY_ROWS = 1_000_000
+# Ordering so few rows is cheaper than one more round.
+FEW_ROWS = 1000
 
 
 def _numbers(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
     number = F.col(value).cast("double")
-    present = df.select(*groups, number.alias(value)).where(F.col(value).isNotNull())
-    return present.where(~F.isnan(value))
+    present = df.select(*groups, number.alias(value)).where(~F.isnan(value))
+    return present.na.drop()
+
+
+def _cut(df: DataFrame, purpose: str) -> DataFrame:
+    path = scratch_folder(df.sparkSession, purpose)
+    write_table(df, path)
+    return read_table(df.sparkSession, path)
 
 
 def value_spread(df: DataFrame, value: str, parts: int = PARTS) -> tuple[int, list[float]]:
-    """Number of values, and at most ``parts - 1`` cut points of roughly equal weight."""
+    """Number of values, and at most ``parts - 1`` pivots of roughly equal weight.
+
+    Sketches are merged per slot of scan tasks first, then the slots' pivots, so
+    no task merges the sketches of the whole cluster.
+    """
     shares = [i / parts for i in range(1, parts)]
-    found = (
+    slot = (F.spark_partition_id() % SLOTS).alias("slot")
+    slots = (
         _numbers(df, value, [])
-        .agg(F.count(value).alias("rows"), F.percentile_approx(value, shares).alias("edges"))
-        .first()
+        .groupBy(slot)
+        .agg(F.count(value).alias("rows"), F.percentile_approx(value, shares, SKETCH).alias("pivots"))
+        .select("rows", F.posexplode("pivots").alias("place", "pivot"))
     )
-    return found["rows"], sorted(set(found["edges"] or []))
+    found = slots.agg(
+        F.sum(F.when(F.col("place") == 0, F.col("rows"))).alias("rows"),
+        F.percentile_approx("pivot", shares, SKETCH).alias("pivots"),
+    ).first()
+    return found["rows"] or 0, sorted(set(found["pivots"] or []))
 
 
-def _bucket(value: str, edges: list[float]) -> str:
-    """SQL for a binary search of ``value`` among the edges."""
+def _bucket(value: str, pivots: list[float]) -> str:
+    """SQL for a binary search: odd numbers are pivots, even ones the gaps around them."""
 
     def search(low: int, high: int) -> str:
         if low == high:
-            return str(low)
+            return str(2 * low)
         middle = (low + high) // 2
-        left, right = search(low, middle), search(middle + 1, high)
-        return f"CASE WHEN `{value}` <= {edges[middle]!r}D THEN {left} ELSE {right} END"
-
-    return search(0, len(edges))
+        pivot = f"{pivots[middle]!r}D"
+        return (
+            f"CASE WHEN `{value}` < {pivot} THEN {search(low, middle)} "
+            f"WHEN `{value}` = {pivot} THEN {2 * middle + 1} ELSE {search(middle + 1, high)} END"
+        )
 
+    return search(0, len(pivots))
 
-def _histogram(df: DataFrame, value: str, groups: list[str], edges: list[float]) -> DataFrame:
-    kept = _numbers(df, value, groups).na.drop()
-    counts = kept.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.withColumn("_bucket", F.expr(_bucket(value, edges)))
 
+def _covering(counts: DataFrame, groups: list[str], order: str) -> DataFrame:
+    """Rows of (groups, order, _n) that reach a middle rank ``_low`` to ``_high``.
 
-def _middle(histogram: DataFrame, value: str, groups: list[str], name: str) -> DataFrame:
-    """Median per group of a (groups, value, _n, _bucket) table."""
-    upto = Window.partitionBy(*groups).orderBy("_bucket")
-    whole = Window.partitionBy(*groups)
-    target = (
-        histogram.groupBy(*groups, "_bucket")
-        .agg(F.sum("_n").alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(upto.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_total", F.sum("_n").over(whole))
-        .select(
-            *groups,
-            "_bucket",
-            (F.col("_upto") - F.col("_n")).alias("_before"),
-            "_upto",
-            F.expr("(_total + 1) div 2").alias("_low"),
-            F.expr("_total div 2 + 1").alias("_high"),
+    At most the number of buckets, or what fits in memory, is ordered per group.
+    """
+    window = Window.partitionBy(*groups).orderBy(order)
+    return (
+        counts.withColumn(
+            "_upto", F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, 0))
         )
+        .withColumn("_before", F.col("_upto") - F.col("_n"))
         .where((F.col("_upto") >= F.col("_low")) & (F.col("_before") < F.col("_high")))
-        .drop("_upto")
     )
-    inside = Window.partitionBy(*groups, "_bucket").orderBy(value)
-    middles = (
-        histogram.join(target, [*groups, "_bucket"])
-        .withColumn("_upto", F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("_upto", F.col("_before") + F.col("_upto"))
-        .where(
-            (F.col("_upto") >= F.col("_low")) & (F.col("_upto") - F.col("_n") < F.col("_high"))
+
+
+def _middle_buckets(rows: DataFrame, groups: list[str]) -> DataFrame:
+    """Buckets holding the middle ranks; ranks are in the rows after the first round."""
+    ranks = [c for c in ("_low", "_high") if c in rows.columns]
+    counts = rows.groupBy(*groups, *ranks, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    if not ranks:
+        total = F.sum("_n").over(Window.partitionBy(*groups))
+        counts = counts.withColumn("_total", total).withColumns(
+            {"_low": F.expr("(_total + 1) div 2"), "_high": F.expr("_total div 2 + 1")}
         )
-    )
-    # One or two rows per group are left: the values at the middle ranks.
-    return middles.groupBy(*groups).agg(((F.min(value) + F.max(value)) / 2).alias(name))
+    kept = _covering(counts, groups, "_bucket")
+    return kept.select(*groups, "_bucket", "_n", "_before", "_low", "_high")
+
+
+def _narrowed(df: DataFrame, value: str, groups: list[str], name: str, limit: int) -> DataFrame:
+    rows, answers = _numbers(df, value, groups), []
+    while True:
+        pivots = value_spread(rows, value)[1]
+        placed = rows.withColumn("_bucket", F.expr(_bucket(value, pivots)))
+        middle = _cut(_middle_buckets(placed, groups), "middle-buckets")
+        is_pivot = F.col("_bucket") % 2 == 1
+        pivot = F.get(F.array(*map(F.lit, pivots)), F.expr("_bucket div 2").cast("int"))
+        answers.append(middle.where(is_pivot).select(*groups, pivot.alias(value)))
+        gaps = middle.where(~is_pivot)
+        largest = gaps.agg(F.max("_n")).first()[0]
+        if largest is None:
+            break
+        base = F.min("_before").over(Window.partitionBy(*groups))
+        open_ranks = gaps.withColumn("_base", base).select(
+            *groups,
+            "_bucket",
+            (F.col("_low") - F.col("_base")).alias("_low"),
+            (F.col("_high") - F.col("_base")).alias("_high"),
+        )
+        keys = [*groups, "_bucket"]
+        rows = placed.drop("_low", "_high").join(open_ranks, keys).drop("_bucket")
+        if largest <= max(limit, FEW_ROWS):
+            counts = rows.groupBy(*groups, "_low", "_high", value).agg(F.count(F.lit(1)).alias("_n"))
+            answers.append(_covering(counts, groups, value).select(*groups, value))
+            break
+        rows = _cut(rows, "in-play")
+    # One or two values per group are left: those at the middle ranks.
+    found = reduce(lambda a, b: a.unionByName(b), answers)
+    return found.groupBy(*groups).agg(((F.min(value) + F.max(value)) / 2).alias(name))
 
 
 def _median(
-    df: DataFrame, value: str, groups: list[str], name: str, spread: tuple, in_memory_rows: int
+    df: DataFrame, value: str, groups: list[str], name: str, limit: int, n_values: int
 ) -> DataFrame:
-    n_values, edges = spread
-    if n_values <= in_memory_rows:
-        return _numbers(df, value, groups).na.drop().groupBy(*groups).agg(F.median(value).alias(name))
-    return _middle(_histogram(df, value, groups, edges), value, groups, name)
+    if n_values <= limit:
+        return _numbers(df, value, groups).groupBy(*groups).agg(F.median(value).alias(name))
+    if groups:
+        return _narrowed(df, value, groups, name, limit)
+    whole = df.select(F.lit(1).alias("_all"), value)
+    return _narrowed(whole, value, ["_all"], name, limit).select(name)
+
+
+def _n_values(df: DataFrame, value: str) -> int:
+    return _numbers(df, value, []).count()
 
 
 def medians(
@@ -107,10 +169,10 @@ def medians(
     Columns: ``group`` and ``group_median``; ``overall_median``. A NULL group has
     no median of its own, but its values count overall.
     """
-    spread = value_spread(df, value)
+    n_values = _n_values(df, value)
     return (
-        _median(df, value, [group], "group_median", spread, in_memory_rows),
-        _median(df, value, [], "overall_median", spread, in_memory_rows),
+        _median(df, value, [group], "group_median", in_memory_rows, n_values),
+        _median(df, value, [], "overall_median", in_memory_rows, n_values),
     )
 
 
@@ -118,4 +180,4 @@ def median_overall(
     df: DataFrame, value: str, name: str = "overall_median", in_memory_rows: int = IN_MEMORY_ROWS
 ) -> DataFrame:
     """Exact median of a whole column, one row."""
-    return _median(df, value, [], name, value_spread(df, value), in_memory_rows)
+    return _median(df, value, [], name, in_memory_rows, _n_values(df, value))

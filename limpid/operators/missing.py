@@ -5,13 +5,14 @@ Audit column names and reason texts are part of the output contract.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limpid.functions.numbers import round_half_up, to_number
+from limpid.functions.numbers import NUMBER, round_half_up, to_number
 from limpid.functions.text import BUDGET_SENTINELS, nullify_tokens
 from limpid.operators.median import median_overall, medians
 
@@ -94,8 +95,12 @@ def handle_missing(
 
 
 def amount(col: Column, sentinels: Sequence[str] = BUDGET_SENTINELS) -> Column:
-    """Amount in a budget cell, NULL when it is not a number."""
-    return to_number(nullify_tokens(col, sentinels, strip=True))
+    """Amount in a budget cell, NULL when it is a sentinel or not a number.
+
+    A sentinel that is no number anyway needs no test of its own.
+    """
+    numeric = [s for s in sentinels if re.match(NUMBER, s.strip())]
+    return to_number(nullify_tokens(col, numeric, strip=True) if numeric else col)
 
 
 def zero_fill(df: DataFrame, columns: Sequence[str], sentinels=BUDGET_SENTINELS) -> DataFrame:

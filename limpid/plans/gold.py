@@ -65,7 +65,8 @@ def effectifs_par_region(etab: DataFrame, eff: DataFrame) -> DataFrame:
 
 
 def _teachers(etab: DataFrame, yearly: DataFrame, ens: DataFrame) -> DataFrame:
-    active = _located(etab, yearly).select(SCHOOL, *GROUP).distinct()
+    # One row per school and year, so a teacher meets each year once.
+    active = _located(etab, yearly).select(SCHOOL, *GROUP)
     posts = ens.select("matricule", SCHOOL)
     counted = posts.join(active, SCHOOL).groupBy(*GROUP)
     return counted.agg(F.count_distinct("matricule").alias("nb_enseignants"))

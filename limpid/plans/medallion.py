@@ -15,6 +15,7 @@ repeat only its own stage.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -120,6 +121,10 @@ def bronze_tabs(
 
 
 def bronze_to_silver(run: Run, raw: Raw, canonical_region: bool = False) -> None:
+    """Schools first; the three others need at most the written schools.
+
+    They are submitted together, so that one's small jobs fill the gaps of another.
+    """
     schools = run.silver(
         "etablissements",
         clean_etablissements(
@@ -130,16 +135,21 @@ def bronze_to_silver(run: Run, raw: Raw, canonical_region: bool = False) -> None
     def cut(df: DataFrame, name: str) -> DataFrame:
         return run.through(df, f"{run.out}/work/{name}")
 
-    run.silver(
-        "effectifs",
-        clean_effectifs(
-            run.bronze(raw.enrolment, "effectifs"), schools, run_ts=run.run_ts, cut=cut
-        ),
-    )
-    tabs = bronze_tabs(run, raw.teachers, "enseignants", list(STATUS_OF_TAB))
-    run.silver("enseignants", clean_enseignants(dict(zip(STATUS_OF_TAB.values(), tabs)), schools))
-    budgets = bronze_tabs(run, raw.budgets, "budgets", [0])
-    run.silver("budgets", clean_budgets(budgets[0]))
+    def enrolment() -> None:
+        rows = run.bronze(raw.enrolment, "effectifs")
+        run.silver("effectifs", clean_effectifs(rows, schools, run_ts=run.run_ts, cut=cut))
+
+    def teachers() -> None:
+        tabs = bronze_tabs(run, raw.teachers, "enseignants", list(STATUS_OF_TAB))
+        by_status = dict(zip(STATUS_OF_TAB.values(), tabs))
+        run.silver("enseignants", clean_enseignants(by_status, schools))
+
+    def budgets() -> None:
+        run.silver("budgets", clean_budgets(bronze_tabs(run, raw.budgets, "budgets", [0])[0]))
+
+    with ThreadPoolExecutor(3) as pool:
+        for done in [pool.submit(part) for part in (enrolment, teachers, budgets)]:
+            done.result()
 
 
 def silver_to_gold(run: Run) -> DataFrame:
@@ -249,9 +259,10 @@ def quality(run: Run, regions: Sequence[str] = REGIONS) -> DataFrame:
         for e in ("etablissements", "effectifs", "enseignants", "budgets")
     }
     paths["synthese_regionale"] = f"{run.out}/gold/synthese_regionale"
-    checks = [Q.check_exists(run.spark, e, p) for e, p in paths.items()]
     tables = [read_table_if_any(run.spark, p) for p in paths.values()]
-    if all(t is not None for t in tables):
+    found = {entity: t is not None for entity, t in zip(paths, tables)}
+    checks = [Q.check_found(run.spark, found)]
+    if all(found.values()):
         checks += silver_checks(*tables[:4], regions) + gold_checks(tables[4], regions)
     return run.through(Q.quality_report(checks), f"{run.out}/quality")
 
@@ -269,5 +280,6 @@ def run(
     bronze_to_silver(job, raw_files(spark, raw) if isinstance(raw, str) else raw, canonical_region)
     silver_to_gold(job)
     quality(job, regions)
+    job.counters.sort()
     write_table(spark.createDataFrame(job.counters, METRICS), f"{job.out}/metrics")
     return job

@@ -79,7 +79,7 @@ def test_schema_checks(spark, tmp_path):
         "day": True,
         "zz": False,
     }
-    assert found(Q.check_exists(spark, "t", f"{tmp_path}/none")) == {("exists", None): (1, False)}
+    assert found(Q.check_exists(spark, {"t": f"{tmp_path}/none"})) == {("exists", None): (1, False)}
 
 
 def test_schema_drift(spark):

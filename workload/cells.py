@@ -31,9 +31,8 @@ REGION_OF_KEY = {0: "Savanes", 1: "Kara", 2: "Centrale", 3: "Plateaux", 4: "Mari
 
 @query("SELECT o_orderkey, CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DOUBLE) AS amount FROM orders")
 def grouped_digits(spark, sf_dir):
-    digits = cents("o_totalprice").cast("string")
     gap = F.when(F.col("o_orderstatus") == "F", NBSP).otherwise(" ")
-    text = F.regexp_replace(digits, F.lit(r"(\d)(?=(\d{3})+$)"), F.concat(F.lit("$1"), gap))
+    text = F.replace(F.format_number(cents("o_totalprice"), 0), F.lit(","), gap)
     return table(spark, sf_dir, "orders").select(
         "o_orderkey", to_number(text, grouped=True).alias("amount")
     )

@@ -80,8 +80,7 @@ def quality_of_orders(spark, sf_dir):
             Q.check_covers(orders, "orders", "o_orderstatus", ["F", "O", "P", "X"]),
             Q.check_columns(orders, "orders", ["o_orderkey", "o_clerk"]),
             Q.check_types(orders, "orders", {"o_orderkey": "integer", "o_totalprice": "string"}),
-            Q.check_exists(spark, "orders", f"{sf_dir}/orders.parquet"),
-            Q.check_exists(spark, "clerks", f"{sf_dir}/clerks.parquet"),
+            Q.check_exists(spark, {e: f"{sf_dir}/{e}.parquet" for e in ("orders", "clerks")}),
         ]
     )
 

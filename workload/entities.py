@@ -75,7 +75,7 @@ def raw_schools(spark, sf_dir) -> DataFrame:
 
 
 def thousands(number: Column) -> Column:
-    return F.regexp_replace(number.cast("string"), r"(\d)(?=(\d{3})+$)", f"$1{NBSP}")
+    return F.translate(F.format_number(number, 0), ",", NBSP)
 
 
 def raw_enrolment(spark, sf_dir, gap_below: int) -> DataFrame:
