@@ -2,7 +2,7 @@
 
 from limpid.operators.dedup import duplicate_count, duplicate_groups, keep_first
 from limpid.operators.integrity import missing_keys, split_by_reference
-from limpid.operators.median import median_overall, medians
+from limpid.operators.median import group_median, overall_median, value_count
 from limpid.operators.missing import (
     delete_missing,
     handle_missing,
@@ -19,16 +19,17 @@ __all__ = [
     "distinct_profile",
     "duplicate_count",
     "duplicate_groups",
+    "group_median",
     "handle_missing",
     "impute_group_median",
     "keep_first",
-    "median_overall",
-    "medians",
     "missing_keys",
     "missing_rate",
     "null_profile",
+    "overall_median",
     "split_by_reference",
     "stats_before_after",
     "tagged_union",
+    "value_count",
     "zero_fill",
 ]

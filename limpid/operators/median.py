@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limpid.sources.scratch import scratch_folder
-from limpid.sources.tables import read_table, write_table
+from limpid.sources.tables import through_table
 
 # Few enough for the search to stay one small compiled method.
 PARTS = 32
@@ -44,9 +44,7 @@ def _numbers(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
 
 
 def _cut(df: DataFrame, purpose: str) -> DataFrame:
-    path = scratch_folder(df.sparkSession, purpose)
-    write_table(df, path)
-    return read_table(df.sparkSession, path)
+    return through_table(df, scratch_folder(df.sparkSession, purpose))
 
 
 def value_spread(df: DataFrame, value: str, parts: int = PARTS) -> tuple[int, list[float]]:
@@ -157,27 +155,31 @@ def _median(
     return _narrowed(whole, value, ["_all"], name, limit).select(name)
 
 
-def _n_values(df: DataFrame, value: str) -> int:
+def value_count(df: DataFrame, value: str) -> int:
     return _numbers(df, value, []).count()
 
 
-def medians(
-    df: DataFrame, value: str, group: str, in_memory_rows: int = IN_MEMORY_ROWS
-) -> tuple[DataFrame, DataFrame]:
-    """(median per group, overall median in one row), NULL and NaN values ignored.
+def group_median(
+    df: DataFrame,
+    value: str,
+    group: str,
+    in_memory_rows: int = IN_MEMORY_ROWS,
+    n_values: int | None = None,
+) -> DataFrame:
+    """(group, group_median): exact, NULL and NaN values ignored, no row for a NULL group.
 
-    Columns: ``group`` and ``group_median``; ``overall_median``. A NULL group has
-    no median of its own, but its values count overall.
+    ``n_values`` is ``value_count(df, value)`` when already known.
     """
-    n_values = _n_values(df, value)
-    return (
-        _median(df, value, [group], "group_median", in_memory_rows, n_values),
-        _median(df, value, [], "overall_median", in_memory_rows, n_values),
-    )
+    known = value_count(df, value) if n_values is None else n_values
+    return _median(df, value, [group], "group_median", in_memory_rows, known)
 
 
-def median_overall(
-    df: DataFrame, value: str, name: str = "overall_median", in_memory_rows: int = IN_MEMORY_ROWS
+def overall_median(
+    df: DataFrame,
+    value: str,
+    in_memory_rows: int = IN_MEMORY_ROWS,
+    n_values: int | None = None,
 ) -> DataFrame:
-    """Exact median of a whole column, one row."""
-    return _median(df, value, [], name, in_memory_rows, _n_values(df, value))
+    """(overall_median): exact median of a whole column, one row."""
+    known = value_count(df, value) if n_values is None else n_values
+    return _median(df, value, [], "overall_median", in_memory_rows, known)

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from limpid.functions.numbers import NUMBER, round_half_up, to_number
 from limpid.functions.text import BUDGET_SENTINELS, nullify_tokens
-from limpid.operators.median import median_overall, medians
+from limpid.operators.median import group_median, overall_median, value_count
 
 THRESHOLD = 0.05
 
@@ -53,7 +53,9 @@ def impute_group_median(
     Only the rows with a hole meet the medians; the others pass through with no
     shuffle. If the column holds no value at all, its NULLs stay.
     """
-    by_group, overall = medians(df, col, group)
+    n_values = value_count(df, col)
+    by_group = group_median(df, col, group, n_values=n_values)
+    overall = overall_median(df, col, n_values=n_values)
     values = df.withColumn(col, F.col(col).cast("double"))
     holes = (
         values.where(F.col(col).isNull())
@@ -114,7 +116,7 @@ def stats_before_after(before: DataFrame, after: DataFrame, col: str) -> DataFra
     """(stage, mean_value, median_value) of a column, to two decimals."""
 
     def stats(df: DataFrame, stage: str) -> DataFrame:
-        middle = median_overall(df, col).scalar()
+        middle = overall_median(df, col).scalar()
         return df.agg(F.avg(col).alias("mean_value")).select(
             F.lit(stage).alias("stage"),
             round_half_up(F.col("mean_value"), 2).alias("mean_value"),

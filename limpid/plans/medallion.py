@@ -35,7 +35,13 @@ from limpid.plans.silver import (
     clean_etablissements,
 )
 from limpid.sources.delimited import read_delimited
-from limpid.sources.tables import read_table, read_table_if_any, write_quarantine, write_table
+from limpid.sources.tables import (
+    read_table,
+    read_table_if_any,
+    through_table,
+    write_quarantine,
+    write_table,
+)
 from limpid.sources.workbook import (
     decode_workbooks,
     read_workbook_files,
@@ -64,14 +70,10 @@ class Run:
     def count(self, step: str, metric: str, value: int) -> None:
         self.counters.append((step, metric, value))
 
-    def through(self, df: DataFrame, path: str) -> DataFrame:
-        write_table(df, path)
-        return read_table(self.spark, path)
-
     def bronze(self, df: DataFrame, entity: str) -> DataFrame:
         path = f"{self.out}/bronze/{entity}"
         self.count(f"bronze_{entity}", "lignes_lues", write_table(df, path))
-        return read_table(self.spark, path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     def silver(self, entity: str, result: CleanResult) -> DataFrame:
         """Write a clean table and its quarantine, note the counters."""
@@ -87,7 +89,7 @@ class Run:
             # A handful of aggregate values, one per budget column.
             for row in result.measures.collect():
                 self.count(step, row["metric"], row["value"])
-        return read_table(self.spark, path)
+        return self.spark.read.schema(result.clean.schema).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -133,7 +135,7 @@ def bronze_to_silver(run: Run, raw: Raw, canonical_region: bool = False) -> None
     )
 
     def cut(df: DataFrame, name: str) -> DataFrame:
-        return run.through(df, f"{run.out}/work/{name}")
+        return through_table(df, f"{run.out}/work/{name}")
 
     def enrolment() -> None:
         rows = run.bronze(raw.enrolment, "effectifs")
@@ -157,7 +159,7 @@ def silver_to_gold(run: Run) -> DataFrame:
         read_table(run.spark, f"{run.out}/silver/{e}")
         for e in ("etablissements", "effectifs", "enseignants", "budgets")
     ]
-    yearly = run.through(gold.school_years(tables[1]), f"{run.out}/work/annees_scolaires")
+    yearly = through_table(gold.school_years(tables[1]), f"{run.out}/work/annees_scolaires")
     path = f"{run.out}/gold/synthese_regionale"
     n_rows = write_table(gold.synthese_regionale(*tables, yearly=yearly), path)
     run.count("synthese_regionale", "lignes_ecrites", n_rows)
@@ -264,7 +266,7 @@ def quality(run: Run, regions: Sequence[str] = REGIONS) -> DataFrame:
     checks = [Q.check_found(run.spark, found)]
     if all(found.values()):
         checks += silver_checks(*tables[:4], regions) + gold_checks(tables[4], regions)
-    return run.through(Q.quality_report(checks), f"{run.out}/quality")
+    return through_table(Q.quality_report(checks), f"{run.out}/quality")
 
 
 def run(

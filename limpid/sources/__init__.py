@@ -7,6 +7,7 @@ from limpid.sources.tables import (
     read_table,
     read_table_if_any,
     table_exists,
+    through_table,
     write_quarantine,
     write_table,
 )
@@ -30,6 +31,7 @@ __all__ = [
     "scratch_folder",
     "tab_headings",
     "table_exists",
+    "through_table",
     "with_row_order",
     "workbook_tab",
     "write_quarantine",

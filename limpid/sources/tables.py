@@ -43,6 +43,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return seen.get["rows"]
 
 
+def through_table(df: DataFrame, path: str) -> DataFrame:
+    """Write and read back: cuts the lineage. The known schema saves an inference job."""
+    write_table(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def write_quarantine(
     df: DataFrame, root: str, entity: str, reason: str, fmt: str = "parquet"
 ) -> int:

@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 from limpid.functions import to_count
 from limpid.operators import (
     delete_missing,
+    group_median,
     handle_missing,
     impute_group_median,
-    median_overall,
-    medians,
     missing_rate,
     null_profile,
+    overall_median,
     stats_before_after,
     zero_fill,
 )
@@ -38,7 +38,8 @@ def groups(seed: int, n: int):
 def test_medians_match_brute_force(spark, n, in_memory_rows):
     data = groups(n, n)
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    by_group, overall = medians(df, "v", "code", in_memory_rows)
+    by_group = group_median(df, "v", "code", in_memory_rows)
+    overall = overall_median(df, "v", in_memory_rows)
     known = {k: [v for g, v in data if g == k and v is not None] for k, _ in data if k is not None}
     assert rows(by_group) == sorted((k, median(v)) for k, v in known.items() if v)
     assert rows(overall) == [(median([v for _, v in data if v is not None]),)]
@@ -47,8 +48,8 @@ def test_medians_match_brute_force(spark, n, in_memory_rows):
 @pytest.mark.parametrize("in_memory_rows", [0, 10**9])
 def test_median_of_nothing_is_null(spark, in_memory_rows):
     df = spark.createDataFrame([("a", None), ("a", float("nan"))], SCHEMA)
-    assert rows(median_overall(df, "v", in_memory_rows=in_memory_rows)) == [(None,)]
-    assert rows(medians(df, "v", "code", in_memory_rows)[0]) == []
+    assert rows(overall_median(df, "v", in_memory_rows)) == [(None,)]
+    assert rows(group_median(df, "v", "code", in_memory_rows)) == []
 
 
 def test_narrowing_takes_several_rounds(spark, monkeypatch):
@@ -59,7 +60,7 @@ def test_narrowing_takes_several_rounds(spark, monkeypatch):
     monkeypatch.setattr(module, "FEW_ROWS", 10)
     data = groups(5, 400)
     df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    by_group, overall = medians(df, "v", "code", 10)
+    by_group, overall = group_median(df, "v", "code", 10), overall_median(df, "v", 10)
     known = {k: [v for g, v in data if g == k and v is not None] for k, _ in data if k is not None}
     assert rows(by_group) == sorted((k, median(v)) for k, v in known.items() if v)
     assert rows(overall) == [(median([v for _, v in data if v is not None]),)]
@@ -68,7 +69,7 @@ def test_narrowing_takes_several_rounds(spark, monkeypatch):
 def test_narrowing_does_not_shuffle_rows(spark, tmp_path):
     spark.createDataFrame(groups(1, 600), SCHEMA).write.parquet(f"{tmp_path}/t")
     df = spark.read.parquet(f"{tmp_path}/t")
-    plan = medians(df, "v", "code", 20)[0]._jdf.queryExecution().executedPlan().toString()
+    plan = group_median(df, "v", "code", 20)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "NestedLoop" not in plan
     assert "percentile" not in plan
 

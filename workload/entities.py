@@ -21,7 +21,7 @@ from limpid.plans.silver import (
 )
 from limpid.sources import ROW_ORDER, read_delimited, read_table, scratch_folder
 from workload.cells import NBSP, dirty_region
-from workload.registry import STAMP, cents, query, school_year, table, through_table
+from workload.registry import STAMP, cents, query, school_year, table, through_scratch
 from workload.xlsx import as_workbooks
 
 ROWS_PER_WORKBOOK = 2000
@@ -221,7 +221,7 @@ def known_codes(spark, sf_dir) -> DataFrame:
 
 def enrolment_result(spark, sf_dir, gap_below):
     raw = raw_enrolment(spark, sf_dir, gap_below)
-    return clean_effectifs(raw, known_codes(spark, sf_dir), run_ts=STAMP, cut=through_table)
+    return clean_effectifs(raw, known_codes(spark, sf_dir), run_ts=STAMP, cut=through_scratch)
 
 
 @query(SILVER + f"""
@@ -321,8 +321,8 @@ def full_run(spark, sf_dir):
             spark, f"{root}/raw/etablissements_scolaires_*.csv", sep=";", encoding="ISO-8859-1"
         ),
         read_delimited(spark, enrolled),
-        through_table(as_workbooks(teachers, "personnel", "book", "tab", tabs), "teachers"),
-        through_table(
+        through_scratch(as_workbooks(teachers, "personnel", "book", "tab", tabs), "teachers"),
+        through_scratch(
             as_workbooks(budgets, "budgets", "book", "tab", {"Budgets": budgets.columns[:5]}),
             "budgets",
         ),

@@ -17,7 +17,7 @@ from limpid.sources import (
     write_quarantine,
     write_table,
 )
-from workload.registry import query, table, through_table
+from workload.registry import query, table, through_scratch
 from workload.xlsx import as_workbooks
 
 ROWS_PER_WORKBOOK = 1000
@@ -105,9 +105,9 @@ def workbook_tabs(spark, sf_dir):
         F.floor(F.col("c_custkey") / ROWS_PER_WORKBOOK).alias("book"),
     )
     columns = {"Titulaires": ["Matricule", "Nom"], "Contractuels": ["Nom", "Matricule", "Motif"]}
-    files = through_table(as_workbooks(customer, "personnel", "book", "tab", columns), "workbooks")
+    files = through_scratch(as_workbooks(customer, "personnel", "book", "tab", columns), "workbooks")
     headings = decode_workbooks(files, headings_only=True)
-    rows = through_table(decode_workbooks(files), "workbook-rows")
+    rows = through_scratch(decode_workbooks(files), "workbook-rows")
     # One tab by name, the other by position.
     tabs = {
         "titulaire": workbook_tab(rows, 0, tab_headings(headings, 0), with_order=False),

@@ -5,12 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from limpid import operators
 from limpid.functions import to_count
 from limpid.operators import (
     handle_missing,
     impute_group_median,
-    median_overall,
-    medians,
     stats_before_after,
     zero_fill,
 )
@@ -91,18 +90,20 @@ def missing_impute_audit(spark, sf_dir):
 
 @query(MANY_GAPS + "SELECT k AS o_custkey, m AS group_median FROM by_group WHERE m IS NOT NULL")
 def group_median(spark, sf_dir):
-    return medians(amounts(spark, sf_dir), "amount", "o_custkey")[0]
+    return operators.group_median(amounts(spark, sf_dir), "amount", "o_custkey")
 
 
 @query(MANY_GAPS + "SELECT k AS o_custkey, m AS group_median FROM by_group WHERE m IS NOT NULL")
 def group_median_spread(spark, sf_dir):
     """The way taken for tables too large to hold a group's values in one task."""
-    return medians(amounts(spark, sf_dir), "amount", "o_custkey", in_memory_rows=0)[0]
+    return operators.group_median(
+        amounts(spark, sf_dir), "amount", "o_custkey", in_memory_rows=0
+    )
 
 
 @query(MANY_GAPS + "SELECT g AS overall_median FROM overall")
 def overall_median_spread(spark, sf_dir):
-    return median_overall(amounts(spark, sf_dir), "amount", in_memory_rows=0)
+    return operators.overall_median(amounts(spark, sf_dir), "amount", in_memory_rows=0)
 
 
 @query(MANY_GAPS + """

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from limpid.plans import gold
-from workload.registry import cents, query, school_year, table, through_table
+from workload.registry import cents, query, school_year, table, through_scratch
 
 
 def schools(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -116,7 +116,7 @@ FROM g1 JOIN g2 ON g1.region = g2.region AND g1.annee = g2.annee
 @query(BASE + SYNTHESIS + "ORDER BY region, annee")
 def synthese_regionale(spark, sf_dir):
     # Two branches use the yearly enrolment: it is one row per school and year.
-    yearly = through_table(gold.school_years(enrolment(spark, sf_dir)), "annees")
+    yearly = through_scratch(gold.school_years(enrolment(spark, sf_dir)), "annees")
     return gold.synthese_regionale(
         schools(spark, sf_dir),
         enrolment(spark, sf_dir),

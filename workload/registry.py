@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from limpid.sources import read_table, scratch_folder, write_table
+from limpid.sources import read_table, scratch_folder, through_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,11 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
-def through_table(df: DataFrame, purpose: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the lineage."""
-    path = scratch_folder(df.sparkSession, purpose)
-    write_table(df, path)
-    return read_table(df.sparkSession, path)
+def through_scratch(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the shared folder and read back."""
+    return through_table(df, scratch_folder(df.sparkSession, purpose))
 
 
 def cents(col: str | Column) -> Column:
