@@ -18,12 +18,14 @@ def read_delimited(
     encoding: str = "UTF-8",
     with_order: bool = True,
     null_tokens: Sequence[str] = READER_NULLS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Scan text files with a heading line; a leading byte-order mark is ignored.
 
     No type is inferred, which would cost one more pass over the data. Each file
     must carry the same headings in the same order: a file that does not fails
-    the job instead of landing in the wrong columns.
+    the job instead of landing in the wrong columns. ``multi_line`` allows line
+    ends inside quoted cells, at the price of one task per file.
     """
     scan = spark.read.csv(
         list(paths) if not isinstance(paths, str) else paths,
@@ -33,6 +35,7 @@ def read_delimited(
         inferSchema=False,
         enforceSchema=False,
         escape='"',
+        multiLine=multi_line,
     )
     names = scan.columns
     ordered = with_row_order(scan) if with_order else scan

@@ -43,6 +43,12 @@ def test_quoted_cells_keep_separators_and_quotes(spark, tmp_path):
     assert rows(drop_row_order(read_delimited(spark, str(tmp_path)))) == [("1, 2", 'say "hi"')]
 
 
+def test_line_ends_inside_cells_on_request(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('x,y\n"one\ntwo",1\n'.encode("utf-8-sig"))
+    df = read_delimited(spark, str(tmp_path), multi_line=True)
+    assert rows(drop_row_order(df)) == [("one\ntwo", "1")]
+
+
 def test_files_with_other_headings_fail(spark, tmp_path):
     (tmp_path / "a.csv").write_text("x,y\n1,2\n")
     (tmp_path / "b.csv").write_text("y,x\n1,2\n")

@@ -52,7 +52,7 @@ def csv_roundtrip_bom(spark, sf_dir):
     note = F.concat("o_orderpriority", F.lit(', "'), "o_orderstatus", F.lit('"'))
     raw = table(spark, sf_dir, "orders").select(
         # The mark in the first heading becomes the first bytes of each file.
-        F.col("o_orderkey").alias("﻿code"),
+        F.col("o_orderkey").alias("\ufeffcode"),
         F.col("o_custkey").alias("client"),
         note.alias("note"),
     )
