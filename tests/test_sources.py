@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pytest
+from pyspark import cloudpickle
 from pyspark.errors import PythonException
 
 from limpid.functions import snake_columns
@@ -17,6 +21,7 @@ from limpid.sources import (
     write_quarantine,
     write_table,
 )
+from limpid.sources.workbook import _decoder
 from tests.conftest import rows
 from workload.xlsx import workbook_bytes
 
@@ -178,3 +183,13 @@ def test_broken_workbook_fails_the_job(spark, tmp_path):
     (tmp_path / "b.xlsx").write_bytes(b"not a zip file")
     with pytest.raises(PythonException, match="BadZipFile"):
         read_workbook_tab(spark, f"{tmp_path}/b.xlsx", 0, ["x"]).collect()
+
+
+@pytest.mark.parametrize("headings_only", [True, False])
+def test_task_code_needs_no_install_on_executors(tmp_path, headings_only):
+    """Functions sent to Python workers load in a process that cannot import this code."""
+    for number, function in enumerate([_decoder(headings_only), workbook_bytes]):
+        path = tmp_path / f"{number}.pickle"
+        path.write_bytes(cloudpickle.dumps(function))
+        load = f"import pickle; pickle.load(open({str(path)!r}, 'rb'))"
+        subprocess.run([sys.executable, "-c", load], cwd=tmp_path, check=True, timeout=60)

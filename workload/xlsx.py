@@ -9,66 +9,74 @@ from pyspark.sql import functions as F
 Tab = tuple[Sequence[str], Sequence[Sequence[object]]]
 
 
-def workbook_bytes(tabs: Mapping[str, Tab]) -> bytes:
-    """A minimal .xlsx: shared strings for headings, inline text and plain numbers."""
-    import io
-    import zipfile
-    from xml.sax.saxutils import escape, quoteattr
-
-    main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
-    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
-    packed = "http://schemas.openxmlformats.org/package/2006/relationships"
-    shared: list[str] = []
-
-    def letters(number: int) -> str:
-        name = ""
-        number += 1
-        while number:
-            number, rest = divmod(number - 1, 26)
-            name = chr(65 + rest) + name
-        return name
-
-    def cell(place: str, value: object, heading: bool) -> str:
-        if value is None or value != value:
-            return ""
-        if heading:
-            shared.append(str(value))
-            return f'<c r="{place}" t="s"><v>{len(shared) - 1}</v></c>'
-        if isinstance(value, str):
-            text = f'<t xml:space="preserve">{escape(value)}</t>'
-            return f'<c r="{place}" t="inlineStr"><is>{text}</is></c>'
-        return f'<c r="{place}"><v>{value}</v></c>'
-
-    def row(number: int, values: Sequence[object]) -> str:
-        cells = "".join(cell(f"{letters(i)}{number}", v, number == 1) for i, v in enumerate(values))
-        return f'<row r="{number}">{cells}</row>'
-
-    sheets = {
-        f"worksheets/sheet{i}.xml": f'<worksheet xmlns="{main}"><sheetData>'
-        + "".join(row(n, values) for n, values in enumerate([headings, *rows], start=1))
-        + "</sheetData></worksheet>"
-        for i, (headings, rows) in enumerate(tabs.values(), start=1)
-    }
-    names = "".join(
-        f'<sheet name={quoteattr(name)} sheetId="{i}" r:id="rId{i}"/>'
-        for i, name in enumerate(tabs, start=1)
-    )
-    links = "".join(
-        f'<Relationship Id="rId{i}" Type="{rel}/worksheet" Target="{part}"/>'
-        for i, part in enumerate(sheets, start=1)
-    )
-    strings = "".join(f"<si><t>{escape(s)}</t></si>" for s in shared)
-    parts = {
-        "workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>{names}</sheets></workbook>',
-        "_rels/workbook.xml.rels": f'<Relationships xmlns="{packed}">{links}</Relationships>',
-        "sharedStrings.xml": f'<sst xmlns="{main}">{strings}</sst>',
-        **sheets,
-    }
-    out = io.BytesIO()
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
-        for name, text in parts.items():
-            book.writestr(f"xl/{name}", '<?xml version="1.0" encoding="UTF-8"?>' + text)
-    return out.getvalue()
+def _writer():
+    """Nested, so the function travels to executors by value and needs no install there."""
+
+    def workbook_bytes(tabs: Mapping[str, Tab]) -> bytes:
+        """A minimal .xlsx: shared strings for headings, inline text and plain numbers."""
+        import io
+        import zipfile
+        from xml.sax.saxutils import escape, quoteattr
+
+        main = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+        rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+        packed = "http://schemas.openxmlformats.org/package/2006/relationships"
+        shared: list[str] = []
+
+        def letters(number: int) -> str:
+            name = ""
+            number += 1
+            while number:
+                number, rest = divmod(number - 1, 26)
+                name = chr(65 + rest) + name
+            return name
+
+        def cell(place: str, value: object, heading: bool) -> str:
+            if value is None or value != value:
+                return ""
+            if heading:
+                shared.append(str(value))
+                return f'<c r="{place}" t="s"><v>{len(shared) - 1}</v></c>'
+            if isinstance(value, str):
+                text = f'<t xml:space="preserve">{escape(value)}</t>'
+                return f'<c r="{place}" t="inlineStr"><is>{text}</is></c>'
+            return f'<c r="{place}"><v>{value}</v></c>'
+
+        def row(number: int, values: Sequence[object]) -> str:
+            cells = "".join(cell(f"{letters(i)}{number}", v, number == 1) for i, v in enumerate(values))
+            return f'<row r="{number}">{cells}</row>'
+
+        sheets = {
+            f"worksheets/sheet{i}.xml": f'<worksheet xmlns="{main}"><sheetData>'
+            + "".join(row(n, values) for n, values in enumerate([headings, *rows], start=1))
+            + "</sheetData></worksheet>"
+            for i, (headings, rows) in enumerate(tabs.values(), start=1)
+        }
+        names = "".join(
+            f'<sheet name={quoteattr(name)} sheetId="{i}" r:id="rId{i}"/>'
+            for i, name in enumerate(tabs, start=1)
+        )
+        links = "".join(
+            f'<Relationship Id="rId{i}" Type="{rel}/worksheet" Target="{part}"/>'
+            for i, part in enumerate(sheets, start=1)
+        )
+        strings = "".join(f"<si><t>{escape(s)}</t></si>" for s in shared)
+        parts = {
+            "workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>{names}</sheets></workbook>',
+            "_rels/workbook.xml.rels": f'<Relationships xmlns="{packed}">{links}</Relationships>',
+            "sharedStrings.xml": f'<sst xmlns="{main}">{strings}</sst>',
+            **sheets,
+        }
+        out = io.BytesIO()
+        with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+            for name, text in parts.items():
+                book.writestr(f"xl/{name}", '<?xml version="1.0" encoding="UTF-8"?>' + text)
+        return out.getvalue()
+
+    return workbook_bytes
+
+
+workbook_bytes = _writer()
 
 
 def as_workbooks(
