@@ -117,6 +117,20 @@ def _segments(sorted_keys: np.ndarray):
         yield int(sorted_keys[a]), slice(a, b)
 
 
+def _packed(values: np.ndarray) -> bytes:
+    data = values.tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, dtype) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    return np.frombuffer(pa.decompress(data[8:], size, codec="zstd"), dtype)
+
+
+def _unpacked_column(column: pa.ChunkedArray, dtype) -> list[np.ndarray]:
+    return [_unpacked(x, dtype) for x in column.to_pylist()]
+
+
 def _joined(column: pa.ChunkedArray, dtype) -> np.ndarray:
     data, _ = binary_bounds(column)
     return np.frombuffer(data.tobytes(), dtype)
@@ -261,11 +275,11 @@ def _context_rows(scheme: Scheme, n_buckets: int, n_groups: int):
                 "grp": g,
                 "block": block_id,
                 "whole": whole,
-                "keys": keys(picked[first : number[s.stop - 1] + 1]).tobytes(),
-                "doc": doc[s].tobytes(),
-                "row": row[s].astype(np.uint32).tobytes(),
-                "at": at[s].astype(np.int64).tobytes(),
-                "key": (number[s] - first).astype(np.uint32).tobytes(),
+                "keys": _packed(keys(picked[first : number[s.stop - 1] + 1])),
+                "doc": _packed(doc[s]),
+                "row": _packed(row[s].astype("<u4")),
+                "at": _packed(at[s].astype("<u4")),
+                "key": _packed((number[s] - first).astype("<u4")),
             }
 
     def emit(key, docs: pa.Table, told: pa.Table) -> pa.Table:
@@ -306,7 +320,7 @@ def _context_rows(scheme: Scheme, n_buckets: int, n_groups: int):
             group = _bucket(mixed(value[cold]), n_groups).astype(np.int64)
             out += rows_of(block_id, False, group, hashes ^ value[cold],
                            lambda i: contexts(cold[i]), block.doc[row[cold]], row[cold],
-                           place[cold] - reach - bounds[row[cold]])
+                           place[cold] - bounds[row[cold]])
         warm = np.flatnonzero(is_hot)
         if len(warm):
             start = (place[warm][:, None] + np.arange(-reach, 1)).ravel()
@@ -318,7 +332,7 @@ def _context_rows(scheme: Scheme, n_buckets: int, n_groups: int):
             group = _bucket(mixed(one), n_groups).astype(np.int64)
             out += rows_of(block_id, True, group, one ^ (two >> U64(1)),
                            lambda i: np.stack([one[i], two[i]], axis=1), block.doc[r], r,
-                           start - bounds[r])
+                           start - bounds[r] + reach)
         return _table(out, schema)
 
     return emit
@@ -359,17 +373,16 @@ def _covered_rows(scheme: Scheme):
         rows = []
         for block, pieces in found.items():
             row, start, stop = (np.concatenate(x) for x in zip(*pieces, strict=True))
-            rows.append({"block": block, "row": row.tobytes(), "start": start.tobytes(),
-                         "stop": stop.tobytes(), "copies": None})
+            rows.append({"block": block, "row": _packed(row), "start": _packed(start),
+                         "stop": _packed(stop), "copies": None})
         return _table(rows, schema)
 
     def _cover(part: pa.Table, whole: bool, found: dict[int, list]) -> None:
-        keys = _joined(part.column("keys"), "<u8" if whole else scheme.dtype)
-        keys = keys.reshape(-1, 2 if whole else scheme.width)
-        doc = [np.frombuffer(x, "<i8") for x in part.column("doc").to_pylist()]
-        row = [np.frombuffer(x, "<u4") for x in part.column("row").to_pylist()]
-        at = [np.frombuffer(x, "<i8") for x in part.column("at").to_pylist()]
-        key = [np.frombuffer(x, "<u4") for x in part.column("key").to_pylist()]
+        keys = np.concatenate(
+            _unpacked_column(part.column("keys"), "<u8" if whole else scheme.dtype)
+        ).reshape(-1, 2 if whole else scheme.width)
+        doc = _unpacked_column(part.column("doc"), "<i8")
+        row, at, key = (_unpacked_column(part.column(c), "<u4") for c in ("row", "at", "key"))
         sizes = [int(k.max()) + 1 for k in key]
         base = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         number = np.concatenate([k + b for k, b in zip(key, base, strict=True)])
@@ -395,11 +408,11 @@ def _covered_rows(scheme: Scheme):
                 if not len(hit):
                     continue
                 old = old[hit]
-                begin = at[i][part_of][hit]
+                begin = at[i][part_of][hit].astype(np.int64) - scheme.reach
                 lo = begin + old.argmax(axis=1)
                 hi = begin + (old.shape[1] - 1 - old[:, ::-1].argmax(axis=1)) + scheme.window
                 found.setdefault(block, []).append(
-                    (row[i][part_of][hit], lo.astype("<i8"), hi.astype("<i8"))
+                    (row[i][part_of][hit], lo.astype("<u4"), hi.astype("<u4"))
                 )
 
     return covered
@@ -409,8 +422,10 @@ def _results(finish: Callable, names: list[str], types: list[pa.DataType]):
     def emit(docs: pa.Table, told: pa.Table) -> pa.Table:
         block = Block.of(docs, told)
         told = told.filter(pc.is_valid(told.column("row")))
-        row = _joined(told.column("row"), "<u4").astype(np.int64)
-        start, stop = _joined(told.column("start"), "<i8"), _joined(told.column("stop"), "<i8")
+        row, start, stop = (
+            np.concatenate([np.zeros(0, np.int64), *_unpacked_column(told.column(c), "<u4")])
+            for c in ("row", "start", "stop")
+        )
         order = np.argsort(row, kind="stable")
         row, start, stop = row[order], start[order], stop[order]
         limits = np.searchsorted(row, np.arange(len(block.doc) + 1))
@@ -459,18 +474,18 @@ def remove_repeats(
         F.col(text).cast("binary").alias("text"),
         F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"),
     )
-    dealt = rows.select("id", block, "text")
-    seeds = dealt.select("block", "text").mapInArrow(_seed_rows(scheme, n_buckets), SEEDS)
+    # The same rows for both passes over texts, so that Spark shuffles them once.
+    whole = rows.select("id", block, "text", "rest")
+    seeds = whole.select("block", "text").mapInArrow(_seed_rows(scheme, n_buckets), SEEDS)
     shared = seeds.groupBy("bucket").applyInArrow(
         lambda bucket: _shared_seeds(bucket, scheme.hot), SHARED
     )
     told = shared.unionByName(copies, allowMissingColumns=True)
-    contexts = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+    contexts = whole.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         _context_rows(scheme, n_buckets, n_buckets), CONTEXTS
     )
     covered = contexts.groupBy("grp").applyInArrow(_covered_rows(scheme), COVERED)
     replies = covered.unionByName(copies, allowMissingColumns=True)
-    whole = rows.select("id", block, "text", "rest")
     kind = whole.schema["rest"].dataType.simpleString()
     names = [*made]
     types = [_ARROW[t] for t in made.values()]
