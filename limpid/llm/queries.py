@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import substring_dedup, suffix_dedup
+from limpid.llm import minhash_dedup, substring_dedup, suffix_dedup
 from limpid.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,3 +31,8 @@ def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.duplicate_words(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
