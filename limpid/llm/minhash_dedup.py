@@ -53,10 +53,10 @@ def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
         if b - a >= SHINGLE:
             yield np.unique(grams[a : b - SHINGLE + 1])
         elif b > a:
-            few = U64(b - a)
-            for word in words[a:b]:
-                few = mixed(np.array([few * multipliers(2)[1] + word], U64))[0]
-            yield np.array([few >> U64(1)]).astype(np.int64)
+            few = np.full(1, b - a, U64)
+            for word in range(a, b):
+                few = mixed(few * multipliers(1) + words[word : word + 1])
+            yield (few >> U64(1)).astype(np.int64)
         else:
             yield np.zeros(0, np.int64)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import minhash_dedup, substring_dedup, suffix_dedup
+from limpid.llm import bpe, minhash_dedup, substring_dedup, suffix_dedup
 from limpid.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +36,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    return bpe.encoding_digests(_table(spark, sf_dir, "documents"), vocabulary)
