@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import bpe, minhash_dedup, substring_dedup, suffix_dedup
+from limpid.llm import bpe, minhash_dedup, quality, sharding, substring_dedup, suffix_dedup
 from limpid.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,3 +44,18 @@ def op9_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     return bpe.encoding_digests(_table(spark, sf_dir, "documents"), vocabulary)
+
+
+@_query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_scores(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+@_query
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op1_sharding"] = sharding.oracle_sql()
