@@ -10,9 +10,10 @@
 3. Every list has a pivot, the member whose values are the most common. Members pair with
    pivots; the sketch of the union estimates each pair; the best pair of each member
    is verified on the full sets. Groups of copies end here, as stars.
-4. The rest: lists whose members are still in several components compare exactly those
-   members that are apart, in tiles of ``TILE`` members, with the same estimate and the same
-   verification. No list or partner is cut off.
+4. The rest: lists of one pivot whose members are not all in its star compare all members,
+   in tiles of ``TILE``: the same estimate tells who may have a link elsewhere, and a
+   product of membership tables counts their common shingles exactly. Only a
+   spanning forest of the links leaves a task. No list or partner is cut off.
 5. Components of the verified links give each document its smallest relative.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from limpid.llm.components import components
+from limpid.llm.components import components, roots
 from limpid.llm.hashing import (
     U64, binary_bounds, gram_hashes, lowered, mixed, multipliers, word_hashes, word_spans,
 )
@@ -39,6 +40,9 @@ K = 32
 LEAST_ESTIMATE = 0.55
 TILE = 512
 VERIFY_ROWS = 2000
+ESTIMATE_ROWS = 1 << 16
+PRODUCT_COLUMNS = 4096
+FLAGGED = "pivot bigint, low int, high int, node bigint, side int"
 NONE = np.iinfo(np.int64).max
 
 
@@ -154,37 +158,83 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _apart(table: pa.Table) -> pa.Table:
-    """Pairs of one tile pair that are apart, share enough values and look similar."""
+    """Members of two tiles that look similar to one of another component."""
     table = table.combine_chunks()
     side = table.column("side").to_numpy()
     node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
     sketch = _matrix(table.column("sketch").chunk(0))
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    values = np.unique(sketch)
-    values = values[values != NONE]
-    marks = np.zeros((len(node), len(values) + 1), np.float32)
-    np.put_along_axis(marks, np.searchsorted(values, sketch), 1, axis=1)
-    marks[:, len(values)] = 0
-    overlap = marks[left] @ marks[right].T
+    values, count = np.unique(sketch, return_counts=True)
+    values = values[(values != NONE) & (count > 1)]
+    if not len(values):
+        return table.select(["pivot", "low", "high", "node", "side"]).slice(0, 0)
+    spot = np.minimum(np.searchsorted(values, sketch), len(values) - 1)
+    marks = np.zeros((len(node), len(values)), np.float32)
+    row, column = np.nonzero(values[spot] == sketch)
+    marks[row, spot[row, column]] = 1
     size = (sketch != NONE).sum(axis=1)
+    flag = np.zeros(len(node), bool)
+    overlap = marks[left] @ marks[right].T
     need = np.maximum((size[left][:, None] + 1) // 2, (size[right][None, :] + 1) // 2)
     fit = (overlap >= need) & (label[left][:, None] != label[right][None, :])
     fit &= _close(n[left][:, None], n[right][None, :])
-    fit &= (node[left][:, None] < node[right][None, :]) | (side[left] == 0)[:, None]
     i, j = np.nonzero(fit)
-    i, j = left[i], right[j]
-    keep = estimates(sketch[i], sketch[j]) >= LEAST_ESTIMATE
-    a, b = node[i[keep]], node[j[keep]]
-    return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+    for at in range(0, len(i), ESTIMATE_ROWS):
+        x, y = left[i[at : at + ESTIMATE_ROWS]], right[j[at : at + ESTIMATE_ROWS]]
+        likely = estimates(sketch[x], sketch[y]) >= LEAST_ESTIMATE
+        flag[x[likely]] = flag[y[likely]] = True
+    return table.select(["pivot", "low", "high", "node", "side"]).filter(pa.array(flag))
+
+
+def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the left with the right sets, exactly."""
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, number, count = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = np.flatnonzero(count > 1)
+    column = np.full(len(count), -1)
+    column[shared] = np.arange(len(shared))
+    column = column[number]
+    row, column = row[column >= 0], column[column >= 0]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    total = np.zeros((len(left), len(right)), np.float32)
+    for at in range(0, len(shared), PRODUCT_COLUMNS):
+        a, b = np.searchsorted(column, [at, at + PRODUCT_COLUMNS])
+        marks = np.zeros((len(sets), PRODUCT_COLUMNS), np.float32)
+        marks[row[a:b], column[a:b] - at] = 1
+        total += marks[left] @ marks[right].T  # whole numbers, exact in single precision
+    return total.astype(np.int64)
+
+
+def _tile_links(table: pa.Table) -> pa.Table:
+    """A spanning forest of the links between two tiles, by full sets."""
+    side, node = table.column("side").to_numpy(), table.column("node").to_numpy()
+    sets = [np.frombuffer(x, np.int64) for x in table.column("values").to_pylist()]
+    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+    if not len(left) or not len(right):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    common = common_counts(sets, left, right)
+    size = np.array([len(s) for s in sets])
+    union = size[left][:, None] + size[right][None, :] - common
+    i, j = np.nonzero(100 * common >= LINK_PERCENT * union)
+    root = roots(len(node), left[i], right[j])
+    far = np.flatnonzero(root != np.arange(len(node)))
+    return pa.table({"a": node[far], "b": node[root[far]]})
+
+
+def _sets(used: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, values): the full sets of the classes in ``used``, from their texts."""
+    wanted = classes.join(used.select("node").distinct(), "node")
+    wanted = wanted.select(F.col("rep").alias("id"), "digest", "node")
+    texts = docs.join(wanted, "id").select("node", "digest", "text")
+    sets = texts.mapInArrow(_full_sets, "node bigint, values binary").dropDuplicates(["node"])
+    return cut(sets, "shingle-sets")
 
 
 def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes that are links by their full sets."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = classes.join(used, "node").select(F.col("rep").alias("id"), "digest", "node")
-    texts = docs.join(wanted, "id").select("node", "digest", "text")
-    sets = texts.mapInArrow(_full_sets, "node bigint, values binary").dropDuplicates(["node"])
-    sets = cut(sets, "shingle-sets")
+    sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), classes, docs)
     left = sets.select(F.col("node").alias("a"), F.col("values").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("values").alias("set_b"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
@@ -228,33 +278,42 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     likely = cut(likely.groupBy("a").agg(top).select("a", (-F.col("top.minus")).alias("b")), "stars-to-verify")
     links = cut(_verify(likely, classes, docs), "links")
 
-    labels = components(links)
+    # Each member's star, or the star its hub belongs to; good enough to see who is apart.
+    hubs = links.select(F.col("a").alias("hub"), F.col("b").alias("next"))
+    stars = links.join(hubs, F.col("b") == F.col("hub"), "left")
+    stars = stars.select(F.col("a").alias("node"), F.coalesce("next", "b").alias("star"))
     placed = (
-        postings.select("value", "node")
-        .join(labels.withColumnRenamed("id", "node"), "node", "left")
-        .select("value", "node", F.coalesce("component", "node").alias("label"))
+        postings.select("value", "node").join(pivots, "value")
+        .select(F.col("b").alias("pivot"), "node").distinct()
+        .join(stars, "node", "left")
+        .select("pivot", "node", F.coalesce("star", "node").alias("label"))
     )
+    placed = cut(placed, "members")
     unsettled = (
-        placed.groupBy("value")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
-        .where("low < high")
-        .select("value", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
+        placed.groupBy("pivot")
+        .agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count(F.lit(1)).alias("members"))
+        .where("least < most")
+        .select("pivot", F.ceil(F.col("members") / TILE).cast("int").alias("tiles"))
     )
     tile = F.pmod(F.xxhash64("node"), "tiles").cast("int")
-    members = placed.join(unsettled, "value").withColumn("tile", tile)
+    members = placed.join(unsettled, "pivot").withColumn("tile", tile)
     # A tile meets itself and every other tile of its list once.
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    # 0 and 1: the two sides; 2: both.
+    side = F.when(F.col("tile") == F.col("other"), 2).when(F.col("tile") < F.col("other"), 0).otherwise(1)
     members = members.select(
-        "value", "node", "label",
-        F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
-        F.signum(F.col("tile") - F.col("other")).cast("int").alias("sign"),
+        "pivot", F.least("tile", "other").alias("low"), F.greatest("tile", "other").alias("high"),
+        "node", "label", side.alias("side"),
     )
-    # 0 and 1: the two sides; 2: both.
-    side = F.when(F.col("sign") == 0, 2).when(F.col("sign") < 0, 0).otherwise(1)
-    tiles = members.withColumn("side", side).join(classes.select("node", "n", "sketch"), "node")
-    rest = tiles.groupBy("value", "low", "high").applyInArrow(_apart, "a bigint, b bigint").distinct()
-    rest = cut(rest, "rest-to-verify")
-    return links.unionByName(_verify(rest, classes, docs))
+    tiles = members.join(classes.select("node", "n", "sketch"), "node")
+    flagged = tiles.groupBy("pivot", "low", "high").applyInArrow(_apart, FLAGGED)
+    flagged = cut(flagged, "rest-to-verify")
+    sets = _sets(flagged, classes, docs)
+    rest = (
+        flagged.join(sets, "node").groupBy("pivot", "low", "high")
+        .applyInArrow(_tile_links, "a bigint, b bigint")
+    )
+    return links.unionByName(rest)
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
