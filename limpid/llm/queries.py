@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import bpe, minhash_dedup, quality, sharding, substring_dedup, suffix_dedup
+from limpid.llm import bpe, embedding_dedup, minhash_dedup, quality, sharding, substring_dedup, suffix_dedup, warc
 from limpid.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,3 +59,16 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op1_sharding"] = sharding.oracle_sql()
+
+
+@_query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived_pages(_table(spark, sf_dir, "pages"))
+
+
+ORACLES["op3_warc"] = warc.ORACLE_SQL
+
+
+@_query
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
