@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from limpid.llm import bpe, embedding_dedup, minhash_dedup, quality, sharding, substring_dedup, suffix_dedup, warc
+from limpid.llm import (
+    bpe, embedding_dedup, minhash_dedup, neighbours, packing, quality, sharding, substring_dedup,
+    suffix_dedup, warc,
+)
 from limpid.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,3 +75,13 @@ ORACLES["op3_warc"] = warc.ORACLE_SQL
 @_query
 def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_documents(_table(spark, sf_dir, "documents"))
