@@ -7,10 +7,13 @@ them: those bytes never occur inside a UTF-8 character.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
 U64 = np.uint64
+SLICE_BYTES = 4 << 20
 # Odd multipliers of a 64-bit mix.
 MIX_1 = U64(0xBF58476D1CE4E5B9)
 MIX_2 = U64(0x94D049BB133111EB)
@@ -52,6 +55,22 @@ def binary_bounds(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nd
     return np.frombuffer(data, np.uint8)[bounds[0] : bounds[-1]], bounds - bounds[0]
 
 
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices of at most ``most`` bytes of text, or one row."""
+    for batch in batches:
+        texts = batch.column(column)
+        kind = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+        bounds = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1]
+        start = 0
+        while start < len(texts):
+            stop = int(np.searchsorted(bounds, bounds[start].astype(np.int64) + most, side="right")) - 1
+            stop = max(stop, start + 1)
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def sliding_words(data: np.ndarray) -> np.ndarray:
     """The 8 bytes from each position on as one number, zeros after the end."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])

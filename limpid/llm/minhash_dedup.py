@@ -29,7 +29,8 @@ from pyspark.sql import functions as F
 
 from limpid.llm.components import components, roots
 from limpid.llm.hashing import (
-    U64, binary_bounds, gram_hashes, lowered, mixed, multipliers, word_hashes, word_spans,
+    U64, binary_bounds, gram_hashes, lowered, mixed, multipliers, text_slices,
+    word_hashes, word_spans,
 )
 from limpid.llm.layout import NO_ID, cut, known_id
 
@@ -76,7 +77,7 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
 
 
 def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_slices(batches):
         sizes, digests, sketches = [], [], []
         for values in shingle_sets(batch.column("text")):
             sizes.append(len(values))
@@ -129,7 +130,7 @@ def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_slices(batches):
         wanted = batch.column("digest").to_pylist()
         sets = [*shingle_sets(batch.column("text"))]
         keep = [i for i, s in enumerate(sets) if _digest(s) == wanted[i]]

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limpid.llm.hashing import binary_bounds, word_spans
+from limpid.llm.hashing import binary_bounds, text_slices, word_spans
 from limpid.llm.layout import NO_ID, cut, known_id
 
 LENGTHS = (256, 512, 1024, 2048, 4096)
@@ -71,7 +71,7 @@ def best_fit(
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in text_slices(batches):
         data, bounds = binary_bounds(batch.column("text"))
         _, _, limits = word_spans(data, bounds)
         yield pa.RecordBatch.from_arrays(

@@ -18,7 +18,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from limpid.llm.hashing import STEP, U64, binary_bounds, mixed, sliding_words, word_hashes, word_spans
+from limpid.llm.hashing import (
+    STEP, U64, binary_bounds, mixed, sliding_words, text_slices, word_hashes, word_spans,
+)
 
 BUCKETS = 1 << 16
 DIMENSIONS = 16
@@ -167,7 +169,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 def _scored(shared):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, bias = shared.value
-        for batch in batches:
+        for batch in text_slices(batches):
             data, bounds = binary_bounds(batch.column("text"))
             n = batch.num_rows
             total, count = np.zeros(n, np.int64), np.zeros(n, np.int64)

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from limpid.llm.hashing import U64, binary_bounds, gram_hashes, mixed, multipliers
+from limpid.llm.hashing import U64, binary_bounds, gram_hashes, mixed, multipliers, text_slices
 from limpid.llm.layout import cut, known_id, later_copies, slices, text_digests
 
 BLOCK_BYTES = 4 << 20
@@ -184,7 +184,7 @@ def _seed_rows(scheme: Scheme, n_buckets: int):
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held, first_doc = [], 0, 0
-        for batch in batches:
+        for batch in text_slices(batches):
             tokens, bounds = scheme.tokens(*binary_bounds(batch.column("text")))
             place, value = find_seeds(tokens, bounds, scheme.window, scheme.seed)
             doc = np.searchsorted(bounds, place, side="right") - 1
