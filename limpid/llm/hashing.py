@@ -60,6 +60,8 @@ def text_slices(
 ) -> Iterator[pa.RecordBatch]:
     """The rows of ``batches`` in slices of at most ``most`` bytes of text, or one row."""
     for batch in batches:
+        if not batch.num_rows:
+            continue
         texts = batch.column(column)
         kind = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
         bounds = np.frombuffer(texts.buffers()[1], kind)[texts.offset : texts.offset + len(texts) + 1]
