@@ -2,7 +2,7 @@
 
 from limpid.operators.dedup import duplicate_count, duplicate_groups, keep_first
 from limpid.operators.integrity import missing_keys, split_by_reference
-from limpid.operators.median import group_median, overall_median, value_count
+from limpid.operators.median import group_median, overall_median
 from limpid.operators.missing import (
     delete_missing,
     handle_missing,
@@ -30,6 +30,5 @@ __all__ = [
     "split_by_reference",
     "stats_before_after",
     "tagged_union",
-    "value_count",
     "zero_fill",
 ]

@@ -1,185 +1,82 @@
-"""Exact medians of groups of any size.
-
-``F.median`` keeps every distinct value of a group in one task's memory, which is
-used only up to ``IN_MEMORY_ROWS`` values of the whole table. Beyond, the middle
-ranks are narrowed down in rounds, as in selection by pivots:
-
-1. ``PARTS - 1`` pivots are drawn from the values still in play;
-2. rows are counted per group and bucket, a bucket being one pivot or the gap
-   between two (a partial aggregate: groups times buckets are shuffled, not rows);
-3. each group keeps the one or two buckets that hold its middle ranks. A pivot
-   bucket is an answer; the rows of a gap, some ``1 / PARTS`` of them, stay in play.
-
-Rounds end when no gap holds more than ``IN_MEMORY_ROWS`` rows, and a last window
-ranks what is left. Wherever the pivots lie the result is exact: they only decide
-how fast the rounds shrink. Rows are not shuffled to find their bucket unless the
-kept buckets are too many to broadcast, which Spark sees from the size of their
-table.
+"""Exact medians of groups of any size, on one path for every size.
+
+1. Rows are counted per (group, value): a partial aggregate, so a value that fills a
+   group shrinks to one row before it is shuffled.
+2. These counts are range-partitioned by (group, value), which splits a large group
+   over several slices, and written with the number of their slice: the cuts of a
+   repeated sampling could differ, those of a table cannot.
+3. Sums per (group, slice) tell in which slice the middle ranks of each group lie, one or
+   two slices a group. Only there are counts added up to find the values of these ranks.
+
+No step gathers a group: a slice is bounded, whatever group or value fills it.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limpid.sources.scratch import scratch_folder
 from limpid.sources.tables import through_table
 
-# Few enough for the search to stay one small compiled method.
-PARTS = 32
-# Pivots need not be precise: samples kept per sketch.
-SKETCH = 1000
-SLOTS = 1024
-IN_MEMORY_ROWS = 1_000_000
-# Ordering so few rows is cheaper than one more round.
-FEW_ROWS = 1000
-
-
-def _numbers(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
-    number = F.col(value).cast("double")
-    present = df.select(*groups, number.alias(value)).where(~F.isnan(value))
-    return present.na.drop()
-
 
 def _cut(df: DataFrame, purpose: str) -> DataFrame:
     return through_table(df, scratch_folder(df.sparkSession, purpose))
 
 
-def value_spread(df: DataFrame, value: str, parts: int = PARTS) -> tuple[int, list[float]]:
-    """Number of values, and at most ``parts - 1`` pivots of roughly equal weight.
-
-    Sketches are merged per slot of scan tasks first, then the slots' pivots, so
-    no task merges the sketches of the whole cluster.
-    """
-    shares = [i / parts for i in range(1, parts)]
-    slot = (F.spark_partition_id() % SLOTS).alias("slot")
-    slots = (
-        _numbers(df, value, [])
-        .groupBy(slot)
-        .agg(F.count(value).alias("rows"), F.percentile_approx(value, shares, SKETCH).alias("pivots"))
-        .select("rows", F.posexplode("pivots").alias("place", "pivot"))
-    )
-    found = slots.agg(
-        F.sum(F.when(F.col("place") == 0, F.col("rows"))).alias("rows"),
-        F.percentile_approx("pivot", shares, SKETCH).alias("pivots"),
-    ).first()
-    return found["rows"] or 0, sorted(set(found["pivots"] or []))
-
-
-def _bucket(value: str, pivots: list[float]) -> str:
-    """SQL for a binary search: odd numbers are pivots, even ones the gaps around them."""
-
-    def search(low: int, high: int) -> str:
-        if low == high:
-            return str(2 * low)
-        middle = (low + high) // 2
-        pivot = f"{pivots[middle]!r}D"
-        return (
-            f"CASE WHEN `{value}` < {pivot} THEN {search(low, middle)} "
-            f"WHEN `{value}` = {pivot} THEN {2 * middle + 1} ELSE {search(middle + 1, high)} END"
+def value_counts(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
+    """(groups, value, _n) as a written table; NULL and NaN values and NULL groups left out."""
+    number = F.col(value).cast("double")
+    present = df.select(*groups, number.alias(value)).where(~F.isnan(value)).na.drop()
+    return _cut(present.groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+
+
+def medians_of_counts(counts: DataFrame, value: str, groups: list[str], name: str) -> DataFrame:
+    """(groups, name) from a written table of (groups, value, _n)."""
+    spread = counts.repartitionByRange(*groups, value).withColumn("_slice", F.spark_partition_id())
+    placed = _cut(spread, "value-slices")
+    slices = placed.groupBy(*groups, "_slice").agg(F.sum("_n").alias("_in"))
+    whole = Window.partitionBy(*groups)
+    upto = whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # The middle ranks of a group, and the slices that hold them: one row a slice and group.
+    middle = (
+        slices.withColumns({"_total": F.sum("_in").over(whole), "_end": F.sum("_in").over(upto)})
+        .withColumns(
+            {
+                "_start": F.col("_end") - F.col("_in"),
+                "_low": F.expr("(_total + 1) div 2"),
+                "_high": F.expr("_total div 2 + 1"),
+            }
         )
+        .where("_end >= _low and _start < _high")
+        .select(*groups, "_slice", "_start", "_low", "_high")
+    )
+    within = (
+        Window.partitionBy(*groups, "_slice").orderBy(value)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    ranked = placed.join(middle, [*groups, "_slice"]).withColumn(
+        "_end", F.col("_start") + F.sum("_n").over(within)
+    )
+    found = ranked.where((F.col("_end") >= F.col("_low")) & (F.col("_end") - F.col("_n") < F.col("_high")))
+    low, high = F.min(value), F.max(value)
+    # Halves first: the sum of two large values could overflow.
+    return found.groupBy(*groups).agg(F.when(low == high, low).otherwise(low / 2 + high / 2).alias(name))
 
-    return search(0, len(pivots))
 
+def group_median(df: DataFrame, value: str, group: str) -> DataFrame:
+    """(group, group_median): exact, NULL and NaN values ignored, no row for a NULL group."""
+    return medians_of_counts(value_counts(df, value, [group]), value, [group], "group_median")
 
-def _covering(counts: DataFrame, groups: list[str], order: str) -> DataFrame:
-    """Rows of (groups, order, _n) that reach a middle rank ``_low`` to ``_high``.
 
-    At most the number of buckets, or what fits in memory, is ordered per group.
-    """
-    window = Window.partitionBy(*groups).orderBy(order)
-    return (
-        counts.withColumn(
-            "_upto", F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, 0))
-        )
-        .withColumn("_before", F.col("_upto") - F.col("_n"))
-        .where((F.col("_upto") >= F.col("_low")) & (F.col("_before") < F.col("_high")))
-    )
+def overall_median(df: DataFrame, value: str) -> DataFrame:
+    """(overall_median): exact median of a whole column, one row, NULL without values."""
+    return overall_of_counts(value_counts(df, value, []), value)
 
 
-def _middle_buckets(rows: DataFrame, groups: list[str]) -> DataFrame:
-    """Buckets holding the middle ranks; ranks are in the rows after the first round."""
-    ranks = [c for c in ("_low", "_high") if c in rows.columns]
-    counts = rows.groupBy(*groups, *ranks, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    if not ranks:
-        total = F.sum("_n").over(Window.partitionBy(*groups))
-        counts = counts.withColumn("_total", total).withColumns(
-            {"_low": F.expr("(_total + 1) div 2"), "_high": F.expr("_total div 2 + 1")}
-        )
-    kept = _covering(counts, groups, "_bucket")
-    return kept.select(*groups, "_bucket", "_n", "_before", "_low", "_high")
-
-
-def _narrowed(df: DataFrame, value: str, groups: list[str], name: str, limit: int) -> DataFrame:
-    rows, answers = _numbers(df, value, groups), []
-    while True:
-        pivots = value_spread(rows, value)[1]
-        placed = rows.withColumn("_bucket", F.expr(_bucket(value, pivots)))
-        middle = _cut(_middle_buckets(placed, groups), "middle-buckets")
-        is_pivot = F.col("_bucket") % 2 == 1
-        pivot = F.get(F.array(*map(F.lit, pivots)), F.expr("_bucket div 2").cast("int"))
-        answers.append(middle.where(is_pivot).select(*groups, pivot.alias(value)))
-        gaps = middle.where(~is_pivot)
-        largest = gaps.agg(F.max("_n")).first()[0]
-        if largest is None:
-            break
-        base = F.min("_before").over(Window.partitionBy(*groups))
-        open_ranks = gaps.withColumn("_base", base).select(
-            *groups,
-            "_bucket",
-            (F.col("_low") - F.col("_base")).alias("_low"),
-            (F.col("_high") - F.col("_base")).alias("_high"),
-        )
-        keys = [*groups, "_bucket"]
-        rows = placed.drop("_low", "_high").join(open_ranks, keys).drop("_bucket")
-        if largest <= max(limit, FEW_ROWS):
-            counts = rows.groupBy(*groups, "_low", "_high", value).agg(F.count(F.lit(1)).alias("_n"))
-            answers.append(_covering(counts, groups, value).select(*groups, value))
-            break
-        rows = _cut(rows, "in-play")
-    # One or two values per group are left: those at the middle ranks.
-    found = reduce(lambda a, b: a.unionByName(b), answers)
-    return found.groupBy(*groups).agg(((F.min(value) + F.max(value)) / 2).alias(name))
-
-
-def _median(
-    df: DataFrame, value: str, groups: list[str], name: str, limit: int, n_values: int
-) -> DataFrame:
-    if n_values <= limit:
-        return _numbers(df, value, groups).groupBy(*groups).agg(F.median(value).alias(name))
-    if groups:
-        return _narrowed(df, value, groups, name, limit)
-    whole = df.select(F.lit(1).alias("_all"), value)
-    return _narrowed(whole, value, ["_all"], name, limit).select(name)
-
-
-def value_count(df: DataFrame, value: str) -> int:
-    return _numbers(df, value, []).count()
-
-
-def group_median(
-    df: DataFrame,
-    value: str,
-    group: str,
-    in_memory_rows: int = IN_MEMORY_ROWS,
-    n_values: int | None = None,
-) -> DataFrame:
-    """(group, group_median): exact, NULL and NaN values ignored, no row for a NULL group.
-
-    ``n_values`` is ``value_count(df, value)`` when already known.
-    """
-    known = value_count(df, value) if n_values is None else n_values
-    return _median(df, value, [group], "group_median", in_memory_rows, known)
-
-
-def overall_median(
-    df: DataFrame,
-    value: str,
-    in_memory_rows: int = IN_MEMORY_ROWS,
-    n_values: int | None = None,
-) -> DataFrame:
-    """(overall_median): exact median of a whole column, one row."""
-    known = value_count(df, value) if n_values is None else n_values
-    return _median(df, value, [], "overall_median", in_memory_rows, known)
+def overall_of_counts(counts: DataFrame, value: str) -> DataFrame:
+    """(overall_median) from a table that has counts ``_n`` of each value, groups allowed."""
+    whole = counts.groupBy(value).agg(F.sum("_n").alias("_n")).withColumn("_all", F.lit(1))
+    whole = _cut(whole, "value-counts")
+    found = medians_of_counts(whole, value, ["_all"], "overall_median")
+    return found.agg(F.first("overall_median").alias("overall_median"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from limpid.functions.numbers import NUMBER, round_half_up, to_number
 from limpid.functions.text import BUDGET_SENTINELS, nullify_tokens
-from limpid.operators.median import group_median, overall_median, value_count
+from limpid.operators.median import medians_of_counts, overall_median, overall_of_counts, value_counts
 
 THRESHOLD = 0.05
 
@@ -24,9 +24,18 @@ def run_stamp() -> str:
     return datetime.now().strftime("%Y-%m-%d %H:%M:%S")
 
 
+def nan_to_null(df: DataFrame, col: str, drop: bool = False) -> DataFrame:
+    """A NaN is a missing value like NULL (or its row goes); only floats have one."""
+    if df.schema[col].dataType.typeName() not in ("float", "double"):
+        return df
+    if drop:
+        return df.where(~F.isnan(col))
+    return df.withColumn(col, F.when(~F.isnan(col), F.col(col)))
+
+
 def missing_rate(df: DataFrame, col: str) -> float:
-    """Share of NULL in ``col``; 0 for an empty table. Runs one aggregate job."""
-    counts = df.agg(
+    """Share of NULL and NaN in ``col``; 0 for an empty table. Runs one aggregate job."""
+    counts = nan_to_null(df.select(col), col).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col(col).isNull()).alias("missing")
     ).first()
     return counts["missing"] / counts["rows"] if counts["rows"] else 0.0
@@ -36,13 +45,14 @@ def delete_missing(
     df: DataFrame, col: str, run_ts: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Split into (rows with a value, audit of the rows without)."""
-    removed = df.where(F.col(col).isNull()).withColumns(
+    kept = nan_to_null(df.where(F.col(col).isNotNull()), col, drop=True)
+    removed = nan_to_null(df, col).where(F.col(col).isNull()).withColumns(
         {
             "date_suppression": F.lit(run_ts or run_stamp()),
             "motif_suppression": F.lit(f"valeur_manquante_{col}"),
         }
     )
-    return df.where(F.col(col).isNotNull()), removed
+    return kept, removed
 
 
 def impute_group_median(
@@ -50,12 +60,18 @@ def impute_group_median(
 ) -> tuple[DataFrame, DataFrame]:
     """Fill NULL with the group's median, else with the overall one: (filled, audit).
 
-    Only the rows with a hole meet the medians; the others pass through with no
-    shuffle. If the column holds no value at all, its NULLs stay.
+    Group and overall medians come from one table of counts. Only the rows with a hole
+    meet them; the others pass through with no shuffle. If the column holds no value at
+    all, its NULLs stay. NaN counts as NULL.
     """
-    n_values = value_count(df, col)
-    by_group = group_median(df, col, group, n_values=n_values)
-    overall = overall_median(df, col, n_values=n_values)
+    df = nan_to_null(df, col)
+    # Values of rows without a group count for the overall median, as a group of their own.
+    keyed = df.select(F.struct(group).alias("_group"), col)
+    counts = value_counts(keyed, col, ["_group"])
+    named = counts.where(F.col("_group").getField(group).isNotNull())
+    named = named.select(F.col("_group").getField(group).alias(group), col, "_n")
+    by_group = medians_of_counts(named, col, [group], "group_median")
+    overall = overall_of_counts(counts, col)
     values = df.withColumn(col, F.col(col).cast("double"))
     holes = (
         values.where(F.col(col).isNull())

@@ -33,45 +33,54 @@ def groups(seed: int, n: int):
     return data
 
 
-@pytest.mark.parametrize("in_memory_rows", [0, 30, 10**9])
-@pytest.mark.parametrize("n", [40, 3000])
-def test_medians_match_brute_force(spark, n, in_memory_rows):
-    data = groups(n, n)
-    df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    by_group = group_median(df, "v", "code", in_memory_rows)
-    overall = overall_median(df, "v", in_memory_rows)
+def checked(spark, data, parts=5):
+    df = spark.createDataFrame(data, SCHEMA).repartition(parts)
     known = {k: [v for g, v in data if g == k and v is not None] for k, _ in data if k is not None}
-    assert rows(by_group) == sorted((k, median(v)) for k, v in known.items() if v)
-    assert rows(overall) == [(median([v for _, v in data if v is not None]),)]
+    assert rows(group_median(df, "v", "code")) == sorted((k, median(v)) for k, v in known.items() if v)
+    assert rows(overall_median(df, "v")) == [(median([v for _, v in data if v is not None]),)]
+
+
+@pytest.mark.parametrize("n", [40, 3000])
+def test_medians_match_brute_force(spark, n):
+    checked(spark, groups(n, n))
 
 
-@pytest.mark.parametrize("in_memory_rows", [0, 10**9])
-def test_median_of_nothing_is_null(spark, in_memory_rows):
+def test_median_of_nothing_is_null(spark):
     df = spark.createDataFrame([("a", None), ("a", float("nan"))], SCHEMA)
-    assert rows(overall_median(df, "v", in_memory_rows)) == [(None,)]
-    assert rows(group_median(df, "v", "code", in_memory_rows)) == []
+    assert rows(overall_median(df, "v")) == [(None,)]
+    assert rows(group_median(df, "v", "code")) == []
+
+
+def test_groups_of_disjoint_ranges_and_hot_values(spark):
+    data = [(f"g{g:02}", float(g * 10_000 + v)) for g in range(30) for v in range(0, 101 + g % 2)]
+    data += [("hot", float(v)) for v in range(3001)] + [("value", 7.0)] * 3000 + [("value", 8.0)] * 3000
+    checked(spark, data)
 
 
-def test_narrowing_takes_several_rounds(spark, monkeypatch):
-    """Few pivots and a tiny limit: gaps are opened again and again."""
+def test_a_large_group_is_split_over_slices(spark, tmp_path):
     from limpid.operators import median as module
 
-    monkeypatch.setattr(module.value_spread, "__defaults__", (4,))
-    monkeypatch.setattr(module, "FEW_ROWS", 10)
-    data = groups(5, 400)
-    df = spark.createDataFrame(data, SCHEMA).repartition(5)
-    by_group, overall = group_median(df, "v", "code", 10), overall_median(df, "v", 10)
-    known = {k: [v for g, v in data if g == k and v is not None] for k, _ in data if k is not None}
-    assert rows(by_group) == sorted((k, median(v)) for k, v in known.items() if v)
-    assert rows(overall) == [(median([v for _, v in data if v is not None]),)]
+    df = spark.createDataFrame([("hot", float(v)) for v in range(4000)] + [("b", 1.0)], SCHEMA)
+    counts = module.value_counts(df, "v", ["code"])
+    spread = counts.repartitionByRange(8, "code", "v").where("code = 'hot'")
+    assert spread.select(F.spark_partition_id()).distinct().count() > 4
+
 
+def test_infinite_and_large_values(spark):
+    inf, big = float("inf"), 1.6e308
+    data = [("a", 1.0), ("a", inf), ("a", inf), ("b", big), ("b", big), ("c", -inf), ("c", 2.0), ("c", 3.0),
+            ("d", big), ("d", 1.5e308)]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert rows(group_median(df, "v", "code")) == [("a", inf), ("b", big), ("c", 2.0), ("d", 1.55e308)]
 
-def test_narrowing_does_not_shuffle_rows(spark, tmp_path):
-    spark.createDataFrame(groups(1, 600), SCHEMA).write.parquet(f"{tmp_path}/t")
-    df = spark.read.parquet(f"{tmp_path}/t")
-    plan = group_median(df, "v", "code", 20)._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "NestedLoop" not in plan
-    assert "percentile" not in plan
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", float("nan")), ("a", 3.0)], SCHEMA)
+    assert missing_rate(df, "v") == 1 / 3
+    clean, audit, strategy = handle_missing(df, "v", "code", run_ts="t")
+    assert strategy == "impute" and rows(clean) == [("a", 1.0), ("a", 2.0), ("a", 3.0)]
+    assert audit.count() == 1
+    assert delete_missing(df, "v")[0].count() == 2
 
 
 def test_rate_and_threshold_are_inclusive(spark):

@@ -93,17 +93,26 @@ def group_median(spark, sf_dir):
     return operators.group_median(amounts(spark, sf_dir), "amount", "o_custkey")
 
 
-@query(MANY_GAPS + "SELECT k AS o_custkey, m AS group_median FROM by_group WHERE m IS NOT NULL")
+@query("""
+SELECT l_partkey, median(CAST(round(l_extendedprice * 100) AS BIGINT) + l_partkey * 100000000) AS group_median
+FROM lineitem GROUP BY l_partkey
+""")
 def group_median_spread(spark, sf_dir):
-    """The way taken for tables too large to hold a group's values in one task."""
-    return operators.group_median(
-        amounts(spark, sf_dir), "amount", "o_custkey", in_memory_rows=0
-    )
+    """Groups of disjoint ranges: prices of each part, shifted by the part."""
+    price = cents("l_extendedprice") + F.col("l_partkey") * 100_000_000
+    lines = table(spark, sf_dir, "lineitem").select("l_partkey", price.alias("price"))
+    return operators.group_median(lines, "price", "l_partkey")
 
 
-@query(MANY_GAPS + "SELECT g AS overall_median FROM overall")
+@query("SELECT median(CAST(round(l_extendedprice * 100) AS BIGINT)) AS overall_median FROM lineitem")
 def overall_median_spread(spark, sf_dir):
-    return operators.overall_median(amounts(spark, sf_dir), "amount", in_memory_rows=0)
+    lines = table(spark, sf_dir, "lineitem").select(cents("l_extendedprice").alias("price"))
+    return operators.overall_median(lines, "price")
+
+
+@query(MANY_GAPS + "SELECT g AS overall_median FROM overall")
+def overall_median(spark, sf_dir):
+    return operators.overall_median(amounts(spark, sf_dir), "amount")
 
 
 @query(MANY_GAPS + """
