@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -90,11 +91,12 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for slot, ok, _ in whole_words(data, np.array([0, len(data)])):
                 total += np.bincount(slot[ok], minlength=BUCKETS)
             used = np.flatnonzero(total)
-            slots.append(used.astype("<u4").tobytes())
-            counts.append(total[used].astype("<u4").tobytes())
+            slots.append(used.astype("<u2").tobytes())  # below BUCKETS
+            counts.append(total[used].astype("<f4").tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("good"), pa.array(slots, pa.binary()), pa.array(counts, pa.binary())],
-            names=["good", "slots", "counts"],
+            [batch.column("good"), batch.column("place"), pa.array(slots, pa.binary()),
+             pa.array(counts, pa.binary())],
+            names=["good", "place", "slots", "counts"],
         )
 
 
@@ -155,14 +157,17 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .limit(sample)
     )
     rows = docs.join(picked, F.col(key) == F.col("_id"))
-    counted = rows.select("good", _bordered(text).alias("text")).mapInArrow(
-        _counted, "good int, slots binary, counts binary"
+    counted = rows.select("good", F.xxhash64("_id").alias("place"), _bordered(text).alias("text")).mapInArrow(
+        _counted, "good int, place bigint, slots binary, counts binary"
     )
-    examples = []
-    for good, slots, counts in sorted(map(tuple, counted.limit(sample).toLocalIterator())):
-        count = np.frombuffer(counts, "<u4").astype(np.float32)
-        if len(count):
-            examples.append((good, np.frombuffer(slots, "<u4").astype(np.int64), count / count.sum()))
+    # A partition at a time, and no more than the sample though an id had several rows.
+    found = [
+        (place, good, slots, np.frombuffer(counts, "<f4"))
+        for good, place, slots, counts in islice(counted.toLocalIterator(), sample)
+        if counts
+    ]
+    found.sort(key=lambda x: x[:3])
+    examples = [(good, np.frombuffer(slots, "<u2"), count / count.sum()) for _, good, slots, count in found]
     return train(examples)
 
 
