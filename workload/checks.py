@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from limpid.operators import distinct_profile, null_profile
 from limpid.operators import quality as Q
 from workload.gaps import FEW_GAPS, readings
-from workload.marts import BASE, SYNTHESIS, synthese_regionale
+from workload.marts import FACTS, SYNTHESIS, synthese_regionale
 from workload.registry import query, table
 
 
@@ -85,7 +85,7 @@ def quality_of_orders(spark, sf_dir):
     )
 
 
-@query(BASE + f""", s AS ({SYNTHESIS})
+@query(FACTS + f""", s AS ({SYNTHESIS})
 SELECT entity, "check", column_name, n_bad, n_bad = 0 AS passed FROM (
   SELECT 'synthese_regionale' AS entity, 'not_null' AS "check", 'budget_par_eleve' AS column_name,
          count(*) FILTER (budget_par_eleve IS NULL) AS n_bad FROM s

@@ -22,13 +22,15 @@ def schools(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        "l_partkey", "o_custkey", "o_orderdate", "l_quantity", "l_returnflag"
+    )
 
 
-def enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enrolment(lines: DataFrame) -> DataFrame:
     quantity = F.col("l_quantity").cast("bigint")
     girls = F.col("l_returnflag") == "R"
-    return order_lines(spark, sf_dir).select(
+    return lines.select(
         F.col("o_custkey").alias("code_etablissement"),
         school_year("o_orderdate").alias("annee_scolaire"),
         F.when(~girls, quantity).alias("nb_garcons"),
@@ -36,11 +38,9 @@ def enrolment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def teachers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        order_lines(spark, sf_dir)
-        .groupBy(F.col("l_partkey").alias("matricule"))
-        .agg(F.min("o_custkey").alias("code_etablissement"))
+def teachers(lines: DataFrame) -> DataFrame:
+    return lines.groupBy(F.col("l_partkey").alias("matricule")).agg(
+        F.min("o_custkey").alias("code_etablissement")
     )
 
 
@@ -55,95 +55,83 @@ def budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-BASE = """
-WITH etab AS (
-  SELECT c_custkey AS code, r_name AS region
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-), eff AS (
-  SELECT o_custkey AS code,
-         CAST(year(o_orderdate) - 1 AS VARCHAR) || '-' || CAST(year(o_orderdate) AS VARCHAR) AS annee,
-         CASE WHEN l_returnflag <> 'R' THEN CAST(l_quantity AS BIGINT) END AS garcons,
-         CASE WHEN l_returnflag = 'R' THEN CAST(l_quantity AS BIGINT) END AS filles
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-), ens AS (
-  SELECT l_partkey AS matricule, min(o_custkey) AS code
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY l_partkey
-), bud AS (
-  SELECT region, CAST(year(o_orderdate) AS BIGINT) AS annee,
-         CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS DOUBLE) AS budget
-  FROM orders JOIN etab ON o_custkey = code
-), g1 AS (
-  SELECT region, annee, COUNT(DISTINCT etab.code) AS nb_etablissements
-  FROM etab JOIN eff ON etab.code = eff.code
-  WHERE region IS NOT NULL AND annee IS NOT NULL GROUP BY region, annee
-), g2 AS (
-  SELECT region, annee,
-         CAST(SUM(COALESCE(garcons, 0) + COALESCE(filles, 0)) AS BIGINT) AS effectif_total,
-         CASE WHEN SUM(COALESCE(garcons, 0) + COALESCE(filles, 0)) > 0
-              THEN CAST(SUM(COALESCE(filles, 0)) AS DOUBLE)
-                   / CAST(SUM(COALESCE(garcons, 0) + COALESCE(filles, 0)) AS DOUBLE)
-              ELSE 0 END AS taux_feminisation
-  FROM etab JOIN eff ON etab.code = eff.code
-  WHERE region IS NOT NULL AND annee IS NOT NULL GROUP BY region, annee
-), g3 AS (
-  SELECT region, annee, COUNT(DISTINCT matricule) AS nb_enseignants
-  FROM ens JOIN etab ON ens.code = etab.code
-       JOIN (SELECT DISTINCT code, annee FROM eff) y ON ens.code = y.code
-  WHERE region IS NOT NULL AND annee IS NOT NULL GROUP BY region, annee
-), g4 AS (
-  SELECT region, annee, SUM(COALESCE(budget, 0)) AS budget_total
-  FROM bud WHERE region IS NOT NULL AND annee IS NOT NULL GROUP BY region, annee
+# From the description of the marts: totals of a school and year first, then regions.
+FACTS = """
+WITH place AS (
+  SELECT c_custkey AS school, r_name AS region
+  FROM customer, nation, region WHERE c_nationkey = n_nationkey AND n_regionkey = r_regionkey
+), taught AS (
+  SELECT o_custkey AS school, year(o_orderdate) AS closing, sum(CAST(l_quantity AS BIGINT)) AS pupils,
+         coalesce(sum(CAST(l_quantity AS BIGINT)) FILTER (l_returnflag = 'R'), 0) AS girls
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey
+  GROUP BY ALL
+), enrolled AS (
+  SELECT region, closing, count(*) AS schools, CAST(sum(pupils) AS BIGINT) AS pupils,
+         CAST(sum(girls) AS BIGINT) AS girls
+  FROM taught NATURAL JOIN place GROUP BY ALL
+), post AS (
+  SELECT l_partkey AS teacher, min(o_custkey) AS school
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY ALL
+), staffed AS (
+  SELECT region, closing, count(*) AS teachers
+  FROM post JOIN taught USING (school) JOIN place USING (school) GROUP BY ALL
+), funded AS (
+  SELECT region, year(o_orderdate) AS closing,
+         CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) AS money
+  FROM orders JOIN place ON o_custkey = school GROUP BY ALL
 )
 """
+YEAR = "concat(closing - 1, '-', closing) AS annee"
+
 
-SYNTHESIS = """
-SELECT g1.region AS region, g1.annee AS annee, nb_etablissements, effectif_total,
-       floor(taux_feminisation * 10000 + 0.5) / 10000 AS taux_feminisation,
-       nb_enseignants,
-       CASE WHEN nb_enseignants > 0
-            THEN floor(CAST(effectif_total AS DOUBLE) / nb_enseignants * 100 + 0.5) / 100
-       END AS ratio_eleves_enseignant,
-       budget_total,
-       CASE WHEN effectif_total > 0
-            THEN floor(budget_total / effectif_total * 100 + 0.5) / 100 END AS budget_par_eleve
-FROM g1 JOIN g2 ON g1.region = g2.region AND g1.annee = g2.annee
-        JOIN g3 ON g1.region = g3.region AND g1.annee = g3.annee
-        JOIN g4 ON g1.region = g4.region
-               AND TRY_CAST(split_part(g1.annee, '-', 2) AS BIGINT) = g4.annee
+SYNTHESIS = f"""
+SELECT region, {YEAR}, schools AS nb_etablissements, pupils AS effectif_total,
+       floor(girls / pupils * 10000 + 0.5) / 10000 AS taux_feminisation,
+       teachers AS nb_enseignants,
+       floor(pupils / teachers * 100 + 0.5) / 100 AS ratio_eleves_enseignant,
+       money AS budget_total,
+       floor(money / pupils * 100 + 0.5) / 100 AS budget_par_eleve
+FROM enrolled JOIN staffed USING (region, closing) JOIN funded USING (region, closing)
 """
 
 
-@query(BASE + SYNTHESIS + "ORDER BY region, annee")
+@query(FACTS + SYNTHESIS)
 def synthese_regionale(spark, sf_dir):
-    # Two branches use the yearly enrolment: it is one row per school and year.
-    yearly = through_scratch(gold.school_years(enrolment(spark, sf_dir)), "annees")
+    # Enrolment and teachers come from the same lines, and two branches use the years.
+    lines = through_scratch(order_lines(spark, sf_dir), "lines")
+    yearly = through_scratch(gold.school_years(enrolment(lines)), "annees")
     return gold.synthese_regionale(
         schools(spark, sf_dir),
-        enrolment(spark, sf_dir),
-        teachers(spark, sf_dir),
+        enrolment(lines),
+        teachers(lines),
         budgets(spark, sf_dir),
         yearly=yearly,
     )
 
 
-@query(BASE + "SELECT region, annee, nb_etablissements FROM g1")
+@query(FACTS + f"SELECT region, {YEAR}, schools AS nb_etablissements FROM enrolled")
 def etablissements_par_region(spark, sf_dir):
-    return gold.etablissements_par_region(schools(spark, sf_dir), enrolment(spark, sf_dir))
+    return gold.etablissements_par_region(
+        schools(spark, sf_dir), enrolment(order_lines(spark, sf_dir))
+    )
 
 
-@query(BASE + "SELECT region, annee, effectif_total, taux_feminisation FROM g2")
+@query(FACTS + f"""
+SELECT region, {YEAR}, pupils AS effectif_total, girls / pupils AS taux_feminisation FROM enrolled
+""")
 def effectifs_par_region(spark, sf_dir):
-    return gold.effectifs_par_region(schools(spark, sf_dir), enrolment(spark, sf_dir))
+    return gold.effectifs_par_region(schools(spark, sf_dir), enrolment(order_lines(spark, sf_dir)))
 
 
-@query(BASE + "SELECT region, annee, nb_enseignants FROM g3")
+@query(FACTS + f"SELECT region, {YEAR}, teachers AS nb_enseignants FROM staffed")
 def enseignants_par_region(spark, sf_dir):
-    return gold.enseignants_par_region(
-        schools(spark, sf_dir), enrolment(spark, sf_dir), teachers(spark, sf_dir)
-    )
+    lines = through_scratch(order_lines(spark, sf_dir), "lines")
+    return gold.enseignants_par_region(schools(spark, sf_dir), enrolment(lines), teachers(lines))
 
 
-@query(BASE + "SELECT region, annee, budget_total FROM g4")
+@query(FACTS + """
+SELECT region, CAST(closing AS BIGINT) AS annee, money AS budget_total FROM funded
+""")
 def budgets_par_region(spark, sf_dir):
     return gold.budgets_par_region(budgets(spark, sf_dir))
 
