@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from limpid.llm.hashing import U64, binary_bounds, gram_hashes, mixed, multipliers, text_slices
-from limpid.llm.layout import cut, known_id, later_copies, slices, text_digests
+from limpid.llm.layout import cut, known_id, later_copies, row_mark, slices, text_digests
 
 BLOCK_BYTES = 4 << 20
 GROUP_BYTES = 4 << 20
@@ -238,7 +238,8 @@ class Block:
         doc = docs.column("id").to_numpy()
         lists = [c for c in told.column("copies").to_pylist() if c]
         copies = np.unique(np.concatenate(lists)) if lists else np.zeros(0, np.int64)
-        return cls(doc, docs.column("text"), np.isin(doc, copies), docs)
+        mark = docs.column("mark").to_numpy()
+        return cls(doc, docs.column("text"), np.isin(mark, copies), docs)
 
 
 def _context_rows(scheme: Scheme, n_buckets: int, n_groups: int):
@@ -466,16 +467,17 @@ def remove_repeats(
     total = digests.agg(F.sum("n_bytes")).first()[0] or 0
     n_blocks, n_buckets = slices(total, BLOCK_BYTES), slices(total, GROUP_BYTES)
     block = F.pmod(F.xxhash64("id"), F.lit(n_blocks)).cast("int").alias("block")
-    copies = later_copies(digests).groupBy(block).agg(F.collect_set("id").alias("copies"))
+    copies = later_copies(digests).groupBy(block).agg(F.collect_set("mark").alias("copies"))
     copies = cut(copies, "copies")
     others = [c for c in docs.columns if c != text]
     rows = docs.select(
         known_id(key).alias("id"),
+        row_mark(key, text).alias("mark"),
         F.col(text).cast("binary").alias("text"),
         F.struct(*(F.col(f"`{c}`") for c in others)).alias("rest"),
     )
     # The same rows for both passes over texts, so that Spark shuffles them once.
-    whole = rows.select("id", block, "text", "rest")
+    whole = rows.select("id", "mark", block, "text", "rest")
     seeds = whole.select("block", "text").mapInArrow(_seed_rows(scheme, n_buckets), SEEDS)
     shared = seeds.groupBy("bucket").applyInArrow(
         lambda bucket: _shared_seeds(bucket, scheme.hot), SHARED
