@@ -14,7 +14,6 @@ from limpid.operators.dedup import duplicate_count
 from limpid.operators.profile import one_row_per
 from limpid.sources.tables import table_exists
 
-REPORT = "entity string, check string, column_name string, n_bad bigint, passed boolean"
 TYPE_CLASSES = {
     "string": (T.StringType,),
     "integer": (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
@@ -64,13 +63,45 @@ def _verdict(df: DataFrame) -> DataFrame:
     return df.select("entity", "check", "column_name", n_bad.alias("n_bad"), (n_bad == 0).alias("passed"))
 
 
-def _facts(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    """Checks answered without reading a row; one small task."""
-    return spark.createDataFrame([(*r, r[3] == 0) for r in rows], REPORT).coalesce(1)
+Fact = tuple[str, str, str | None, int]
+
+
+def fact_rows(spark: SparkSession, facts: Sequence[Fact]) -> DataFrame:
+    """Checks answered without reading a row, all in one constant row set."""
+    rows = F.array(
+        *(
+            F.struct(
+                F.lit(entity).alias("entity"),
+                F.lit(check).alias("check"),
+                F.lit(column).cast("string").alias("column_name"),
+                F.lit(n_bad).cast("bigint").alias("n_bad"),
+            )
+            for entity, check, column, n_bad in facts
+        )
+    )
+    return _verdict(spark.range(1, numPartitions=1).select(F.inline(rows)))
+
+
+def found_facts(found: Mapping[str, bool]) -> list[Fact]:
+    return [(entity, "exists", None, int(not ok)) for entity, ok in found.items()]
+
+
+def column_facts(df: DataFrame, entity: str, required: Sequence[str]) -> list[Fact]:
+    present = set(df.columns)
+    return [(entity, "column_present", c, int(c not in present)) for c in required]
+
+
+def type_facts(df: DataFrame, entity: str, classes: Mapping[str, str]) -> list[Fact]:
+    """``classes`` maps a column to a key of ``TYPE_CLASSES``; absent columns fail."""
+    kinds = {f.name: f.dataType for f in df.schema}
+    return [
+        (entity, f"type_{kind}", c, int(not isinstance(kinds.get(c), TYPE_CLASSES[kind])))
+        for c, kind in classes.items()
+    ]
 
 
 def check_found(spark: SparkSession, found: Mapping[str, bool]) -> DataFrame:
-    return _facts(spark, [(entity, "exists", None, int(not ok)) for entity, ok in found.items()])
+    return fact_rows(spark, found_facts(found))
 
 
 def check_exists(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
@@ -78,34 +109,36 @@ def check_exists(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:
 
 
 def check_columns(df: DataFrame, entity: str, required: Sequence[str]) -> DataFrame:
-    present = set(df.columns)
-    return _facts(
-        df.sparkSession, [(entity, "column_present", c, int(c not in present)) for c in required]
-    )
+    return fact_rows(df.sparkSession, column_facts(df, entity, required))
 
 
 def check_types(df: DataFrame, entity: str, classes: Mapping[str, str]) -> DataFrame:
-    """``classes`` maps a column to a key of ``TYPE_CLASSES``; absent columns fail."""
-    kinds = {f.name: f.dataType for f in df.schema}
-    return _facts(
-        df.sparkSession,
-        [
-            (entity, f"type_{kind}", c, int(not isinstance(kinds.get(c), TYPE_CLASSES[kind])))
-            for c, kind in classes.items()
-        ],
-    )
+    return fact_rows(df.sparkSession, type_facts(df, entity, classes))
 
 
-def check_rows(df: DataFrame, entity: str, rules: Sequence[Rule]) -> DataFrame:
-    """All row rules of a table in one aggregate job."""
-    measures = {f"{i}": [F.count_if(r.bad)] for i, r in enumerate(rules)}
-    counted = one_row_per(measures, df, ["n_bad"])
+def _absent(column: str, domain: Sequence) -> Column:
+    """Values of a closed domain that never occur, as one aggregate."""
+    seen = [F.max((F.col(column) == F.lit(v)).cast("int")) for v in domain]
+    return reduce(lambda a, b: a + b, [F.lit(1) - F.coalesce(s, F.lit(0)) for s in seen])
+
+
+def check_rows(
+    df: DataFrame,
+    entity: str,
+    rules: Sequence[Rule],
+    covers: Mapping[str, Sequence] | None = None,
+) -> DataFrame:
+    """All row rules of a table, and domains to be covered, in one aggregate job."""
+    names = [(r.check, r.column) for r in rules] + [("covers_domain", c) for c in covers or {}]
+    bad = [F.count_if(r.bad) for r in rules]
+    bad += [_absent(c, domain).cast("bigint") for c, domain in (covers or {}).items()]
+    counted = one_row_per({f"{i}": [n] for i, n in enumerate(bad)}, df, ["n_bad"])
     label = F.col("label").cast("int")
     return _verdict(
         counted.select(
             F.lit(entity).alias("entity"),
-            F.get(F.array(*[F.lit(r.check) for r in rules]), label).alias("check"),
-            F.get(F.array(*[F.lit(r.column) for r in rules]), label).alias("column_name"),
+            F.get(F.array(*[F.lit(check) for check, _ in names]), label).alias("check"),
+            F.get(F.array(*[F.lit(column) for _, column in names]), label).alias("column_name"),
             "n_bad",
         )
     )
@@ -138,16 +171,7 @@ def check_reference(df: DataFrame, entity: str, key: str, dim: DataFrame) -> Dat
 
 def check_covers(df: DataFrame, entity: str, column: str, domain: Sequence) -> DataFrame:
     """Values of a closed domain that never occur, counted in one pass."""
-    seen = [F.max((F.col(column) == F.lit(v)).cast("int")) for v in domain]
-    absent = reduce(lambda a, b: a + b, [F.lit(1) - F.coalesce(s, F.lit(0)) for s in seen])
-    return _verdict(
-        df.agg(absent.alias("n_bad")).select(
-            F.lit(entity).alias("entity"),
-            F.lit("covers_domain").alias("check"),
-            F.lit(column).alias("column_name"),
-            "n_bad",
-        )
-    )
+    return check_rows(df, entity, [], {column: domain})
 
 
 def quality_report(checks: Sequence[DataFrame]) -> DataFrame:

@@ -56,15 +56,29 @@ TEACHERS_FILES = "personnel_enseignant*.xlsx"
 BUDGETS_FILES = "budgets_regionaux*.xlsx"
 
 METRICS = "step string, metric string, value bigint"
+# Every reason for which a row of an entity can be set aside.
+REASONS = {
+    "etablissements": ("doublons",),
+    "effectifs": ("sans_etablissement", "supprimes", "imputes"),
+    "enseignants": ("sans_etablissement", "doublons"),
+    "budgets": (),
+}
 
 
 class Run:
     """Paths and counters of one run."""
 
-    def __init__(self, spark: SparkSession, out_dir: str, run_ts: str | None = None):
+    def __init__(
+        self,
+        spark: SparkSession,
+        out_dir: str,
+        run_ts: str | None = None,
+        audit_format: str = "parquet",
+    ):
         self.spark = spark
         self.out = out_dir.rstrip("/")
         self.run_ts = run_ts or run_stamp()
+        self.audit_format = audit_format
         self.counters: list[tuple[str, str, int]] = []
 
     def count(self, step: str, metric: str, value: int) -> None:
@@ -80,9 +94,14 @@ class Run:
         step = f"clean_{entity}"
         path = f"{self.out}/silver/{entity}"
         self.count(step, "lignes_ecrites", write_table(result.clean, path))
-        for reason, rows in result.rejects.items():
-            n_rows = write_quarantine(rows, f"{self.out}/quarantine", entity, reason)
-            self.count(step, reason, n_rows)
+        # Reasons of another run that this one does not have are emptied.
+        unused = {r: result.clean.limit(0) for r in REASONS[entity] if r not in result.rejects}
+        for reason, rows in {**result.rejects, **unused}.items():
+            n_rows = write_quarantine(
+                rows, f"{self.out}/quarantine", entity, reason, self.audit_format
+            )
+            if reason not in unused:
+                self.count(step, reason, n_rows)
         if result.strategy in ("delete", "impute"):
             self.count(step, f"strategie_{result.strategy}", 1)
         if result.measures is not None:
@@ -167,106 +186,99 @@ def silver_to_gold(run: Run) -> DataFrame:
     return read_table(run.spark, path)
 
 
-def silver_checks(etab, eff, ens, bud, regions: Sequence[str]) -> list[DataFrame]:
-    amounts = ["budget_fonctionnement", "budget_investissement", "budget_total"]
-    return [
-        Q.check_columns(
-            etab,
-            "etablissements",
-            [SCHOOL_KEY, "nom_etablissement", "region", "prefecture", "type", "statut", "date_creation"],
-        ),
-        Q.check_types(
-            etab,
-            "etablissements",
-            {SCHOOL_KEY: "string", "region": "string", "date_creation": "date"},
-        ),
-        Q.check_unique(etab, "etablissements", [SCHOOL_KEY]),
-        Q.check_rows(etab, "etablissements", [Q.not_null(SCHOOL_KEY)]),
-        Q.check_columns(
-            eff, "effectifs", [SCHOOL_KEY, "annee_scolaire", "nb_garcons", "nb_filles"]
-        ),
-        Q.check_types(eff, "effectifs", {"nb_garcons": "integer", "nb_filles": "integer"}),
-        Q.check_rows(
-            eff, "effectifs", [Q.not_null("nb_filles"), Q.in_range("nb_filles", low=0)]
-        ),
-        Q.check_reference(eff, "effectifs", SCHOOL_KEY, etab),
-        Q.check_columns(
-            ens,
-            "enseignants",
-            ["matricule", "nom", "prenom", SCHOOL_KEY, "matiere", "date_prise_de_poste", "statut"],
-        ),
-        Q.check_types(ens, "enseignants", {"matricule": "string", "statut": "string"}),
-        Q.check_unique(ens, "enseignants", ["matricule"]),
-        Q.check_rows(
-            ens,
-            "enseignants",
-            [
-                Q.in_domain("statut", list(STATUS_OF_TAB.values())),
-                *[Q.iso_date(c) for c in ens.columns if "date" in c],
-            ],
-        ),
-        Q.check_reference(ens, "enseignants", SCHOOL_KEY, etab),
-        Q.check_columns(bud, "budgets", ["region", "annee", *amounts]),
-        Q.check_types(bud, "budgets", {"annee": "numeric", **dict.fromkeys(amounts, "float")}),
-        Q.check_rows(
-            bud,
-            "budgets",
-            [Q.in_domain("region", regions), *[Q.not_null(c) for c in amounts]],
-        ),
-        Q.check_covers(bud, "budgets", "region", regions),
-    ]
-
-
-def gold_checks(marts: DataFrame, regions: Sequence[str]) -> list[DataFrame]:
-    name = "synthese_regionale"
-    measures = [
-        "nb_etablissements",
-        "effectif_total",
-        "taux_feminisation",
-        "ratio_eleves_enseignant",
-        "budget_total",
-        "budget_par_eleve",
-    ]
-    formula = F.col("budget_total") / F.col("effectif_total")
-    return [
-        Q.check_columns(marts, name, ["region", "annee", *measures]),
-        Q.check_types(
-            marts,
-            name,
-            {
-                "nb_etablissements": "numeric",
-                "taux_feminisation": "float",
-                "ratio_eleves_enseignant": "float",
-                "budget_par_eleve": "float",
-            },
-        ),
-        Q.check_rows(
-            marts,
-            name,
-            [
-                *[Q.not_null(c) for c in measures],
-                *[Q.in_range(c, low=0) for c in measures],
-                Q.in_range("taux_feminisation", low=0, high=1),
-                Q.agrees_with("budget_par_eleve", formula),
-            ],
-        ),
-        Q.check_covers(marts, name, "region", regions),
+AMOUNTS = ("budget_fonctionnement", "budget_investissement", "budget_total")
+MEASURES = (
+    "nb_etablissements",
+    "effectif_total",
+    "taux_feminisation",
+    "ratio_eleves_enseignant",
+    "budget_total",
+    "budget_par_eleve",
+)
+# The contract of each written table: columns, types, keys, reference to the schools.
+COLUMNS = {
+    "etablissements": (
+        SCHOOL_KEY, "nom_etablissement", "region", "prefecture", "type", "statut", "date_creation",
+    ),
+    "effectifs": (SCHOOL_KEY, "annee_scolaire", "nb_garcons", "nb_filles"),
+    "enseignants": (
+        "matricule", "nom", "prenom", SCHOOL_KEY, "matiere", "date_prise_de_poste", "statut",
+    ),
+    "budgets": ("region", "annee", *AMOUNTS),
+    "synthese_regionale": ("region", "annee", *MEASURES),
+}
+TYPES = {
+    "etablissements": {SCHOOL_KEY: "string", "region": "string", "date_creation": "date"},
+    "effectifs": {"nb_garcons": "integer", "nb_filles": "integer"},
+    "enseignants": {"matricule": "string", "statut": "string"},
+    "budgets": {"annee": "numeric", **dict.fromkeys(AMOUNTS, "float")},
+    "synthese_regionale": {
+        "nb_etablissements": "numeric",
+        "taux_feminisation": "float",
+        "ratio_eleves_enseignant": "float",
+        "budget_par_eleve": "float",
+    },
+}
+KEYS = {"etablissements": SCHOOL_KEY, "enseignants": "matricule"}
+OF_A_SCHOOL = ("effectifs", "enseignants")
+
+
+def row_rules(df: DataFrame, entity: str, regions: Sequence[str]) -> tuple[list[Q.Rule], dict]:
+    """Rules for the rows of a table, and domains that must be covered."""
+    if entity == "etablissements":
+        return [Q.not_null(SCHOOL_KEY)], {}
+    if entity == "effectifs":
+        return [Q.not_null("nb_filles"), Q.in_range("nb_filles", low=0)], {}
+    if entity == "enseignants":
+        dates = [Q.iso_date(c) for c in df.columns if "date" in c]
+        return [Q.in_domain("statut", list(STATUS_OF_TAB.values())), *dates], {}
+    if entity == "budgets":
+        rules = [Q.in_domain("region", regions), *[Q.not_null(c) for c in AMOUNTS]]
+        return rules, {"region": regions}
+    rules = [
+        *[Q.not_null(c) for c in MEASURES],
+        *[Q.in_range(c, low=0) for c in MEASURES],
+        Q.in_range("taux_feminisation", low=0, high=1),
+        Q.agrees_with("budget_par_eleve", F.col("budget_total") / F.col("effectif_total")),
     ]
+    return rules, {"region": regions}
+
+
+def table_checks(df: DataFrame, entity: str, regions: Sequence[str]) -> list[DataFrame]:
+    """Checks that need the table's rows: one aggregate, and one for its key."""
+    present = set(df.columns)
+    rules, covers = row_rules(df, entity, regions)
+    # A missing column is a finding of its own; its rules cannot be asked.
+    rules = [r for r in rules if r.column in present]
+    covers = {c: d for c, d in covers.items() if c in present}
+    checks = [Q.check_rows(df, entity, rules, covers)] if rules or covers else []
+    key = KEYS.get(entity)
+    return checks + ([Q.check_unique(df, entity, [key])] if key in present else [])
+
+
+def quality_of(
+    spark: SparkSession, tables: dict[str, DataFrame | None], regions: Sequence[str] = REGIONS
+) -> DataFrame:
+    """All checks of the tables that are there; a missing table is itself a finding."""
+    found = {entity: df for entity, df in tables.items() if df is not None}
+    facts = Q.found_facts({entity: df is not None for entity, df in tables.items()})
+    checks = []
+    for entity, df in found.items():
+        facts += Q.column_facts(df, entity, COLUMNS[entity]) + Q.type_facts(df, entity, TYPES[entity])
+        checks += table_checks(df, entity, regions)
+    schools = found.get("etablissements")
+    for entity in OF_A_SCHOOL:
+        df = found.get(entity)
+        if schools is not None and df is not None and SCHOOL_KEY in df.columns:
+            checks.append(Q.check_reference(df, entity, SCHOOL_KEY, schools))
+    return Q.quality_report([Q.fact_rows(spark, facts), *checks])
 
 
 def quality(run: Run, regions: Sequence[str] = REGIONS) -> DataFrame:
-    """All checks over the written tables. A missing table is itself a finding."""
-    paths = {
-        e: f"{run.out}/silver/{e}"
-        for e in ("etablissements", "effectifs", "enseignants", "budgets")
-    }
+    paths = {e: f"{run.out}/silver/{e}" for e in COLUMNS if e != "synthese_regionale"}
     paths["synthese_regionale"] = f"{run.out}/gold/synthese_regionale"
-    tables = [read_table_if_any(run.spark, p) for p in paths.values()]
-    found = {entity: t is not None for entity, t in zip(paths, tables)}
-    checks = [Q.check_found(run.spark, found)]
-    if all(found.values()):
-        checks += silver_checks(*tables[:4], regions) + gold_checks(tables[4], regions)
-    return through_table(Q.quality_report(checks), f"{run.out}/quality")
+    tables = {e: read_table_if_any(run.spark, p) for e, p in paths.items()}
+    return through_table(quality_of(run.spark, tables, regions), f"{run.out}/quality")
 
 
 def run(
@@ -276,9 +288,13 @@ def run(
     run_ts: str | None = None,
     canonical_region: bool = False,
     regions: Sequence[str] = REGIONS,
+    audit_format: str = "parquet",
 ) -> Run:
-    """Raw files (a folder, or inputs already opened) to marts, in dependency order."""
-    job = Run(spark, out_dir, run_ts)
+    """Raw files (a folder, or inputs already opened) to marts, in dependency order.
+
+    ``audit_format`` is that of the quarantine: Parquet, or CSV with a byte-order mark.
+    """
+    job = Run(spark, out_dir, run_ts, audit_format)
     bronze_to_silver(job, raw_files(spark, raw) if isinstance(raw, str) else raw, canonical_region)
     silver_to_gold(job)
     quality(job, regions)

@@ -49,13 +49,21 @@ def through_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BYTE_ORDER_MARK = "\ufeff"
+
+
 def write_quarantine(
     df: DataFrame, root: str, entity: str, reason: str, fmt: str = "parquet"
 ) -> int:
-    """Keep rejected or altered rows under ``root/entity/reason``."""
+    """Keep rejected or altered rows under ``root/entity/reason``.
+
+    As CSV every part file has a heading, which begins with a byte-order mark.
+    """
     path = f"{root}/{entity}/{reason}"
     if fmt == "parquet":
         return write_table(df, path)
-    counted, seen = _counted(df)
+    first, *others = df.columns
+    marked = df.select(F.col(f"`{first}`").alias(f"{BYTE_ORDER_MARK}{first}"), *(f"`{c}`" for c in others))
+    counted, seen = _counted(marked)
     counted.write.mode("overwrite").csv(path, header=True, escape='"')
     return seen.get["rows"]

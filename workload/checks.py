@@ -7,8 +7,10 @@ from pyspark.sql import types as T
 
 from limpid.operators import distinct_profile, null_profile
 from limpid.operators import quality as Q
+from limpid.plans.medallion import quality_of
+from limpid.sources import table_exists
 from workload.gaps import FEW_GAPS, readings
-from workload.marts import FACTS, SYNTHESIS, synthese_regionale
+from workload.marts import FACTS, SYNTHESIS, enrolment, order_lines, schools, synthese_regionale
 from workload.registry import query, table
 
 
@@ -50,7 +52,9 @@ SELECT entity, "check", column_name, n_bad, n_bad = 0 AS passed FROM (
          count(*) FILTER (o_totalprice < 1000 OR o_totalprice > 400000) FROM orders
   UNION ALL SELECT 'orders', 'in_domain', 'o_orderstatus',
          count(*) FILTER (o_orderstatus NOT IN ('F', 'O')) FROM orders
-  UNION ALL SELECT 'orders', 'covers_domain', 'o_orderstatus', CAST(1 AS BIGINT)
+  UNION ALL SELECT 'orders', 'covers_domain', 'o_orderstatus',
+         (SELECT count(*) FROM (VALUES ('F'), ('O'), ('P'), ('X')) d(v)
+          WHERE v NOT IN (SELECT o_orderstatus FROM orders))
   UNION ALL SELECT 'orders', 'column_present', 'o_orderkey', CAST(0 AS BIGINT)
   UNION ALL SELECT 'orders', 'column_present', 'o_clerk', CAST(1 AS BIGINT)
   UNION ALL SELECT 'orders', 'type_integer', 'o_orderkey', CAST(0 AS BIGINT)
@@ -63,28 +67,59 @@ def quality_of_orders(spark, sf_dir):
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").where(F.col("c_acctbal") > 0)
     known = customer.select(F.col("c_custkey").alias("o_custkey"))
+    facts = Q.column_facts(orders, "orders", ["o_orderkey", "o_clerk"])
+    facts += Q.type_facts(orders, "orders", {"o_orderkey": "integer", "o_totalprice": "string"})
+    facts += Q.found_facts(
+        {e: table_exists(spark, f"{sf_dir}/{e}.parquet") for e in ("orders", "clerks")}
+    )
+    rules = [
+        Q.not_null("o_totalprice"),
+        Q.in_range("o_totalprice", 1000, 400000),
+        Q.in_domain("o_orderstatus", ["F", "O"]),
+    ]
     return Q.quality_report(
         [
+            Q.fact_rows(spark, facts),
             Q.check_unique(orders, "orders", ["o_orderkey"]),
             Q.check_unique(orders, "orders", ["o_custkey", "o_orderdate"]),
             Q.check_reference(orders, "orders", "o_custkey", known),
-            Q.check_rows(
-                orders,
-                "orders",
-                [
-                    Q.not_null("o_totalprice"),
-                    Q.in_range("o_totalprice", 1000, 400000),
-                    Q.in_domain("o_orderstatus", ["F", "O"]),
-                ],
-            ),
-            Q.check_covers(orders, "orders", "o_orderstatus", ["F", "O", "P", "X"]),
-            Q.check_columns(orders, "orders", ["o_orderkey", "o_clerk"]),
-            Q.check_types(orders, "orders", {"o_orderkey": "integer", "o_totalprice": "string"}),
-            Q.check_exists(spark, {e: f"{sf_dir}/{e}.parquet" for e in ("orders", "clerks")}),
+            Q.check_rows(orders, "orders", rules, {"o_orderstatus": ["F", "O", "P", "X"]}),
         ]
     )
 
 
+@query("""
+SELECT entity, "check", column_name, n_bad, n_bad = 0 AS passed FROM (
+  SELECT 'etablissements' AS entity, 'exists' AS "check", NULL AS column_name, CAST(0 AS BIGINT) AS n_bad
+  UNION ALL SELECT 'effectifs', 'exists', NULL, 0
+  UNION ALL SELECT 'budgets', 'exists', NULL, 1
+  UNION ALL SELECT 'etablissements', 'column_present', c, CAST(c NOT IN ('code_etablissement', 'region') AS INT)
+    FROM (SELECT unnest(['code_etablissement', 'nom_etablissement', 'region', 'prefecture', 'type',
+                         'statut', 'date_creation']) AS c)
+  UNION ALL SELECT 'effectifs', 'column_present', c, 0
+    FROM (SELECT unnest(['code_etablissement', 'annee_scolaire', 'nb_garcons', 'nb_filles']) AS c)
+  UNION ALL SELECT 'etablissements', 'type_string', 'code_etablissement', 1
+  UNION ALL SELECT 'etablissements', 'type_string', 'region', 0
+  UNION ALL SELECT 'etablissements', 'type_date', 'date_creation', 1
+  UNION ALL SELECT 'effectifs', 'type_integer', unnest(['nb_garcons', 'nb_filles']), 0
+  UNION ALL SELECT 'etablissements', 'not_null', 'code_etablissement', 0
+  UNION ALL SELECT 'etablissements', 'unique', 'code_etablissement', count(*) - count(DISTINCT c_custkey) FROM customer
+  UNION ALL SELECT 'effectifs', 'not_null', 'nb_filles', count(*) FILTER (l_returnflag <> 'R') FROM lineitem
+  UNION ALL SELECT 'effectifs', 'in_range', 'nb_filles', count(*) FILTER (l_returnflag = 'R' AND l_quantity < 0) FROM lineitem
+  UNION ALL SELECT 'effectifs', 'reference', 'code_etablissement', count(*) FILTER (c_custkey IS NULL)
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+)
+""")
+def quality_without_a_table(spark, sf_dir):
+    """Checks of the tables that are there, when another is missing."""
+    tables = {
+        "etablissements": schools(spark, sf_dir),
+        "effectifs": enrolment(order_lines(spark, sf_dir)),
+        "budgets": None,
+    }
+    return quality_of(spark, tables)
+
+
 @query(FACTS + f""", s AS ({SYNTHESIS})
 SELECT entity, "check", column_name, n_bad, n_bad = 0 AS passed FROM (
   SELECT 'synthese_regionale' AS entity, 'not_null' AS "check", 'budget_par_eleve' AS column_name,
