@@ -223,6 +223,23 @@ def _best(rows: pa.Table, queries: pa.Table) -> pa.Table:
     )
 
 
+def _merged(table: pa.Table) -> pa.Table:
+    """A query's best over all groups: its own class and ``NEAREST`` others, ties included."""
+    nodes = np.concatenate([np.array(x, np.int64) for x in table.column("nodes").to_pylist()])
+    scores = np.concatenate([np.array(x, np.float64) for x in table.column("scores").to_pylist()])
+    nodes, one = np.unique(nodes, return_index=True)
+    scores = scores[one]
+    if len(scores) > NEAREST + 1:
+        least = np.partition(scores, len(scores) - NEAREST - 1)[len(scores) - NEAREST - 1]
+        nodes, scores = nodes[scores >= least], scores[scores >= least]
+    kinds = (pa.list_(pa.int64()), pa.list_(pa.float64()))
+    return pa.table({
+        "query": table.column("query").slice(0, 1),
+        "nodes": pa.array([nodes.tolist()], kinds[0]),
+        "scores": pa.array([scores.tolist()], kinds[1]),
+    })
+
+
 def nearest(
     df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = QUERY_EVERY
 ) -> DataFrame:
@@ -265,15 +282,12 @@ def nearest(
     found = (
         indexed.groupBy("tree", "grp").cogroup(visits.groupBy("tree", "grp")).applyInArrow(_best, BEST)
     )
-    pairs = found.select("query", F.explode(F.arrays_zip("nodes", "scores")).alias("x"))
-    pairs = pairs.groupBy("query", F.col("x.nodes").alias("node")).agg(F.max("x.scores").alias("score"))
-    # Its own class and the best others are enough for any of a class's queries.
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "rep")
-    ids = classes.select("node", "rep", "ids")
-    kept = (
-        pairs.join(ids, "node").withColumn("place", F.row_number().over(best))
-        .where(F.col("place") <= NEAREST + 1)
-        .select("query", "score", F.explode("ids").alias("vec_id"))
+    # One row a query again before anything is joined.
+    best = found.groupBy("query").applyInArrow(_merged, BEST)
+    pairs = best.select("query", F.explode(F.arrays_zip("nodes", "scores")).alias("x"))
+    pairs = pairs.select("query", F.col("x.nodes").alias("node"), F.col("x.scores").alias("score"))
+    kept = pairs.join(classes.select("node", "ids"), "node").select(
+        "query", "score", F.explode("ids").alias("vec_id")
     )
     answers = asking.join(kept, F.col("node") == F.col("query")).where("vec_id <> query_id")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
