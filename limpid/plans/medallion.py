@@ -34,7 +34,7 @@ from limpid.plans.silver import (
     clean_enseignants,
     clean_etablissements,
 )
-from limpid.sources.delimited import read_delimited
+from limpid.sources.delimited import UNREADABLE, read_delimited, split_unreadable
 from limpid.sources.tables import (
     read_table,
     read_table_if_any,
@@ -87,7 +87,15 @@ class Run:
     def bronze(self, df: DataFrame, entity: str) -> DataFrame:
         path = f"{self.out}/bronze/{entity}"
         self.count(f"bronze_{entity}", "lignes_lues", write_table(df, path))
-        return self.spark.read.schema(df.schema).parquet(path)
+        rows = self.spark.read.schema(df.schema).parquet(path)
+        if UNREADABLE not in df.columns:
+            return rows
+        rows, bad = split_unreadable(rows)
+        n_rows = write_quarantine(
+            bad, f"{self.out}/quarantine", entity, "illisibles", self.audit_format
+        )
+        self.count(f"bronze_{entity}", "illisibles", n_rows)
+        return rows
 
     def silver(self, entity: str, result: CleanResult) -> DataFrame:
         """Write a clean table and its quarantine, note the counters."""
@@ -121,11 +129,12 @@ class Raw:
     budgets: DataFrame
 
 
-def raw_files(spark: SparkSession, raw_dir: str) -> Raw:
+def raw_files(spark: SparkSession, raw_dir: str, multi_line: bool = False) -> Raw:
     raw = raw_dir.rstrip("/")
+    options = {"multi_line": multi_line, "unreadable": True}
     return Raw(
-        read_delimited(spark, f"{raw}/{SCHOOLS_FILES}", sep=";", encoding="ISO-8859-1"),
-        read_delimited(spark, f"{raw}/{ENROLMENT_FILES}"),
+        read_delimited(spark, f"{raw}/{SCHOOLS_FILES}", sep=";", encoding="ISO-8859-1", **options),
+        read_delimited(spark, f"{raw}/{ENROLMENT_FILES}", **options),
         read_workbook_files(spark, f"{raw}/{TEACHERS_FILES}"),
         read_workbook_files(spark, f"{raw}/{BUDGETS_FILES}"),
     )
@@ -289,13 +298,17 @@ def run(
     canonical_region: bool = False,
     regions: Sequence[str] = REGIONS,
     audit_format: str = "parquet",
+    multi_line: bool = False,
 ) -> Run:
     """Raw files (a folder, or inputs already opened) to marts, in dependency order.
 
+    ``multi_line`` allows line ends inside quoted cells of the text files.
+
     ``audit_format`` is that of the quarantine: Parquet, or CSV with a byte-order mark.
     """
     job = Run(spark, out_dir, run_ts, audit_format)
-    bronze_to_silver(job, raw_files(spark, raw) if isinstance(raw, str) else raw, canonical_region)
+    opened = raw_files(spark, raw, multi_line) if isinstance(raw, str) else raw
+    bronze_to_silver(job, opened, canonical_region)
     silver_to_gold(job)
     quality(job, regions)
     job.counters.sort()

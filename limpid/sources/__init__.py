@@ -1,6 +1,6 @@
 """Reading and writing: delimited text, workbooks, Parquet tables, quarantine."""
 
-from limpid.sources.delimited import read_delimited
+from limpid.sources.delimited import UNREADABLE, read_delimited, split_unreadable
 from limpid.sources.roworder import ROW_ORDER, drop_row_order, with_row_order
 from limpid.sources.scratch import scratch_folder
 from limpid.sources.tables import (
@@ -21,6 +21,7 @@ from limpid.sources.workbook import (
 
 __all__ = [
     "ROW_ORDER",
+    "UNREADABLE",
     "decode_workbooks",
     "drop_row_order",
     "read_delimited",
@@ -29,6 +30,7 @@ __all__ = [
     "read_workbook_files",
     "read_workbook_tab",
     "scratch_folder",
+    "split_unreadable",
     "tab_headings",
     "table_exists",
     "through_table",

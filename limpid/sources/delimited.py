@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from limpid.functions.text import READER_NULLS, nullify_tokens
-from limpid.sources.roworder import with_row_order
+from limpid.sources.roworder import ROW_ORDER, with_row_order
+
+# Text of a line that does not fit the heading, in scans that ask for it.
+UNREADABLE = "_unreadable"
 
 
 def read_delimited(
@@ -19,6 +23,7 @@ def read_delimited(
     with_order: bool = True,
     null_tokens: Sequence[str] = READER_NULLS,
     multi_line: bool = False,
+    unreadable: bool = False,
 ) -> DataFrame:
     """Scan text files with a heading line; a leading byte-order mark is ignored.
 
@@ -26,19 +31,38 @@ def read_delimited(
     must carry the same headings in the same order: a file that does not fails
     the job instead of landing in the wrong columns. ``multi_line`` allows line
     ends inside quoted cells, at the price of one task per file.
+
+    ``unreadable`` adds a column with the text of lines that have more cells than the
+    heading or end inside a quoted cell; it is NULL for all others. Shorter lines are
+    filled up with NULL. ``split_unreadable`` parts a written table of such a scan.
     """
-    scan = spark.read.csv(
-        list(paths) if not isinstance(paths, str) else paths,
-        header=True,
-        sep=sep,
-        encoding=encoding,
-        inferSchema=False,
-        enforceSchema=False,
-        escape='"',
-        multiLine=multi_line,
-    )
+    paths = list(paths) if not isinstance(paths, str) else paths
+    layout = {"sep": sep, "escape": '"', "encoding": encoding, "multiLine": multi_line}
+    scan = spark.read.csv(paths, header=True, inferSchema=False, enforceSchema=False, **layout)
     names = scan.columns
+    if unreadable:
+        cells = [T.StructField(c, T.StringType()) for c in names]
+        schema = T.StructType([*cells, T.StructField(UNREADABLE, T.StringType())])
+        scan = spark.read.schema(schema).csv(
+            paths, header=True, enforceSchema=False, columnNameOfCorruptRecord=UNREADABLE, **layout
+        )
+        scan = scan.withColumn(UNREADABLE, _misfit(F.col(UNREADABLE), len(names), sep))
     ordered = with_row_order(scan) if with_order else scan
     if not null_tokens:
         return ordered
     return ordered.withColumns({c: nullify_tokens(F.col(f"`{c}`"), null_tokens) for c in names})
+
+
+def _misfit(line: Column, width: int, sep: str) -> Column:
+    """The line if it has a cell too many or an open quote; other short lines are fine."""
+    schema = ", ".join(f"c{i} string" for i in range(width + 1))
+    surplus = F.from_csv(line, schema, {"sep": sep, "escape": '"'})[f"c{width}"].isNotNull()
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return F.when(surplus | (quotes % 2 == 1), line)
+
+
+def split_unreadable(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that fit, text and place of those that do not) of a written scan."""
+    places = [c for c in ROW_ORDER if c in rows.columns]
+    bad = rows.where(F.col(UNREADABLE).isNotNull()).select(F.col(UNREADABLE).alias("ligne"), *places)
+    return rows.where(F.col(UNREADABLE).isNull()).drop(UNREADABLE), bad

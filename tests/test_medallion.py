@@ -67,9 +67,11 @@ def test_counters(spark, finished):
     metrics = {(r[0], r[1]): r[2] for r in read_table(spark, f"{finished.out}/metrics").collect()}
     assert metrics == {
         ("bronze_etablissements", "lignes_lues"): 37,
+        ("bronze_etablissements", "illisibles"): 0,
         ("clean_etablissements", "lignes_ecrites"): 34,
         ("clean_etablissements", "doublons"): 3,
         ("bronze_effectifs", "lignes_lues"): 85,
+        ("bronze_effectifs", "illisibles"): 0,
         ("clean_effectifs", "sans_etablissement"): 2,
         ("clean_effectifs", "supprimes"): 1,
         ("clean_effectifs", "strategie_delete"): 1,
@@ -136,3 +138,32 @@ def test_a_second_run_replaces_the_first(spark, finished, tmp_path):
     again = run(spark, str(tmp_path), finished.out, run_ts="2024-01-01 00:00:00")
     assert again.counters == finished.counters
     assert read_table(spark, f"{again.out}/silver/enseignants").count() == 508
+
+
+def test_a_run_with_another_strategy_leaves_no_stale_rows(spark, tmp_path):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    raw.mkdir()
+    write_raw(raw)
+    run(spark, str(raw), str(out), run_ts="T1", audit_format="csv")
+    lines = (raw / "effectifs_eleves.csv").read_text("utf-8-sig").split("\n")
+    lines[20:40] = [line.rsplit(",", 1)[0] + "," for line in lines[20:40]]
+    lines[50] += ",7"
+    (raw / "effectifs_eleves.csv").write_bytes("\n".join(lines).encode("utf-8-sig"))
+    job = run(spark, str(raw), str(out), run_ts="T2")
+    aside = f"{out}/quarantine/effectifs"
+    assert read_table(spark, f"{aside}/supprimes").count() == 0
+    assert {r["date_imputation"] for r in read_table(spark, f"{aside}/imputes").collect()} == {"T2"}
+    assert read_table(spark, f"{aside}/illisibles").count() == 1
+    assert ("bronze_effectifs", "illisibles", 1) in job.counters
+
+
+def test_checks_of_the_tables_that_are_there(spark, finished):
+    from limpid.plans.medallion import COLUMNS, quality_of
+
+    tables = {e: None for e in COLUMNS}
+    for entity in ("etablissements", "effectifs", "enseignants"):
+        tables[entity] = read_table(spark, f"{finished.out}/silver/{entity}")
+    report = quality_of(spark, tables).collect()
+    assert {r["entity"] for r in report if r["check"] == "exists" and not r["passed"]} == {"budgets", "synthese_regionale"}
+    assert len(report) > 25
+    assert {r["check"] for r in report} >= {"reference", "unique", "iso_date", "in_domain", "column_present"}

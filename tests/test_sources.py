@@ -16,6 +16,7 @@ from limpid.sources import (
     read_table_if_any,
     read_workbook_tab,
     scratch_folder,
+    split_unreadable,
     table_exists,
     with_row_order,
     write_quarantine,
@@ -105,6 +106,25 @@ def test_quarantine_formats(spark, tmp_path):
     assert rows(read_table(spark, f"{tmp_path}/e/why")) == [(1, 'é "x"')]
     assert write_quarantine(df, str(tmp_path), "e", "text", fmt="csv") == 1
     assert rows(drop_row_order(read_delimited(spark, f"{tmp_path}/e/text"))) == [("1", 'é "x"')]
+    parts = [p for p in (tmp_path / "e" / "text").iterdir() if p.name.startswith("part-")]
+    assert parts and all(p.read_bytes().startswith("\ufeff".encode()) for p in parts)
+
+
+def test_lines_that_do_not_fit(spark, tmp_path):
+    text = 'x,y,z\n1,2,3\n4,5,6,7\n8,9\n"one\ntwo",5,6\n"a,b","c ""d""",e\n'
+    (tmp_path / "t.csv").write_text(text)
+
+    def parts(**options):
+        scan = read_delimited(spark, f"{tmp_path}/t.csv", unreadable=True, **options)
+        write_table(scan, f"{tmp_path}/bronze")
+        good, bad = split_unreadable(read_table(spark, f"{tmp_path}/bronze"))
+        return rows(drop_row_order(good)), rows(bad, "ligne")
+
+    good, bad = parts(multi_line=True)
+    assert good == [("1", "2", "3"), ("8", "9", None), ("a,b", 'c "d"', "e"), ("one\ntwo", "5", "6")]
+    assert [line.strip() for (line,) in bad] == ["4,5,6,7"]
+    _, bad = parts()
+    assert {line.strip() for (line,) in bad} == {"4,5,6,7", '"one'}
 
 
 def test_parquet_scan_takes_an_order_too(spark, tmp_path):

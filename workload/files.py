@@ -12,6 +12,7 @@ from limpid.sources import (
     read_delimited,
     read_table,
     scratch_folder,
+    split_unreadable,
     tab_headings,
     workbook_tab,
     write_quarantine,
@@ -61,6 +62,47 @@ def csv_roundtrip_bom(spark, sf_dir):
     return drop_row_order(read_delimited(spark, path))
 
 
+def odd_lines(spark, sf_dir):
+    """Orders as text: some with a line end in a cell, some lines too long, some too short."""
+    orders = table(spark, sf_dir, "orders")
+    key, client = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    path = scratch_folder(spark, "odd-lines")
+    ended = F.concat("o_orderpriority", F.lit("\n"), "o_orderstatus")
+    orders.where("o_orderstatus = 'P'").select(
+        key.alias("code"), client.alias("client"), ended.alias("note")
+    ).write.csv(f"{path}/ends", header=True, escape='"')
+    line = (
+        F.when(F.col("o_orderpriority") == "5-LOW", F.concat_ws(",", key, client, "o_orderstatus", key))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.concat_ws(",", key, client))
+        .otherwise(F.concat_ws(",", key, client, "o_orderstatus"))
+    )
+    # One cell that the writer leaves alone, so that lines come out as they are.
+    orders.where("o_orderstatus <> 'P'").select(line.alias("code,client,note")).write.csv(
+        f"{path}/lengths", header=True, quote="", sep="\x01"
+    )
+    return [f"{path}/ends", f"{path}/lengths"]
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS code, CAST(o_custkey AS VARCHAR) AS client,
+       CASE WHEN o_orderstatus = 'P' THEN o_orderpriority || chr(10) || o_orderstatus
+            WHEN o_orderpriority = '2-HIGH' THEN NULL ELSE o_orderstatus END AS note
+FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority <> '5-LOW'
+""")
+def csv_line_ends(spark, sf_dir):
+    rows = read_delimited(spark, odd_lines(spark, sf_dir), multi_line=True, unreadable=True)
+    return drop_row_order(split_unreadable(through_scratch(rows, "lines"))[0])
+
+
+@query("""
+SELECT concat_ws(',', o_orderkey, o_custkey, o_orderstatus, o_orderkey) AS ligne FROM orders
+WHERE o_orderstatus <> 'P' AND o_orderpriority = '5-LOW'
+""")
+def csv_malformed_rows(spark, sf_dir):
+    rows = read_delimited(spark, odd_lines(spark, sf_dir), multi_line=True, unreadable=True)
+    return split_unreadable(through_scratch(rows, "lines"))[1].select(F.trim("ligne").alias("ligne"))
+
+
 @query("""
 SELECT o_orderkey, o_custkey, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS annee FROM orders
 WHERE year(o_orderdate) IN (1996, 1997)
@@ -70,8 +112,8 @@ def partitioned_table(spark, sf_dir):
         "o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("annee")
     )
     path = scratch_folder(spark, "orders")
-    # One file per year and writing task would be many small files: gather the years first.
-    write_table(raw.repartition("annee", F.pmod(F.hash("o_orderkey"), F.lit(8))), path, ["annee"])
+    # Gather the years first, in slices that Spark sizes: no small files, no fixed number.
+    write_table(raw.hint("rebalance", "annee"), path, ["annee"])
     return read_table(spark, path).where(F.col("annee").isin(1996, 1997))
 
 
