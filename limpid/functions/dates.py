@@ -10,6 +10,7 @@ from limpid.functions.text import squish
 # d and M take one or two digits; yyyy takes exactly four.
 DAY_FIRST = "d/M/yyyy"
 SERIAL = r"^\d{1,7}(\.\d+)?$"
+YEAR = r"^(19|20)\d\d$"
 # Day zero and last day of spreadsheet serial numbers.
 SERIAL_ORIGIN = "1899-12-30"
 SERIAL_LAST = 2958465
@@ -18,18 +19,20 @@ SERIAL_LAST = 2958465
 def to_date_coerce(col: Column, fmt: str | None = None) -> Column:
     """Date, or NULL when the text is not one.
 
-    With ``fmt`` only that layout is taken. Without it, a number is a
-    spreadsheet serial and anything else must be ISO text, time part allowed.
+    With ``fmt`` only that layout is taken. Without it, four digits from 1900 to 2099
+    are a year, any other number is a spreadsheet serial, and other text must be ISO,
+    time part allowed, or day first.
     """
     if fmt is not None:
         return F.try_to_date(col, fmt)
     text = squish(col.cast("string"))
-    days = F.when(text.rlike(SERIAL), text).try_cast("double")
+    year = F.when(text.rlike(YEAR), F.try_to_date(text, "yyyy"))
+    days = F.when(text.rlike(SERIAL) & ~text.rlike(YEAR), text).try_cast("double")
     serial = F.when(
         days.between(1, SERIAL_LAST), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days.cast("int"))
     )
     iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text).try_cast("date")
-    return F.coalesce(serial, iso)
+    return F.coalesce(year, serial, iso, F.try_to_date(text, DAY_FIRST))
 
 
 def iso_text(col: Column) -> Column:

@@ -9,13 +9,14 @@ repeat only its own stage.
     out/quarantine/<entity>/<why> rejected and altered rows
     out/gold/synthese_regionale   regional marts
     out/quality, out/metrics      checks and counters of the run
-    out/work/<name>               tables that cut a lineage
+    out/work/<name>               tables that cut a lineage, removed at the end
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +36,7 @@ from limpid.plans.silver import (
     clean_etablissements,
 )
 from limpid.sources.delimited import UNREADABLE, read_delimited, split_unreadable
+from limpid.sources.scratch import remove_folder, scratch_removed
 from limpid.sources.tables import (
     read_table,
     read_table_if_any,
@@ -178,7 +180,8 @@ def bronze_to_silver(run: Run, raw: Raw, canonical_region: bool = False) -> None
         run.silver("budgets", clean_budgets(bronze_tabs(run, raw.budgets, "budgets", [0])[0]))
 
     with ThreadPoolExecutor(3) as pool:
-        for done in [pool.submit(part) for part in (enrolment, teachers, budgets)]:
+        parts = (enrolment, teachers, budgets)
+        for done in [pool.submit(copy_context().run, part) for part in parts]:
             done.result()
 
 
@@ -308,9 +311,11 @@ def run(
     """
     job = Run(spark, out_dir, run_ts, audit_format)
     opened = raw_files(spark, raw, multi_line) if isinstance(raw, str) else raw
-    bronze_to_silver(job, opened, canonical_region)
-    silver_to_gold(job)
-    quality(job, regions)
-    job.counters.sort()
-    write_table(spark.createDataFrame(job.counters, METRICS), f"{job.out}/metrics")
+    with scratch_removed(spark):
+        bronze_to_silver(job, opened, canonical_region)
+        silver_to_gold(job)
+        quality(job, regions)
+        job.counters.sort()
+        write_table(spark.createDataFrame(job.counters, METRICS), f"{job.out}/metrics")
+    remove_folder(spark, f"{job.out}/work")
     return job

@@ -2,7 +2,7 @@
 
 from limpid.sources.delimited import UNREADABLE, read_delimited, split_unreadable
 from limpid.sources.roworder import ROW_ORDER, drop_row_order, with_row_order
-from limpid.sources.scratch import scratch_folder
+from limpid.sources.scratch import remove_folder, scratch_folder, scratch_removed
 from limpid.sources.tables import (
     read_table,
     read_table_if_any,
@@ -29,7 +29,9 @@ __all__ = [
     "read_table_if_any",
     "read_workbook_files",
     "read_workbook_tab",
+    "remove_folder",
     "scratch_folder",
+    "scratch_removed",
     "split_unreadable",
     "tab_headings",
     "table_exists",

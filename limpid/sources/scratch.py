@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -25,4 +28,34 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     Only a local session without the setting falls back on the machine's
     temporary folder, where there is no other machine to share with.
     """
-    return f"{_shared_root(spark).rstrip('/')}/limpid-{purpose}-{uuid.uuid4().hex}"
+    path = f"{_shared_root(spark).rstrip('/')}/limpid-{purpose}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+# Folders made in the innermost ``scratch_removed`` of this context.
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever store it is, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the scratch folders made inside, once the results inside are written.
+
+    Threads take part if they run in a copy of the context.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            remove_folder(spark, path)

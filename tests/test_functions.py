@@ -145,3 +145,10 @@ def test_free_dates(values):
 
 def test_iso_text(values):
     assert values(["43895", None], lambda c: iso_text(to_date_coerce(c))) == ["2020-03-05", None]
+
+
+def test_years_and_day_first_text_among_free_dates(values):
+    cells = ["2020", "1905", "5/3/2020", "31/02/2020", "2019.5", "36526"]
+    assert values(cells, to_date_coerce) == [
+        date(2020, 1, 1), date(1905, 1, 1), date(2020, 3, 5), None, date(1905, 7, 11), date(2000, 1, 1),
+    ]

@@ -140,16 +140,27 @@ def test_a_second_run_replaces_the_first(spark, finished, tmp_path):
     assert read_table(spark, f"{again.out}/silver/enseignants").count() == 508
 
 
+def scratch_folders(spark):
+    from pathlib import Path
+
+    from limpid.sources import scratch_folder
+
+    return {p.name for p in Path(scratch_folder(spark, "x")).parent.glob("limpid-*")}
+
+
 def test_a_run_with_another_strategy_leaves_no_stale_rows(spark, tmp_path):
     raw, out = tmp_path / "raw", tmp_path / "out"
     raw.mkdir()
     write_raw(raw)
     run(spark, str(raw), str(out), run_ts="T1", audit_format="csv")
+    assert not (out / "work").exists()
     lines = (raw / "effectifs_eleves.csv").read_text("utf-8-sig").split("\n")
     lines[20:40] = [line.rsplit(",", 1)[0] + "," for line in lines[20:40]]
     lines[50] += ",7"
     (raw / "effectifs_eleves.csv").write_bytes("\n".join(lines).encode("utf-8-sig"))
+    before = scratch_folders(spark)
     job = run(spark, str(raw), str(out), run_ts="T2")
+    assert scratch_folders(spark) == before
     aside = f"{out}/quarantine/effectifs"
     assert read_table(spark, f"{aside}/supprimes").count() == 0
     assert {r["date_imputation"] for r in read_table(spark, f"{aside}/imputes").collect()} == {"T2"}

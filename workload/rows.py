@@ -124,6 +124,13 @@ def fk_orphans(spark, sf_dir):
     return split_by_reference(orders, solvent(spark, sf_dir), "o_custkey")[1]
 
 
+@query(f"SELECT {ORDERS} FROM orders")
+def fk_without_dimension(spark, sf_dir):
+    """Without a reference table every row stays and none is an orphan."""
+    kept, orphans = split_by_reference(table(spark, sf_dir, "orders"), None, "o_custkey")
+    return kept if orphans is None else kept.limit(0)
+
+
 @query("""
 SELECT DISTINCT o_custkey FROM orders
 WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)
