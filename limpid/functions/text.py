@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -92,13 +91,17 @@ def canonical(
 
     NULL stays NULL: no pattern matches it and the fallback keeps it.
     """
-    bare = F.regexp_replace(squish(F.lower(col)), f"(?U){prefix}", "")
-    branches = reduce(
-        lambda acc, pv: acc.when(bare.rlike(pv[0]), F.lit(pv[1])),
-        patterns[1:],
-        F.when(bare.rlike(patterns[0][0]), F.lit(patterns[0][1])),
-    )
-    return branches.otherwise(fallback(bare))
+
+    def spelled(bare: Column) -> Column:
+        (first, name), *others = patterns
+        branches = F.when(bare.rlike(first), F.lit(name))
+        for pattern, name in others:
+            branches = branches.when(bare.rlike(pattern), F.lit(name))
+        return branches.otherwise(fallback(bare))
+
+    # A list of one names the cleaned text, which is then made once and not per branch.
+    cleaned = F.regexp_replace(squish(F.lower(col)), f"(?U){prefix}", "")
+    return F.get(F.transform(F.array(cleaned), spelled), 0)
 
 
 def region_name(col: Column) -> Column:

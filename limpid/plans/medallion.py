@@ -174,7 +174,7 @@ def bronze_to_silver(run: Run, raw: Raw, canonical_region: bool = False) -> None
     def teachers() -> None:
         tabs = bronze_tabs(run, raw.teachers, "enseignants", list(STATUS_OF_TAB))
         by_status = dict(zip(STATUS_OF_TAB.values(), tabs))
-        run.silver("enseignants", clean_enseignants(by_status, schools))
+        run.silver("enseignants", clean_enseignants(by_status, schools, cut=cut))
 
     def budgets() -> None:
         run.silver("budgets", clean_budgets(bronze_tabs(run, raw.budgets, "budgets", [0])[0]))

@@ -18,7 +18,7 @@ from limpid.functions.names import columns_with, snake_columns
 from limpid.functions.numbers import to_count, to_number, to_year
 from limpid.functions.text import region_name, squish
 from limpid.operators.dedup import keep_first
-from limpid.operators.integrity import split_by_reference
+from limpid.operators.integrity import split_by_reference, split_marked
 from limpid.operators.missing import THRESHOLD, amount, handle_missing, zero_fill
 from limpid.operators.profile import one_row_per
 from limpid.operators.union import tagged_union
@@ -105,16 +105,20 @@ def clean_effectifs(
 
 
 def clean_enseignants(
-    tabs: dict[str, DataFrame], dim: DataFrame | None = None, order_by: Sequence[str] = ROW_ORDER
+    tabs: dict[str, DataFrame],
+    dim: DataFrame | None = None,
+    order_by: Sequence[str] = ROW_ORDER,
+    cut: Cut = _no_cut,
 ) -> CleanResult:
     """Teachers: both tabs stacked, ISO dates, known schools only, one row per person.
 
     ``tabs`` maps a status to its rows. Orphans go first, so a contract row stays
-    when the permanent row points to an unknown school.
+    when the permanent row points to an unknown school. One join marks the known schools;
+    ``cut`` may write the marked rows, which kept, orphans and duplicates then share.
     """
     stacked = snake_columns(tagged_union(tabs, "statut"))
     dated = _each(stacked, columns_with(stacked, "date"), lambda c: iso_text(to_date_coerce(c)))
-    kept, orphans = split_by_reference(dated, dim, SCHOOL_KEY)
+    kept, orphans = split_marked(dated, dim, SCHOOL_KEY, lambda df: cut(df, "enseignants"))
     removed = None
     if "matricule" in kept.columns:
         ranks = F.create_map(*[F.lit(x) for pair in STATUS_RANK.items() for x in pair])

@@ -270,7 +270,7 @@ def teacher_result(spark, sf_dir):
     permanent = raw.where(F.col("tab") == "Titulaires").drop("tab", "Date fin contrat")
     contract = raw.where(F.col("tab") == "Contractuels").drop("tab")
     tabs = {"titulaire": permanent, "contractuel": contract}
-    return clean_enseignants(tabs, known_codes(spark, sf_dir))
+    return clean_enseignants(tabs, known_codes(spark, sf_dir), cut=through_scratch)
 
 
 @query(SILVER + """
@@ -292,6 +292,17 @@ def teachers_removed(spark, sf_dir):
     return teacher_result(spark, sf_dir).rejects["doublons"]
 
 
+@query("""
+SELECT 'T' || CAST(o_orderkey AS VARCHAR) AS matricule, o_orderpriority AS nom, o_orderstatus AS prenom,
+       'ETX-999' AS code_etablissement, 'HG' AS matiere,
+       strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d') AS date_prise_de_poste,
+       CAST(NULL AS VARCHAR) AS date_fin_contrat, 'titulaire' AS statut
+FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority = '1-URGENT'
+""")
+def teachers_orphans(spark, sf_dir):
+    return teacher_result(spark, sf_dir).rejects["sans_etablissement"]
+
+
 @query(SILVER + """
 SELECT region, annee, budget_fonctionnement, budget_investissement, budget_total FROM bud
 """)
