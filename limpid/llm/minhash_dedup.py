@@ -38,7 +38,7 @@ SHINGLE = 5
 LINK_PERCENT = 85
 K = 32
 # The estimate of a pair at the threshold is below this once in a million.
-LEAST_ESTIMATE = 0.55
+LEAST_ESTIMATE = 0.5
 TILE = 512
 VERIFY_ROWS = 2000
 ESTIMATE_ROWS = 1 << 16
