@@ -17,13 +17,16 @@ from limpid.llm import minhash_dedup, packing, quality, suffix_dedup
 from limpid.llm.layout import cut
 from limpid.sources import read_table
 
+# Held by tests/llm/test_pipeline.py.
+NEAR_PERCENT = 85
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.accepted(docs, read_table(spark, f"{sf_dir}/labels.parquet"))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return minhash_dedup.without_near_duplicates(docs)
+    return minhash_dedup.without_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

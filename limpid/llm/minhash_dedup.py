@@ -1,11 +1,12 @@
 """Near-duplicate documents by bottom-k sketches of one hash function.
 
 1. A document's set is its distinct five-word shingles, hashed once; the ``K`` smallest
-   hashes are its sketch. Documents of one set form a class; only classes go on.
-2. Inverted lists of retained values. Sets at the threshold keep about 85 % of the
-   smallest values of their union in common, so two sketches of s values share s/2 of
-   them but for a chance below one in a million; each then shares one of its s/2 + 1
-   *rarest* values. Only those are listed, so passages common to many documents make no
+   hashes are its sketch (``K`` follows from the threshold). Documents of one set form a
+   class; only classes go on.
+2. Inverted lists of retained values. Sets at the threshold (85 % unless said) keep about
+   that share of the smallest values of their union in common, so two sketches of s values
+   share s/2 of them but for a chance below one in a million; each then shares one of its
+   s/2 + 1 *rarest* values. Only those are listed, so passages common to many documents make no
    long lists, and a document of mostly unseen values makes none.
 3. Every list has a pivot, the member whose values are the most common. Members pair with
    pivots; the sketch of the union estimates each pair; the best pair of each member
@@ -20,7 +21,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +38,10 @@ from limpid.llm.layout import NO_ID, cut, known_id
 
 SHINGLE = 5
 LINK_PERCENT = 85
-K = 32
-# The estimate of a pair at the threshold is below this once in a million.
+K_STEP = 16
+# The estimate of a pair at the threshold is below this less than once in a million.
 LEAST_ESTIMATE = 0.5
+MISS = 1e-6
 TILE = 512
 VERIFY_ROWS = 2000
 ESTIMATE_ROWS = 1 << 16
@@ -46,6 +49,24 @@ PRODUCT_COLUMNS = 4096
 FLAGGED = "pivot bigint, low int, high int, node bigint, side int"
 NONE = np.iinfo(np.int64).max
 
+Emit = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def miss_chance(percent: int, k: int) -> float:
+    """Chance that sketches of ``k`` estimate a pair at ``percent`` below ``LEAST_ESTIMATE``."""
+    p = percent / 100
+    return sum(math.comb(k, i) * p**i * (1 - p) ** (k - i) for i in range(math.ceil(k * LEAST_ESTIMATE)))
+
+
+def sketch_size(percent: int) -> int:
+    """The ``K`` of a threshold: 32 at 85 %, 48 at 80 %."""
+    if not 60 <= percent <= 100:
+        raise ValueError("the threshold is a percentage from 60 to 100")
+    k = 2 * K_STEP
+    while miss_chance(percent, k) >= MISS:
+        k += K_STEP
+    return k
+
 
 def shingle_sets(column: pa.Array) -> Iterator[np.ndarray]:
     """Sorted distinct 63-bit hashes of each text's shingles."""
@@ -76,24 +97,27 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int64()))
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in text_slices(batches):
-        sizes, digests, sketches = [], [], []
-        for values in shingle_sets(batch.column("text")):
-            sizes.append(len(values))
-            digests.append(_digest(values))
-            sketches.append(values[:K])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-             _lists(sketches)],
-            names=["id", "n", "digest", "sketch"],
-        )
-
-
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Sketches as rows of ``K``, filled up with a number no sketch has."""
+def _sketches(k: int) -> Emit:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            sizes, digests, sketches = [], [], []
+            for values in shingle_sets(batch.column("text")):
+                sizes.append(len(values))
+                digests.append(_digest(values))
+                sketches.append(values[:k])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                 _lists(sketches)],
+                names=["id", "n", "digest", "sketch"],
+            )
+
+    return emit
+
+
+def _matrix(column: pa.Array, k: int) -> np.ndarray:
+    """Sketches as rows of ``k``, filled up with a number no sketch has."""
     counts = np.diff(column.offsets.to_numpy())
-    out = np.full((len(column), K), NONE, np.int64)
+    out = np.full((len(column), k), NONE, np.int64)
     flat = column.flatten().to_numpy()
     row = np.repeat(np.arange(len(column)), counts)
     place = np.arange(len(flat)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -103,30 +127,34 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Estimated Jaccard of pairs of sketches: the common share of the union's sketch."""
+    k = a.shape[1]
     both = np.sort(np.concatenate([a, b], axis=1), axis=1)
     real = both != NONE
     again = np.zeros(both.shape, bool)
     again[:, 1:] = (both[:, 1:] == both[:, :-1]) & real[:, 1:]
     place = np.cumsum(real & ~again, axis=1)
-    first = place <= K
+    first = place <= k
     return (again & first).sum(axis=1) / np.maximum((real & ~again & first).sum(axis=1), 1)
 
 
-def _close(n_a, n_b):
-    return np.minimum(n_a, n_b) * 100 >= LINK_PERCENT * np.maximum(n_a, n_b)
+def _close(n_a, n_b, percent: int):
+    return np.minimum(n_a, n_b) * 100 >= percent * np.maximum(n_a, n_b)
 
 
-def _estimated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        share = estimates(_matrix(batch.column("sketch_a")), _matrix(batch.column("sketch_b")))
-        keep = (share >= LEAST_ESTIMATE) & _close(
-            batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-        )
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep)),
-             pa.array(share[keep])],
-            names=["a", "b", "share"],
-        )
+def _estimated(percent: int, k: int) -> Emit:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            share = estimates(_matrix(batch.column("sketch_a"), k), _matrix(batch.column("sketch_b"), k))
+            keep = (share >= LEAST_ESTIMATE) & _close(
+                batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy(), percent
+            )
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep)),
+                 pa.array(share[keep])],
+                names=["a", "b", "share"],
+            )
+
+    return emit
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,48 +171,55 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for left, right in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
-            a = np.frombuffer(left.as_buffer(), np.int64)
-            b = np.frombuffer(right.as_buffer(), np.int64)
-            both = np.sort(np.concatenate([a, b]))
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= LINK_PERCENT * (len(both) - common))
-        keep = pa.array(keep, pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"]
-        )
+def _verified(percent: int) -> Emit:
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for left, right in zip(batch.column("set_a"), batch.column("set_b"), strict=True):
+                a = np.frombuffer(left.as_buffer(), np.int64)
+                b = np.frombuffer(right.as_buffer(), np.int64)
+                both = np.sort(np.concatenate([a, b]))
+                common = int((both[1:] == both[:-1]).sum())
+                keep.append(100 * common >= percent * (len(both) - common))
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"]
+            )
+
+    return emit
 
 
-def _apart(table: pa.Table) -> pa.Table:
+def _apart(percent: int, k: int) -> Callable[[pa.Table], pa.Table]:
     """Members of two tiles that look similar to one of another component."""
-    table = table.combine_chunks()
-    side = table.column("side").to_numpy()
-    node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
-    sketch = _matrix(table.column("sketch").chunk(0))
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    values, count = np.unique(sketch, return_counts=True)
-    values = values[(values != NONE) & (count > 1)]
-    if not len(values):
-        return table.select(["pivot", "low", "high", "node", "side"]).slice(0, 0)
-    spot = np.minimum(np.searchsorted(values, sketch), len(values) - 1)
-    marks = np.zeros((len(node), len(values)), np.float32)
-    row, column = np.nonzero(values[spot] == sketch)
-    marks[row, spot[row, column]] = 1
-    size = (sketch != NONE).sum(axis=1)
-    flag = np.zeros(len(node), bool)
-    overlap = marks[left] @ marks[right].T
-    need = np.maximum((size[left][:, None] + 1) // 2, (size[right][None, :] + 1) // 2)
-    fit = (overlap >= need) & (label[left][:, None] != label[right][None, :])
-    fit &= _close(n[left][:, None], n[right][None, :])
-    i, j = np.nonzero(fit)
-    for at in range(0, len(i), ESTIMATE_ROWS):
-        x, y = left[i[at : at + ESTIMATE_ROWS]], right[j[at : at + ESTIMATE_ROWS]]
-        likely = estimates(sketch[x], sketch[y]) >= LEAST_ESTIMATE
-        flag[x[likely]] = flag[y[likely]] = True
-    return table.select(["pivot", "low", "high", "node", "side"]).filter(pa.array(flag))
+
+    def emit(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        side = table.column("side").to_numpy()
+        node, label, n = (table.column(c).to_numpy() for c in ("node", "label", "n"))
+        sketch = _matrix(table.column("sketch").chunk(0), k)
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        values, count = np.unique(sketch, return_counts=True)
+        values = values[(values != NONE) & (count > 1)]
+        if not len(values):
+            return table.select(["pivot", "low", "high", "node", "side"]).slice(0, 0)
+        spot = np.minimum(np.searchsorted(values, sketch), len(values) - 1)
+        marks = np.zeros((len(node), len(values)), np.float32)
+        row, column = np.nonzero(values[spot] == sketch)
+        marks[row, spot[row, column]] = 1
+        size = (sketch != NONE).sum(axis=1)
+        flag = np.zeros(len(node), bool)
+        overlap = marks[left] @ marks[right].T
+        need = np.maximum((size[left][:, None] + 1) // 2, (size[right][None, :] + 1) // 2)
+        fit = (overlap >= need) & (label[left][:, None] != label[right][None, :])
+        fit &= _close(n[left][:, None], n[right][None, :], percent)
+        i, j = np.nonzero(fit)
+        for at in range(0, len(i), ESTIMATE_ROWS):
+            x, y = left[i[at : at + ESTIMATE_ROWS]], right[j[at : at + ESTIMATE_ROWS]]
+            likely = estimates(sketch[x], sketch[y]) >= LEAST_ESTIMATE
+            flag[x[likely]] = flag[y[likely]] = True
+        return table.select(["pivot", "low", "high", "node", "side"]).filter(pa.array(flag))
+
+    return emit
 
 
 def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -208,20 +243,24 @@ def common_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     return total.astype(np.int64)
 
 
-def _tile_links(table: pa.Table) -> pa.Table:
+def _tile_links(percent: int) -> Callable[[pa.Table], pa.Table]:
     """A spanning forest of the links between two tiles, by full sets."""
-    side, node = table.column("side").to_numpy(), table.column("node").to_numpy()
-    sets = [np.frombuffer(x, np.int64) for x in table.column("values").to_pylist()]
-    left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
-    if not len(left) or not len(right):
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    common = common_counts(sets, left, right)
-    size = np.array([len(s) for s in sets])
-    union = size[left][:, None] + size[right][None, :] - common
-    i, j = np.nonzero(100 * common >= LINK_PERCENT * union)
-    root = roots(len(node), left[i], right[j])
-    far = np.flatnonzero(root != np.arange(len(node)))
-    return pa.table({"a": node[far], "b": node[root[far]]})
+
+    def emit(table: pa.Table) -> pa.Table:
+        side, node = table.column("side").to_numpy(), table.column("node").to_numpy()
+        sets = [np.frombuffer(x, np.int64) for x in table.column("values").to_pylist()]
+        left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+        if not len(left) or not len(right):
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        common = common_counts(sets, left, right)
+        size = np.array([len(s) for s in sets])
+        union = size[left][:, None] + size[right][None, :] - common
+        i, j = np.nonzero(100 * common >= percent * union)
+        root = roots(len(node), left[i], right[j])
+        far = np.flatnonzero(root != np.arange(len(node)))
+        return pa.table({"a": node[far], "b": node[root[far]]})
+
+    return emit
 
 
 def _sets(used: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -233,13 +272,13 @@ def _sets(used: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     return cut(sets, "shingle-sets")
 
 
-def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of classes that are links by their full sets."""
     sets = _sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), classes, docs)
     left = sets.select(F.col("node").alias("a"), F.col("values").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("values").alias("set_b"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a")
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(_verified, "a bigint, b bigint")
+    return both.select("a", "b", "set_a", "set_b").mapInArrow(_verified(percent), "a bigint, b bigint")
 
 
 def _rare_postings(classes: DataFrame) -> DataFrame:
@@ -259,8 +298,12 @@ def _rare_postings(classes: DataFrame) -> DataFrame:
     return ranked.where("place + alone <= s div 2 + 1").select("value", "node", "weight")
 
 
-def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """(a, b): links between classes whose components are those of all links."""
+def near_duplicate_links(classes: DataFrame, docs: DataFrame, percent: int = LINK_PERCENT) -> DataFrame:
+    """(a, b): links between classes whose components are those of all links.
+
+    The sketches of ``classes`` are those of ``sketch_size(percent)``.
+    """
+    k = sketch_size(percent)
     postings = cut(_rare_postings(classes), "postings")
     best = F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("best")
     pivots = postings.groupBy("value").agg(best, F.count(F.lit(1)).alias("members")).where("members > 1")
@@ -273,11 +316,11 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     side_b = classes.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
     likely = (
         pairs.join(side_b, "b").join(side_a, "a")
-        .mapInArrow(_estimated, "a bigint, b bigint, share double")
+        .mapInArrow(_estimated(percent, k), "a bigint, b bigint, share double")
     )
     top = F.max(F.struct("share", (-F.col("b")).alias("minus"))).alias("top")
     likely = cut(likely.groupBy("a").agg(top).select("a", (-F.col("top.minus")).alias("b")), "stars-to-verify")
-    links = cut(_verify(likely, classes, docs), "links")
+    links = cut(_verify(likely, classes, docs, percent), "links")
 
     # Each member's star, or the star its hub belongs to; good enough to see who is apart.
     hubs = links.select(F.col("a").alias("hub"), F.col("b").alias("next"))
@@ -307,20 +350,22 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame) -> DataFrame:
         "node", "label", side.alias("side"),
     )
     tiles = members.join(classes.select("node", "n", "sketch"), "node")
-    flagged = tiles.groupBy("pivot", "low", "high").applyInArrow(_apart, FLAGGED)
+    flagged = tiles.groupBy("pivot", "low", "high").applyInArrow(_apart(percent, k), FLAGGED)
     flagged = cut(flagged, "rest-to-verify")
     sets = _sets(flagged, classes, docs)
     rest = (
         flagged.join(sets, "node").groupBy("pivot", "low", "high")
-        .applyInArrow(_tile_links, "a bigint, b bigint")
+        .applyInArrow(_tile_links(percent), "a bigint, b bigint")
     )
     return links.unionByName(rest)
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT
+) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
 
-    Rows link if their sets agree to 85 % of their union; ``component_id`` is the smallest
+    Rows link if their sets agree to ``percent`` of their union; ``component_id`` is the smallest
     doc_id reachable over links, ``kept`` marks the rows having it. A text of fewer
     than five words is one shingle; a null text or one without words links with nothing.
     A row without id comes after all others and, if it meets none with an id, has
@@ -329,14 +374,14 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     """
     rows = docs.select(known_id(key).alias("id"), F.col(text).cast("binary").alias("text"))
     kinds = "id bigint, n bigint, digest binary, sketch array<bigint>"
-    sketches = cut(rows.mapInArrow(_sketches, kinds), "sketches")
+    sketches = cut(rows.mapInArrow(_sketches(sketch_size(percent)), kinds), "sketches")
     classes = (
         sketches.where("n > 0").groupBy("digest")
         .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = cut(classes, "classes")
-    links = near_duplicate_links(classes, rows)
+    links = near_duplicate_links(classes, rows, percent)
     labels = components(links).withColumnRenamed("id", "node")
     placed = classes.join(labels, "node", "left").select(
         "digest", "rep", F.coalesce("component", "node").alias("label")
@@ -354,10 +399,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     )
 
 
-def without_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def without_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT
+) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest of its component.
 
     Rows of one id are one document: they go if any of their sets has a smaller relative.
     """
-    gone = near_duplicates(docs, key, text).where("not kept").select(known_id("doc_id").alias("gone"))
+    gone = near_duplicates(docs, key, text, percent).where("not kept").select(known_id("doc_id").alias("gone"))
     return docs.join(gone.distinct(), known_id(key) == F.col("gone"), "left_anti")

@@ -38,7 +38,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return minhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
 @_query

@@ -81,6 +81,24 @@ def test_near_duplicates_against_brute_force(corpus, documents):
     assert bag(minhash_dedup.near_duplicates(documents)) == as_bag(brute.near_groups(pairs_of(documents)))
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates_at_a_threshold(documents, percent):
+    want = brute.near_groups(pairs_of(documents), percent)
+    assert bag(minhash_dedup.near_duplicates(documents, percent=percent)) == as_bag(want)
+    kept = minhash_dedup.without_near_duplicates(documents, percent=percent)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, _, _, k in want if k)
+
+
+def test_thresholds_of_the_table_differ(documents):
+    rows = pairs_of(documents)
+    assert as_bag(brute.near_groups(rows, 80)) != as_bag(brute.near_groups(rows, 85))
+
+
+def test_sketches_grow_as_the_threshold_falls():
+    assert (minhash_dedup.sketch_size(85), minhash_dedup.sketch_size(80)) == (32, 48)
+    assert minhash_dedup.miss_chance(80, 32) > 3e-5 and minhash_dedup.miss_chance(80, 48) < 1e-6
+
+
 def chain(n, size=80):
     """Texts whose neighbours are near and whose ends are not, and a hub of none."""
     words = [f"w{i}" for i in range(size + 3 * n)]
