@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from limpid.llm.components import components, roots
@@ -34,7 +34,7 @@ from limpid.llm.hashing import (
     U64, binary_bounds, gram_hashes, lowered, mixed, multipliers, text_slices,
     word_hashes, word_spans,
 )
-from limpid.llm.layout import NO_ID, cut, known_id
+from limpid.llm.layout import NO_ID, cut, known_id, row_mark
 
 SHINGLE = 5
 LINK_PERCENT = 85
@@ -106,9 +106,9 @@ def _sketches(k: int) -> Emit:
                 digests.append(_digest(values))
                 sketches.append(values[:k])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
-                 _lists(sketches)],
-                names=["id", "n", "digest", "sketch"],
+                [batch.column("id"), batch.column("mark"), pa.array(sizes, pa.int64()),
+                 pa.array(digests, pa.binary()), _lists(sketches)],
+                names=["id", "mark", "n", "digest", "sketch"],
             )
 
     return emit
@@ -266,8 +266,9 @@ def _tile_links(percent: int) -> Callable[[pa.Table], pa.Table]:
 def _sets(used: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, values): the full sets of the classes in ``used``, from their texts."""
     wanted = classes.join(used.select("node").distinct(), "node")
-    wanted = wanted.select(F.col("rep").alias("id"), "digest", "node")
-    texts = docs.join(wanted, "id").select("node", "digest", "text")
+    wanted = wanted.select(F.col("rep").alias("id"), F.col("rep_mark").alias("mark"), "digest", "node")
+    # The mark tells rows of one id, or of none, apart: one text a class, not all of the id.
+    texts = docs.join(wanted, ["id", "mark"]).select("node", "digest", "text")
     sets = texts.mapInArrow(_full_sets, "node bigint, values binary").dropDuplicates(["node"])
     return cut(sets, "shingle-sets")
 
@@ -360,24 +361,24 @@ def near_duplicate_links(classes: DataFrame, docs: DataFrame, percent: int = LIN
     return links.unionByName(rest)
 
 
-def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+def _places(docs: DataFrame, key: str, text: str, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Each row's (id, mark, n, digest), and each set's (digest, label, component_id).
 
-    Rows link if their sets agree to ``percent`` of their union; ``component_id`` is the smallest
-    doc_id reachable over links, ``kept`` marks the rows having it. A text of fewer
-    than five words is one shingle; a null text or one without words links with nothing.
-    A row without id comes after all others and, if it meets none with an id, has
-    no component and is kept. Rows of one id and one set share their result. Other
-    columns play no part; an empty table gives an empty one.
+    Sets of one ``label`` are of one component; ``component_id`` is its smallest id.
     """
-    rows = docs.select(known_id(key).alias("id"), F.col(text).cast("binary").alias("text"))
-    kinds = "id bigint, n bigint, digest binary, sketch array<bigint>"
+    rows = docs.select(
+        known_id(key).alias("id"), row_mark(key, text).alias("mark"),
+        F.col(text).cast("binary").alias("text"),
+    )
+    kinds = "id bigint, mark bigint, n bigint, digest binary, sketch array<bigint>"
     sketches = cut(rows.mapInArrow(_sketches(sketch_size(percent)), kinds), "sketches")
     classes = (
         sketches.where("n > 0").groupBy("digest")
-        .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+        .agg(
+            F.min(F.struct("id", "mark")).alias("least"),
+            F.first("n").alias("n"), F.first("sketch").alias("sketch"),
+        )
+        .select("digest", F.col("least.id").alias("rep"), F.col("least.mark").alias("rep_mark"), "n", "sketch")
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = cut(classes, "classes")
@@ -387,9 +388,25 @@ def near_duplicates(
         "digest", "rep", F.coalesce("component", "node").alias("label")
     )
     smallest = placed.groupBy("label").agg(F.min("rep").alias("component_id"))
-    places = placed.join(smallest, "label").select("digest", "component_id")
-    found = sketches.where("n > 0").select("id", "n", "digest").join(places, "digest").drop("digest")
-    bare = sketches.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    places = placed.join(smallest, "label").select("digest", "label", "component_id")
+    return sketches.select("id", "mark", "n", "digest"), places
+
+
+def near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = LINK_PERCENT
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) of every row of ``docs``.
+
+    Rows link if their sets agree to ``percent`` of their union; ``component_id`` is the smallest
+    doc_id reachable over links, ``kept`` marks the rows having it. A text of fewer
+    than five words is one shingle; a null text or one without words links with nothing.
+    A row without id comes after all others and, if it meets none with an id, has
+    no component and is kept. Rows of one id and one set share their result. Other
+    columns play no part; an empty table gives an empty one.
+    """
+    rows, places = _places(docs, key, text, percent)
+    found = rows.where("n > 0").join(places, "digest").select("id", "n", "component_id")
+    bare = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     none = F.lit(NO_ID)
     return found.unionByName(bare).select(
         F.nullif("id", none).alias("doc_id"),
@@ -404,7 +421,27 @@ def without_near_duplicates(
 ) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest of its component.
 
-    Rows of one id are one document: they go if any of their sets has a smaller relative.
+    A row is judged by id and text, so one row of a repeated id may go and another stay; rows
+    that have the smallest id of their component all stay. Of a component without any
+    id one row stays. Rows without words all stay.
     """
-    gone = near_duplicates(docs, key, text, percent).where("not kept").select(known_id("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), known_id(key) == F.col("gone"), "left_anti")
+    rows, places = _places(docs, key, text, percent)
+    found = rows.where("n > 0").join(places, "digest").select("id", "mark", "label", "component_id")
+    gone = found.where("id > component_id").select("id", "mark")
+    # Components without any id: the text of the smallest mark stays, once.
+    nameless = found.where(F.col("component_id") == NO_ID)
+    texts = nameless.groupBy("label", "mark").agg(F.count(F.lit(1)).alias("n"))
+    texts = cut(texts, "texts-without-id")
+    stays = texts.groupBy("label").agg(F.min(F.struct("mark", "n")).alias("least")).select("label", "least.*")
+    again = stays.where("n > 1").select(F.lit(NO_ID).alias("id"), "mark")
+    later = texts.join(stays.select("label", F.col("mark").alias("least")), "label").where("mark > least")
+    later = later.select(F.lit(NO_ID).alias("id"), "mark")
+    gone = cut(gone.unionByName(later).unionByName(again).distinct(), "near-copies")
+
+    def same(marks: DataFrame) -> Column:
+        return (known_id(key) == marks["gone_id"]) & (row_mark(key, text) == marks["gone_mark"])
+
+    gone, again = (m.select(F.col("id").alias("gone_id"), F.col("mark").alias("gone_mark")) for m in (gone, again))
+    once = docs.where(known_id(key) == NO_ID).join(again, same(again), "left_semi")
+    once = once.groupBy(row_mark(key, text).alias("mark")).agg(F.first(F.struct(*docs.columns)).alias("row"))
+    return docs.join(gone, same(gone), "left_anti").unionByName(once.select("row.*"))

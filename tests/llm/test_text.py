@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 from limpid.llm import bpe, minhash_dedup, quality, substring_dedup, suffix_dedup
 from limpid.llm.components import components, roots
 from tests.llm import brute
-from tests.llm.conftest import CORPUS, SF, bag
+from tests.llm.conftest import CORPUS, SF, bag, words
 
 PAIRS = [(r[0], r[1]) for r in CORPUS]
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -127,6 +127,33 @@ def test_one_document_of_each_group_stays(corpus):
     assert set(ids) == wanted and ids.count(3) == 2
 
 
+def test_rows_of_one_id_or_none_are_judged_one_by_one(spark):
+    text = [words(100 + i, 60) for i in range(7)]
+    near = [t + " end" for t in text]
+    rows = [
+        (1, text[0]), (None, near[0]),  # a near copy of a row with an id goes alone
+        (None, text[1]), (None, text[1]), (None, near[1]),  # one of three stays
+        (None, text[2]), (None, None), (None, ""), (None, " "),  # nothing like them
+        (2, text[3]), (5, near[3]), (5, text[4]),  # two texts under one id
+        (7, text[5]), (7, text[5]), (8, text[5]),
+    ]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, mark int")
+    found = minhash_dedup.without_near_duplicates(df.repartition(4))
+    assert found.columns == df.columns
+    got = [(r["doc_id"], r["text"]) for r in found.collect()]
+    # By brute force: every row an id of its own, those without id last, then one a group.
+    order = sorted(range(len(rows)), key=lambda n: (rows[n][0] is None, rows[n][0] or 0))
+    own = brute.near_groups([(k, rows[n][1]) for k, n in enumerate(order)])
+    kept = {order[k] for k, (_, _, _, stays) in enumerate(own) if stays} | {13}  # 7 twice, alike
+    inside = [r for r in got if r[0] is None and (r[1] or "").strip()]
+    assert len(got) == len(kept) and len(inside) == 2
+    assert as_bag(r for r in got if r not in inside) == as_bag(
+        rows[n] for n in kept if rows[n][0] is not None or not (rows[n][1] or "").strip()
+    )
+    assert {r[1] in (text[2],) for r in inside} == {True, False}
+    assert {r[1] for r in inside} - {text[2]} <= {text[1], near[1]}
+
+
 def test_common_counts_are_exact():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 60, 40)) for _ in range(9)]
