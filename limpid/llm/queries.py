@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from limpid.llm import (
-    bpe, embedding_dedup, minhash_dedup, neighbours, packing, quality, sharding, substring_dedup,
-    suffix_dedup, warc,
+    alignment, bpe, embedding_dedup, minhash_dedup, neighbours, packing, quality, sharding,
+    substring_dedup, suffix_dedup, token_counts, vector_codes, warc,
 )
 from limpid.sources import read_table
 
@@ -85,3 +85,27 @@ def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.token_alignment(_table(spark, sf_dir, "documents"), *paths)
+
+
+@_query
+def op12_vector_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op12_vector_code_compression"] = vector_codes.oracle_sql()
+
+
+@_query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), vocabulary)
