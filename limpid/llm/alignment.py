@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 import re
 from array import array
 from collections.abc import Iterator
@@ -31,9 +32,11 @@ from limpid.llm.bpe import byte_characters
 from limpid.llm.layout import cut
 
 BLANK = "▁"
-# Characters of a block, and of the stretches remembered from block to block.
-BLOCK_CHARS = 4 << 20
-REMEMBERED = 2 << 20
+# Characters of a block, of a slice encoded at once, and of the stretches remembered from
+# block to block.
+BLOCK_CHARS = 2 << 20
+SLICE_CHARS = 1 << 18
+REMEMBERED = 1 << 20
 # Links of a group that are listed one by one; more are counted by pair first.
 FEW = 4096
 # A blank counts as a cut only after a sign that is no blank in either vocabulary.
@@ -68,7 +71,7 @@ class Units:
     def extend(self, groups, sound, measures, pairs, times, sizes) -> None:
         """Add units: their pairs one after another, ``sizes`` of them for each."""
         self.groups += groups
-        self.sound += bytes(sound)
+        self.sound += sound.astype(np.uint8).tobytes()
         for column, values in (
             (self.measures, measures), (self.pairs, pairs), (self.times, times),
             (self.starts, self.starts[-1] + np.cumsum(sizes)),
@@ -83,6 +86,7 @@ class Tokenizers:
         import sentencepiece
         from tokenizers import Tokenizer
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
         self.a = Tokenizer.from_file(path_a)
         self.a.no_truncation()
         self.a.no_padding()
@@ -129,28 +133,39 @@ class Tokenizers:
         # B drops its own blank where nothing follows.
         return [e.ids for e in a], [ids if t else [self.blank] for t, ids in zip(texts, b, strict=True)]
 
-    def _sound(self, texts: list[str], a: list[list[int]], b: list[list[int]]) -> list[bool]:
+    def _flat(self, ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        size = np.fromiter(map(len, ids), np.int64, len(ids))
+        return size, np.fromiter(chain.from_iterable(ids), np.int64, size.sum())
+
+    def _sound(self, texts: list[str], a: list[list[int]], b: list[list[int]]) -> np.ndarray:
         """Whether both sides give back blank + text byte for byte."""
         raw = [b" " + t.encode() for t in texts]
-        sides = [(self.bytes_a, a), (self.bytes_b, b)]
-        if all(b"".join([of[i] for ids in x for i in ids]) == b"".join(raw) for of, x in sides):
-            ends = np.cumsum([len(r) for r in raw])
-            if all((np.cumsum([sum(map(len, map(of.__getitem__, ids))) for ids in x]) == ends).all() for of, x in sides):
-                return [True] * len(texts)
-        return [
-            all(b"".join([of[i] for i in x[n]]) == r for of, x in sides) for n, r in enumerate(raw)
-        ]
+        ends = np.cumsum([len(r) for r in raw])
+        line, sound = b"".join(raw), np.ones(len(texts), bool)
+        for of, length, ids in ((self.bytes_a, self.length_a, a), (self.bytes_b, self.length_b, b)):
+            size, flat = self._flat(ids)
+            until = np.concatenate([[0], np.cumsum(length[flat])])[np.cumsum(size)]
+            if (until != ends).any() or b"".join([of[i] for i in flat.tolist()]) != line:
+                sound &= [b"".join([of[i] for i in x]) == r for x, r in zip(ids, raw, strict=True)]
+        return sound
 
     def align(self, units: Units, texts: list[str]) -> None:
+        """Add a unit per text, a slice of bounded size at a time."""
+        start, held = 0, 0
+        for n, text in enumerate(texts):
+            held += len(text)
+            if held > SLICE_CHARS or n == len(texts) - 1:
+                self._align(units, texts[start : n + 1])
+                start, held = n + 1, 0
+
+    def _align(self, units: Units, texts: list[str]) -> None:
         """Add a unit per text: its groups between common ends."""
-        if not texts:
-            return
         a, b = self.ids(texts)
         sound = self._sound(texts, a, b)
-        if not all(sound):
+        if not sound.all():
             a, b = ([ids if ok else [] for ids, ok in zip(x, sound, strict=True)] for x in (a, b))
-        n_a, n_b = (np.array([len(ids) for ids in x], np.int64) for x in (a, b))
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64, n.sum()) for x, n in ((a, n_a), (b, n_b)))
+        (n_a, flat_a), (n_b, flat_b) = self._flat(a), self._flat(b)
+        del a, b
         # All texts in one row of bytes: both sides end where a text ends.
         end_a, end_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
         place = np.searchsorted(end_b, end_a)
