@@ -4,8 +4,8 @@ Equal vectors form classes. Classes are cut into tiles of about ``TILE`` by medi
 main directions of a bounded sample; a tile pair is left out only if the boxes that hold
 *all* its vectors in those directions are farther apart than linked vectors can be. A kept
 pair of tiles is one group: its vectors, scaled to length one, are rounded to 127 steps
-with an own scale each; products of whole numbers (exact in single precision) estimate the
-cosines. For each vector the length of its rounding error is known, and so is the
+with an own scale each; products of whole numbers (exact in single precision, 1,024 columns at a
+time) estimate the cosines. For each vector the length of its rounding error is known, and so is the
 largest error of every product. Only pairs whose estimate plus bound reaches the threshold
 are computed again in double precision. A task returns counts and a spanning
 forest of its links, never its pairs.
@@ -13,6 +13,8 @@ forest of its links, never its pairs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 
 from limpid.llm.components import components, roots
 from limpid.llm.layout import NO_ID, cut, known_id
-from limpid.llm.vectors import classes_of, matrix, packed, scaled, unpacked, vector_rows
+from limpid.llm.vectors import classes_of, dimensions, matrix, packed, scaled, unpacked, vector_rows
 
 COSINE = 0.95
 TILE = 4096
@@ -30,6 +32,7 @@ DIRECTIONS = 6
 STRIP = 1024
 AGAIN = 1 << 16
 LEVELS = 127
+EXACT = 1024  # 127 * 127 * 1024 < 2 ** 24
 # Slack for rounding in the bounds themselves; far above what doubles and singles lose.
 SLACK = 1e-5
 
@@ -66,8 +69,11 @@ def linked_pairs(a: np.ndarray, b: np.ndarray, cosine: float, same: bool):
     norm_b = np.sqrt((scaled(b) ** 2).sum(axis=1))
     for at in range(0, len(a), STRIP):
         s = slice(at, at + STRIP)
-        estimate = steps_a[s].astype(np.float32) @ right
-        estimate *= scale_a[s, None].astype(np.float32)
+        estimate = np.float32(0)
+        for c in range(0, len(right), EXACT):  # single precision holds these sums exactly
+            part = steps_a[s, c : c + EXACT].astype(np.float32) @ right[c : c + EXACT]
+            estimate = part if not c else estimate.astype(np.float64) + part
+        estimate = estimate * scale_a[s, None].astype(np.float32)
         estimate *= scale_b[None, :].astype(np.float32)
         bound = (length_a + error_a)[s, None].astype(np.float32) * (length_b + error_b)[None, :].astype(np.float32)
         bound -= length_a[s, None].astype(np.float32) * length_b[None, :].astype(np.float32)
@@ -203,7 +209,7 @@ def _found(classes: DataFrame, total: int) -> DataFrame:
         tiles.groupBy("leaf")
         .agg(
             F.min("tile").alias("first"), F.max("tile").alias("last"),
-            *(F.array(*(f(F.col(name)[i]) for i in range(DIRECTIONS))).alias(name)
+            *(F.array(*(f(F.get(F.col(name), F.lit(i))) for i in range(DIRECTIONS))).alias(name)
               for f, name in ((F.min, "low"), (F.max, "high"))),
         )
         .orderBy("leaf").collect()
@@ -234,16 +240,18 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding")
     """(vec_id, n_links, component_id, kept) of every row of ``df``.
 
     Rows link if the cosine of their vectors, in double precision, is at least 0.95; copies
-    of a vector link with each other. Vectors that are null, zero, of another dimension than
-    most, or hold a null or no finite number link with nothing: no links, own component,
-    kept. A row without id comes after all others; its component is null if it meets none
+    of a vector link with each other. Vectors of different dimensions never link. Vectors
+    that are null, zero, or hold a null or no finite number link with nothing: no links, own
+    component, kept. A row without id comes after all others; its component is null if it meets none
     with an id. Other columns play no part; an empty table gives an empty one.
     """
     rows = vector_rows(df, key, vector)
     classes = classes_of(rows, 1)
-    total = classes.count()
-    if total:
-        found = _found(classes, total)
+    sizes = dimensions(classes)
+    if sizes:
+        found = reduce(
+            DataFrame.unionByName, [_found(classes.where(F.size("v") == d), n) for d, n in sizes.items()]
+        )
         links = found.groupBy("node").agg(F.sum("links").alias("links"))
         labels = components(found.where("node <> root").select("node", "root"))
         labels = labels.withColumnRenamed("id", "node")

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from limpid.llm.layout import cut
-from limpid.llm.vectors import classes_of, matrix, vector_rows
+from limpid.llm.vectors import classes_of, dimensions, matrix, vector_rows
 
 NEAREST = 20
 QUERY_EVERY = 20
@@ -42,6 +43,7 @@ QUERY_BATCH = 256
 
 ROWS = "tree int, grp int, leaf int, node bigint, v array<double>"
 VISITS = "tree int, grp int, node bigint, v array<double>, leaves array<int>"
+NEIGHBOURS = "query_id bigint, rank int, vec_id bigint, score double"
 BEST = "query bigint, nodes array<bigint>, scores array<double>"
 
 
@@ -150,15 +152,30 @@ def calibrate(forest: Forest, sample: np.ndarray, probes: np.ndarray) -> float:
     return LADDER[-1] + 1
 
 
+def dealt(forest: Forest, leaves_a_group: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first number, number of slices) of each group of leaves, by tree.
+
+    The trees end where the sample does; a group that the sample expects to be larger than
+    two groups is dealt into slices, so no task's rows grow with the table.
+    """
+    starts = np.arange(0, forest.weight.shape[1], leaves_a_group)
+    rows = np.add.reduceat(forest.weight, starts, axis=1) * total
+    parts = np.maximum(1, np.ceil(rows / (2 * GROUP_ROWS))).astype(np.int64)
+    return np.cumsum(parts, axis=1) - parts, parts
+
+
 def _routed(shared, leaves_a_group: int):
     def emit(batches):
-        forest = shared.value[0]
+        forest, _, first, parts = shared.value
         for batch in batches:
             leaf = forest.leaves(matrix(batch.column("v"))).astype(np.int32)
             for tree in range(TREES):
                 own = leaf[:, tree]
+                group = own // leaves_a_group
+                # Nodes are numbered as they come, so their last digits deal them evenly.
+                grp = first[tree, group] + batch.column("node").to_numpy() % parts[tree, group]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(own), tree, np.int32)), pa.array(own // leaves_a_group),
+                    [pa.array(np.full(len(own), tree, np.int32)), pa.array(grp.astype(np.int32)),
                      pa.array(own), batch.column("node"), batch.column("v")],
                     names=["tree", "grp", "leaf", "node", "v"],
                 )
@@ -168,7 +185,7 @@ def _routed(shared, leaves_a_group: int):
 
 def _visiting(shared, leaves_a_group: int):
     def emit(batches):
-        forest, budget = shared.value
+        forest, budget, first, parts = shared.value
         for batch in batches:
             rows = matrix(batch.column("v"))
             at, trees, groups, lists = [], [], [], []
@@ -177,10 +194,11 @@ def _visiting(shared, leaves_a_group: int):
                 for tree, leaf in forest.visits(query, budget):
                     by_group.setdefault((tree, leaf // leaves_a_group), []).append(leaf)
                 for (tree, group), leaves in by_group.items():
-                    at.append(i)
-                    trees.append(tree)
-                    groups.append(group)
-                    lists.append(leaves)
+                    for part in range(parts[tree, group]):
+                        at.append(i)
+                        trees.append(tree)
+                        groups.append(first[tree, group] + part)
+                        lists.append(leaves)
             at = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(trees, pa.int32()), pa.array(groups, pa.int32()),
@@ -247,21 +265,29 @@ def nearest(
 
     Queries are the rows whose id is divisible by ``every``; candidates all other rows.
     Nearness is the inner product in double precision, ties go to the smaller id. Copies of
-    a vector are indexed once and listed each. Vectors that are null, zero, of another
-    dimension than most, or hold a null or no finite number take no part, nor do rows
-    without id. Repeated rows of one id count as one. Other columns play no part; an empty
+    a vector are indexed once and listed each. Vectors meet those of their own dimension,
+    each dimension in a forest of its own. Vectors that are null, zero, or hold a null or no
+    finite number take no part, nor do rows without id. Repeated rows of one id count as one. Other columns play no part; an empty
     table gives an empty one.
     """
     spark = df.sparkSession
     rows = vector_rows(df.where(F.col(key).isNotNull()), key, vector).dropDuplicates(["id", "digest"])
-    classes = classes_of(rows, NEAREST + 1)
+    every_class = classes_of(rows, NEAREST + 1)
+    found = [
+        _nearest(rows.where(F.size("v") == d), every_class.where(F.size("v") == d), every)
+        for d in dimensions(every_class)
+    ]
+    return reduce(DataFrame.unionByName, found) if found else spark.createDataFrame([], NEIGHBOURS)
+
+
+def _nearest(rows: DataFrame, classes: DataFrame, every: int) -> DataFrame:
+    """The same for vectors of one dimension, of which there are some."""
+    spark = rows.sparkSession
     facts = classes.agg(
         F.count(F.lit(1)).alias("n"),
         F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("longest"),
     ).first()
     total = facts["n"]
-    if not total:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
     share = int(min(1.0, SAMPLE / total) * (1 << 20)) + 1
     picked = classes.where(F.pmod(F.xxhash64("node"), F.lit(1 << 20)) < share).select("v").limit(SAMPLE)
     sample = np.array([r["v"] for r in picked.toLocalIterator()], np.float64)
@@ -270,9 +296,9 @@ def nearest(
     forest = plant(sample, float(facts["longest"]), total)
     probes = np.arange(0, len(sample), max(1, len(sample) // PROBES))
     budget = calibrate(forest, sample, probes)
-    shared = spark.sparkContext.broadcast((forest, budget))
     leaves = 1 << forest.depth
     leaves_a_group = max(1, round(GROUP_ROWS * leaves / total))
+    shared = spark.sparkContext.broadcast((forest, budget, *dealt(forest, leaves_a_group, total)))
 
     indexed = classes.select("node", "v").mapInArrow(_routed(shared, leaves_a_group), ROWS)
     asking = rows.where(F.col("id") % every == 0).select(F.col("id").alias("query_id"), "digest")

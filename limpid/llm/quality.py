@@ -156,8 +156,10 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         .orderBy(F.xxhash64("_id"), "_id", "good")
         .limit(sample)
     )
-    rows = docs.join(picked, F.col(key) == F.col("_id"))
-    counted = rows.select("good", F.xxhash64("_id").alias("place"), _bordered(text).alias("text")).mapInArrow(
+    # Only key and text meet the labels, under names of their own.
+    texts = docs.select(F.col(f"`{key}`").alias("_key"), _bordered(text).alias("_text"))
+    rows = texts.join(picked, F.col("_key") == F.col("_id"))
+    counted = rows.select("good", F.xxhash64("_id").alias("place"), F.col("_text").alias("text")).mapInArrow(
         _counted, "good int, place bigint, slots binary, counts binary"
     )
     # A partition at a time, and no more than the sample though an id had several rows.

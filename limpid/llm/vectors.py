@@ -19,15 +19,15 @@ def takes_part(vector: Column) -> Column:
 
 
 def vector_rows(df: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, digest, v) of the rows that take part, written once.
-
-    Vectors of another dimension than most rows have take no part.
-    """
+    """(id, digest, v) of the rows that take part, written once."""
     rows = df.select(known_id(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     rows = cut(rows.where(takes_part(F.col("v"))), "vectors")
-    sizes = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    usual = rows.where(F.size("v") == (sizes["d"] if sizes else 0))
-    return usual.withColumn("digest", F.unhex(F.md5(F.col("v").cast("string").cast("binary"))))
+    return rows.withColumn("digest", F.unhex(F.md5(F.col("v").cast("string").cast("binary"))))
+
+
+def dimensions(classes: DataFrame) -> dict[int, int]:
+    """Number of classes by dimension."""
+    return {r["d"]: r["count"] for r in classes.groupBy(F.size("v").alias("d")).count().orderBy("d").collect()}
 
 
 def classes_of(rows: DataFrame, members: int) -> DataFrame:

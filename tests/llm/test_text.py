@@ -215,6 +215,20 @@ def test_scores_learn_from_other_rows_only(spark, documents):
     assert one == other
 
 
+def test_scores_with_columns_named_as_inside(spark, corpus):
+    from pyspark.sql import functions as F
+
+    labels = spark.createDataFrame([(3, 1, 0), (6, 0, 0)], "doc_id bigint, quality int, toxic int")
+    clash = corpus
+    for name in ("good", "_id", "_key", "_text", "place", "rest", "score", "quality", "slots"):
+        clash = clash.withColumn(name, F.lit("x"))
+    assert bag(quality.quality_scores(clash, labels)) == bag(quality.quality_scores(corpus, labels))
+    kept = quality.accepted(clash, labels)
+    assert kept.columns == clash.columns
+    same = [c for c in corpus.columns if c != "rest"]
+    assert bag(kept, *same) == bag(quality.accepted(corpus, labels), *same)
+
+
 def test_scores_of_odd_texts(spark, corpus):
     labels = spark.createDataFrame([(3, 1, 0), (6, 0, 0), (30, None, 1), (None, 1, 0)], "doc_id bigint, quality int, toxic int")
     found = quality.quality_scores(corpus, labels).collect()

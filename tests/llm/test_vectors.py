@@ -35,8 +35,8 @@ def vectors(spark):
     return spark.createDataFrame([(i, v, 1, 2, 3, 4) for i, v in rows_of()], SCHEMA).repartition(3)
 
 
-def near_brute(rows):
-    used = usable(rows)
+def near_brute(rows, d=8):
+    used = usable(rows, d)
     x = np.stack([v for _, v in used])
     ids = [i for i, _ in used]
     norm = np.sqrt((x * x).sum(axis=1))
@@ -126,6 +126,63 @@ def test_recall_on_the_given_table(spark):
     assert hits >= 0.9 * sum(map(len, want.values()))
 
 
+def mixed_rows():
+    rows = [(i, v) for i, v in rows_of(120, 8) if v is None or len(v) != 2]
+    for d, seed in ((1, 1), (2, 2), (3, 3), (4, 4), (5, 5)):
+        rng = np.random.default_rng(seed)
+        rows += [(10_000 * d + 5 * i, rng.normal(size=d).astype(np.float32).tolist()) for i in range(25)]
+        rows += [(10_000 * d + 500, [1.0] * d), (10_000 * d + 501, [1.0] * d), (10_000 * d + 520, [2.0] * d)]
+    return rows
+
+
+@pytest.mark.parametrize("tile", [4096, 7])
+def test_each_dimension_links_within_itself(spark, monkeypatch, tile):
+    monkeypatch.setattr(embedding_dedup, "TILE", tile)
+    rows = mixed_rows()
+    df = spark.createDataFrame([(i, v, 1, 2, 3, 4) for i, v in rows], SCHEMA)
+    want = {}
+    for d in (1, 2, 3, 4, 5, 8):
+        want |= {r[0]: r for r in near_brute([(i, v) for i, v in rows if v is not None and len(v) == d], d)}
+    want |= {i: (i, 0, i, True) for i, _ in rows if i not in want}
+    assert bag(embedding_dedup.near_vectors(df)) == sorted(want.values(), key=str)
+
+
+@pytest.mark.parametrize(("n", "d"), [(2, 8), (3, 8), (4, 3), (5, 1), (5, 2), (200, 4), (200, 5), (3, 1500)])
+def test_few_or_narrow_or_wide_vectors(spark, n, d):
+    rng = np.random.default_rng(n * d)
+    x = rng.normal(size=(n, d)).astype(np.float32)
+    x[-1] = x[0] * np.float32(1.5)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame([(i, v, 1, 2, 3, 4) for i, v in rows], SCHEMA)
+    assert bag(embedding_dedup.near_vectors(df)) == near_brute(rows, d)
+
+
+def test_neighbours_of_each_dimension_and_groups_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "GROUP_ROWS", 4)
+    monkeypatch.setattr(neighbours, "SAMPLE", 32)
+    rows = mixed_rows()
+    df = spark.createDataFrame([(i, v, 1, 2, 3, 4) for i, v in rows], SCHEMA)
+    found: dict[int, list] = {}
+    for r in neighbours.nearest(df).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    hits = wanted = 0
+    asked = set()
+    for d in (1, 2, 3, 4, 5, 8):
+        for q, best in nearest_brute(rows, d).items():
+            asked.add(q)
+            hits += len(set(found[q]) & {v for v, _ in best})
+            wanted += len(best)
+    assert set(found) == asked and hits >= 0.9 * wanted
+
+
+def test_slices_keep_groups_small_beyond_the_sample():
+    rng = np.random.default_rng(2)
+    forest = neighbours.plant(rng.normal(size=(200, 4)), 20.0, 10**9)
+    first, parts = neighbours.dealt(forest, 1, 10**9)
+    rows = forest.weight * 10**9 / parts
+    assert rows.max() <= 2 * neighbours.GROUP_ROWS and (np.diff(first, axis=1) == parts[:, :-1]).all()
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(20, [1.0, 0.0]), (21, [0.5, 1.0]), (21, [0.5, 1.0])], "vec_id bigint, embedding array<double>")
     assert bag(neighbours.nearest(few)) == [(20, 1, 21, 0.5)]
