@@ -305,13 +305,14 @@ def run(
 ) -> Run:
     """Raw files (a folder, or inputs already opened) to marts, in dependency order.
 
-    ``multi_line`` allows line ends inside quoted cells of the text files.
+    ``multi_line`` allows line ends inside quoted cells of the text files; without it such
+    records are set aside whole.
 
     ``audit_format`` is that of the quarantine: Parquet, or CSV with a byte-order mark.
     """
     job = Run(spark, out_dir, run_ts, audit_format)
-    opened = raw_files(spark, raw, multi_line) if isinstance(raw, str) else raw
     with scratch_removed(spark):
+        opened = raw_files(spark, raw, multi_line) if isinstance(raw, str) else raw
         bronze_to_silver(job, opened, canonical_region)
         silver_to_gold(job)
         quality(job, regions)

@@ -43,9 +43,9 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> i
     return seen.get["rows"]
 
 
-def through_table(df: DataFrame, path: str) -> DataFrame:
+def through_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write and read back: cuts the lineage. The known schema saves an inference job."""
-    write_table(df, path)
+    write_table(df, path, partition_by)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
