@@ -1,6 +1,6 @@
 """Column and name expressions: everything here stays inside the JVM."""
 
-from limpid.functions.dates import iso_text, to_date_coerce
+from limpid.functions.dates import cell_date, iso_text, to_date_coerce
 from limpid.functions.names import columns_with, fold_accents, snake, snake_columns
 from limpid.functions.numbers import (
     guarded_ratio,
@@ -18,6 +18,7 @@ from limpid.functions.text import (
 )
 
 __all__ = [
+    "cell_date",
     "canonical",
     "columns_with",
     "fold_accents",

@@ -16,6 +16,26 @@ SERIAL_ORIGIN = "1899-12-30"
 SERIAL_LAST = 2958465
 
 
+def from_serial(text: Column) -> Column:
+    """The day of a spreadsheet serial number, NULL for other text and beyond its range."""
+    days = F.when(text.rlike(SERIAL), text).try_cast("double")
+    return F.when(
+        days.between(1, SERIAL_LAST), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days.cast("int"))
+    )
+
+
+def cell_date(text: Column, kind: Column) -> Column:
+    """The date of a workbook cell whose kind is known, or NULL.
+
+    A number is a serial number, also 2020; text is a year, ISO or day first, and digits
+    that are no year are no date.
+    """
+    plain = squish(text.cast("string"))
+    number = kind.isin("number", "date") & plain.rlike(SERIAL)
+    other = F.when(~plain.rlike(SERIAL) | plain.rlike(YEAR), to_date_coerce(plain))
+    return F.when(number, from_serial(plain)).otherwise(other)
+
+
 def to_date_coerce(col: Column, fmt: str | None = None) -> Column:
     """Date, or NULL when the text is not one.
 
@@ -27,10 +47,7 @@ def to_date_coerce(col: Column, fmt: str | None = None) -> Column:
         return F.try_to_date(col, fmt)
     text = squish(col.cast("string"))
     year = F.when(text.rlike(YEAR), F.try_to_date(text, "yyyy"))
-    days = F.when(text.rlike(SERIAL) & ~text.rlike(YEAR), text).try_cast("double")
-    serial = F.when(
-        days.between(1, SERIAL_LAST), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days.cast("int"))
-    )
+    serial = from_serial(F.when(~text.rlike(YEAR), text))
     iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text).try_cast("date")
     return F.coalesce(year, serial, iso, F.try_to_date(text, DAY_FIRST))
 

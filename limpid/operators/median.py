@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from limpid.operators.rollup import median_sketches, sketch_medians
 from limpid.sources.scratch import scratch_folder
 from limpid.sources.tables import through_table
 
@@ -64,14 +65,24 @@ def medians_of_counts(counts: DataFrame, value: str, groups: list[str], name: st
     return found.groupBy(*groups).agg(F.when(low == high, low).otherwise(low / 2 + high / 2).alias(name))
 
 
-def group_median(df: DataFrame, value: str, group: str) -> DataFrame:
-    """(group, group_median): exact, NULL and NaN values ignored, no row for a NULL group."""
+def group_median(df: DataFrame, value: str, group: str, exact: bool = True) -> DataFrame:
+    """(group, group_median): NULL and NaN values ignored, no row for a NULL group.
+
+    With ``exact=False`` one pass over mergeable sketches; see ``rollup`` for the error.
+    """
+    if not exact:
+        return sketch_medians(median_sketches(df, value, [group]), [group], "group_median")
     return medians_of_counts(value_counts(df, value, [group]), value, [group], "group_median")
 
 
-def overall_median(df: DataFrame, value: str) -> DataFrame:
-    """(overall_median): exact median of a whole column, one row, NULL without values."""
-    return overall_of_counts(value_counts(df, value, []), value)
+def overall_median(df: DataFrame, value: str, exact: bool = True) -> DataFrame:
+    """(overall_median): median of a whole column, one row, NULL without values."""
+    if not exact:
+        return sketch_medians(median_sketches(df, value, []), [], "overall_median")
+    # Without groups the counts are one row a value already.
+    counts = value_counts(df, value, []).withColumn("_all", F.lit(1))
+    found = medians_of_counts(counts, value, ["_all"], "overall_median")
+    return found.agg(F.first("overall_median").alias("overall_median"))
 
 
 def overall_of_counts(counts: DataFrame, value: str) -> DataFrame:

@@ -12,16 +12,19 @@ from limpid.sources.tables import (
     write_table,
 )
 from limpid.sources.workbook import (
+    decode_tabs,
     decode_workbooks,
     read_workbook_files,
     read_workbook_tab,
     tab_headings,
+    typed_tab,
     workbook_tab,
 )
 
 __all__ = [
     "ROW_ORDER",
     "UNREADABLE",
+    "decode_tabs",
     "decode_workbooks",
     "drop_row_order",
     "read_delimited",
@@ -36,6 +39,7 @@ __all__ = [
     "tab_headings",
     "table_exists",
     "through_table",
+    "typed_tab",
     "with_row_order",
     "workbook_tab",
     "write_quarantine",

@@ -32,20 +32,35 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
+def write_table(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    gather: bool = True,
+    keep_others: bool = False,
+) -> int:
     """Replace the table at ``path``; returns the rows written.
 
+    A partitioned table is gathered by its partition columns first, in slices that Spark
+    sizes, so that each task writes few files and a large partition many; ``gather`` can
+    be left out where rows stand together already. ``keep_others`` replaces only the
+    partitions that ``df`` has rows of; the files of all others stay as they are.
+
     The counter sits on top of the plan, so it runs in the writing tasks, whose
     repeats are counted once; no second pass is needed.
     """
-    counted, seen = _counted(df)
-    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    placed = df.hint("rebalance", *partition_by) if partition_by and gather else df
+    counted, seen = _counted(placed)
+    writer = counted.write.mode("overwrite").partitionBy(*partition_by)
+    if keep_others:
+        writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.parquet(path)
     return seen.get["rows"]
 
 
 def through_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> DataFrame:
     """Write and read back: cuts the lineage. The known schema saves an inference job."""
-    write_table(df, path, partition_by)
+    write_table(df, path, partition_by, gather=False)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

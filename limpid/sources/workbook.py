@@ -12,7 +12,9 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from limpid.functions.dates import cell_date, iso_text
 from limpid.functions.text import READER_NULLS, nullify_tokens
 
 ROWS_SCHEMA = (
@@ -21,28 +23,65 @@ ROWS_SCHEMA = (
 BATCH_ROWS = 4096
 
 
-def _decoder(headings_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The task body. Nested, so it travels to executors by value."""
-    batch_rows = BATCH_ROWS
+def _decoder(
+    headings_only: bool, sheets: Sequence[str | int] = (), headings: Sequence[str] = ()
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The task body. Nested, so it travels to executors by value.
+
+    With ``headings`` only these columns of ``sheets`` are made, each cell with its kind.
+    """
+    batch_rows, sheets, headings = BATCH_ROWS, tuple(sheets), tuple(headings)
 
     def decode(batches):
         import io
         import posixpath
+        import re
         import zipfile
         from functools import cache
         from xml.etree.ElementTree import iterparse
 
         import pyarrow as pa
 
+        typed = pa.struct([(h, pa.struct([("text", pa.string()), ("kind", pa.string())])) for h in headings])
         schema = pa.schema(
             [
                 ("path", pa.string()),
                 ("sheet", pa.string()),
                 ("sheet_index", pa.int32()),
                 ("row_no", pa.int64()),
-                ("cells", pa.map_(pa.string(), pa.string())),
+                ("cells", typed if headings else pa.map_(pa.string(), pa.string())),
             ]
         )
+        # Numbers of the built-in date and time formats.
+        date_formats = {*range(14, 23), *range(27, 37), *range(45, 48), *range(50, 59)}
+        # Between the day zero of the 1904 date system and that of 1900.
+        days_1904 = 1462
+
+        def shows_date(code):
+            """Whether a format code has a day, month, year or time outside quotes and brackets."""
+            bare = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]|_.|\*.', "", code.split(";")[0])
+            return bool(re.search("[dmyhs]", bare, re.IGNORECASE)) and "general" not in bare.lower()
+
+        def date_styles(book):
+            """For each cell style, whether it shows numbers as dates."""
+            if "xl/styles.xml" not in book.namelist():
+                return []
+            own = {
+                int(n.get("numFmtId")): shows_date(n.get("formatCode", ""))
+                for n in elements(book, "xl/styles.xml", "numFmt")
+            }
+            return [
+                own.get(number, number in date_formats)
+                for styles in elements(book, "xl/styles.xml", "cellXfs")
+                for number in [int(xf.get("numFmtId", 0)) for xf in styles]
+            ]
+
+        def kind_of(cell, dates):
+            kind = cell.get("t", "n")
+            if kind != "n":
+                return {"b": "boolean", "d": "date"}.get(kind, "text")
+            style = int(cell.get("s", 0))
+            return "date" if style < len(dates) and dates[style] else "number"
 
         def plain(tag):
             return tag.rpartition("}")[2]
@@ -84,7 +123,8 @@ def _decoder(headings_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                     return raw
             return None
 
-        def sheet_rows(book, part, shared):
+        def sheet_rows(book, part, shared, dates=None, shift=0):
+            """(row number, cells); a cell is its text, or (text, kind) where styles are given."""
             for count, row in enumerate(elements(book, part, "row"), start=1):
                 cells = {}
                 for position, cell in enumerate(row):
@@ -92,6 +132,11 @@ def _decoder(headings_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                     if value is not None:
                         ref = cell.get("r")
                         place = column_number(ref.rstrip("0123456789")) if ref else position
+                        if dates is not None:
+                            kind = kind_of(cell, dates)
+                            if shift and kind == "date" and cell.get("t", "n") == "n":
+                                value = repr(float(value) + shift)
+                            value = (value, kind)
                         cells[place] = value
                 if cells:
                     yield int(row.get("r", count)), cells
@@ -118,17 +163,27 @@ def _decoder(headings_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterat
                 (n.get("name"), next(v for k, v in n.attrib.items() if plain(k) == "id"))
                 for n in elements(book, "xl/workbook.xml", "sheet")
             ]
+            dates = date_styles(book) if headings else None
+            base_1904 = any(
+                n.get("date1904") in ("1", "true") for n in elements(book, "xl/workbook.xml", "workbookPr")
+            )
             for index, (name, link) in enumerate(tabs):
+                if headings and name not in sheets and index not in sheets:
+                    continue
                 part = posixpath.normpath(posixpath.join("xl", links[link])).lstrip("/")
                 part = part if part in book.namelist() else links[link].lstrip("/")
                 names = None
-                for row_no, cells in sheet_rows(book, part, shared):
+                for row_no, cells in sheet_rows(book, part, shared, dates, days_1904 * base_1904):
                     if names is None:
-                        names = headings_of(cells)
+                        names = headings_of({p: v[0] for p, v in cells.items()} if headings else cells)
                         if headings_only:
                             yield path, name, index, row_no, [(n, n) for n in names.values()]
                             break
                         continue
+                    if headings:
+                        filled = {names.get(p): {"text": v, "kind": k} for p, (v, k) in cells.items()}
+                        yield path, name, index, row_no, {h: filled.get(h) for h in headings}
+                        continue
                     yield path, name, index, row_no, [
                         (names.get(p, f"Unnamed: {p}"), v) for p, v in cells.items()
                     ]
@@ -162,6 +217,55 @@ def decode_workbooks(files: DataFrame, headings_only: bool = False) -> DataFrame
     return files.select("path", "content").mapInArrow(_decoder(headings_only), ROWS_SCHEMA)
 
 
+def decode_tabs(files: DataFrame, sheets: Sequence[str | int], headings: Sequence[str]) -> DataFrame:
+    """Rows of some tabs with some columns, each cell as (text, kind).
+
+    Only the parts of these tabs are parsed, and no other column leaves the task. The kind is
+    ``number``, ``text``, ``boolean``, or ``date`` for a number whose format shows a date;
+    serial numbers are in the 1900 date system whatever the workbook's own. ``cells`` is a
+    struct by heading, so a written table of it is read column by column.
+    """
+    one = T.StructType([T.StructField("text", T.StringType()), T.StructField("kind", T.StringType())])
+    cells = T.StructType([T.StructField(h, one) for h in headings])
+    if not headings:
+        raise ValueError("no headings asked for")
+    plain = T.StructType.fromDDL("path string, sheet string, sheet_index int, row_no bigint")
+    schema = plain.add("cells", cells)
+    return files.select("path", "content").mapInArrow(_decoder(False, sheets, headings), schema)
+
+
+def typed_tab(
+    rows: DataFrame,
+    sheet: str | int,
+    headings: Sequence[str],
+    dates: Sequence[str] = (),
+    with_order: bool = True,
+    null_tokens: Sequence[str] = READER_NULLS,
+) -> DataFrame:
+    """One tab of ``decode_tabs`` as text columns, and ``dates`` as dates.
+
+    A cell that the workbook shows as a date is ISO text in a text column. In a date column
+    a number is a serial number and text is a year, ISO or day first; see ``cell_date``. For
+    each date column ``<name>_illisible`` holds the text that is no date.
+    """
+    out = []
+    for h in headings:
+        cell = F.col("cells")[h]
+        text = nullify_tokens(cell["text"], null_tokens) if null_tokens else cell["text"]
+        if h in dates:
+            found = cell_date(text, cell["kind"])
+            out += [found.alias(h), F.when(found.isNull(), text).alias(f"{h}_illisible")]
+        else:
+            shown = F.when(cell["kind"] == "date", iso_text(cell_date(text, cell["kind"])))
+            out.append(F.coalesce(shown, text).alias(h))
+    order = [
+        F.col("path").alias("_src_file"),
+        F.col("sheet_index").cast("bigint").alias("_src_block"),
+        F.col("row_no").alias("_src_row"),
+    ]
+    return _on_tab(rows, sheet).select(*out, *(order if with_order else []))
+
+
 def read_workbook_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """(path, content) of the workbooks; files are packed into tasks by size."""
     return (

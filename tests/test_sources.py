@@ -6,18 +6,22 @@ import sys
 import pytest
 from pyspark import cloudpickle
 from pyspark.errors import PythonException
+from pyspark.sql import functions as F
 
 from limpid.functions import snake_columns
 from limpid.sources import (
     ROW_ORDER,
+    decode_tabs,
     drop_row_order,
     read_delimited,
     read_table,
     read_table_if_any,
+    read_workbook_files,
     read_workbook_tab,
     scratch_folder,
     split_unreadable,
     table_exists,
+    typed_tab,
     with_row_order,
     write_quarantine,
     write_table,
@@ -199,6 +203,91 @@ def test_wide_sheet_and_many_batches(spark, tmp_path):
     assert df.selectExpr("count(*)", "sum(cast(c59 as bigint))").first() == (5000, 59 * 4999 * 2500)
 
 
+def book_with_styles(date1904):
+    """One tab whose cells cover every kind; built by hand, since the writer knows two formats."""
+    import io
+    import zipfile
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    rel = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    formats = ["yyyy-mm-dd", '0.0 "days"', "[Red]0.00", "General", "hh:mm", "\\d0"]
+    own = "".join(f"<numFmt numFmtId='{164 + i}' formatCode='{f}'/>" for i, f in enumerate(formats))
+    xfs = "".join(f'<xf numFmtId="{n}"/>' for n in (0, 14, *range(164, 170)))
+    cells = "".join(
+        f'<row r="{n}"><c r="A{n}" t="inlineStr"><is><t>{name}</t></is></c>{cell}</row>'
+        for n, (name, cell) in enumerate([
+            ("Nom", '<c r="B1" t="inlineStr"><is><t>Jour</t></is></c><c r="C1" t="inlineStr"><is><t>Autre</t></is></c>'),
+            ("built in", '<c r="B2" s="1"><v>43895</v></c>'), ("own", '<c r="B3" s="2"><v>43895.75</v></c>'),
+            ("days", '<c r="B4" s="3"><v>2020</v></c>'), ("red", '<c r="B5" s="4"><v>43895</v></c>'),
+            ("plain", '<c r="B6"><v>2020</v></c>'), ("year", '<c r="B7" t="inlineStr"><is><t>2020</t></is></c>'),
+            ("digits", '<c r="B8" t="str"><v>43895</v></c>'), ("iso", '<c r="B9" t="str"><v>2020-03-05</v></c>'),
+            ("first", '<c r="B10" t="str"><v>5/3/2020</v></c>'), ("none", '<c r="B11" t="str"><v>bientôt</v></c>'),
+            ("true", '<c r="B12" t="b"><v>1</v></c>'), ("error", '<c r="B13" t="e"><v>#N/A</v></c>'),
+            ("empty", ""), ("token", '<c r="B15" t="str"><v>N/A</v></c>'), ("other", '<c r="C16" s="1"><v>43895</v></c>'),
+            ("escaped", '<c r="B17" s="7"><v>2020</v></c>'),
+        ], start=1)
+    )
+    parts = {
+        "workbook.xml": f'<workbook {main} xmlns:r="{rel}"><workbookPr date1904="{date1904}"/>'
+        '<sheets><sheet name="T" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+        f'<Relationship Id="rId1" Type="{rel}/worksheet" Target="worksheets/sheet1.xml"/></Relationships>',
+        "styles.xml": f"<styleSheet {main}><numFmts>{own}</numFmts><cellXfs>{xfs}</cellXfs></styleSheet>",
+        "worksheets/sheet1.xml": f"<worksheet {main}><sheetData>{cells}</sheetData></worksheet>",
+    }
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as book:
+        for name, text in parts.items():
+            book.writestr(f"xl/{name}", text)
+    return out.getvalue()
+
+
+@pytest.mark.parametrize(("date1904", "styled"), [("0", "2020-03-05"), ("1", "2024-03-06")])
+def test_kinds_of_cells(spark, tmp_path, date1904, styled):
+    (tmp_path / "k.xlsx").write_bytes(book_with_styles(date1904))
+    files = read_workbook_files(spark, f"{tmp_path}/k.xlsx")
+    decoded = decode_tabs(files, ["T"], ["Jour", "Nom", "Autre"])
+    tab = typed_tab(decoded, 0, ["Nom", "Jour", "Autre"], dates=["Jour"], with_order=False)
+    assert dict(tab.dtypes) == {"Nom": "string", "Jour": "date", "Jour_illisible": "string", "Autre": "string"}
+    found = {r["Nom"]: (r["Jour"] and str(r["Jour"]), r["Jour_illisible"]) for r in tab.collect()}
+    assert found == {
+        "built in": (styled, None), "own": (styled, None), "red": ("2020-03-05", None),
+        "days": ("1905-07-12", None), "plain": ("1905-07-12", None), "year": ("2020-01-01", None),
+        "digits": (None, "43895"), "iso": ("2020-03-05", None), "first": ("2020-03-05", None),
+        "none": (None, "bientôt"), "true": (None, "True"), "error": (None, None), "empty": (None, None),
+        "token": (None, None), "other": (None, None), "escaped": ("1905-07-12", None),
+    }
+    assert [r["Autre"] for r in tab.where("Nom = 'other'").collect()] == [styled]
+
+
+def test_typed_tabs_are_read_by_column(spark, workbooks, tmp_path):
+    files = read_workbook_files(spark, workbooks)
+    rows_of = decode_tabs(files, ["Titulaires", 1], ["Matricule", "Nom", "Grade"])
+    write_table(rows_of, f"{tmp_path}/typed")
+    back = read_table(spark, f"{tmp_path}/typed")
+    assert rows(typed_tab(back, "Titulaires", ["Matricule", "Nom"], with_order=False)) == [
+        ("T1", "Zoé & co"), ("T2", None), ("T4", "C"),
+    ]
+    assert rows(typed_tab(back, 1, ["Matricule", "Grade"], with_order=False)) == [("T3", None)]
+    assert {r["sheet"] for r in back.select("sheet").collect()} == {"Titulaires", "Contractuels"}
+    plan = typed_tab(back, 1, ["Nom"], with_order=False)._jdf.queryExecution().executedPlan().toString()
+    schema = plan[plan.rindex("ReadSchema"):]
+    assert "Nom" in schema and "Matricule" not in schema and "Grade" not in schema
+
+
+def test_a_partitioned_table_is_gathered_and_rewritten_in_part(spark, tmp_path):
+    df = spark.range(4000).selectExpr("id", "cast(id % 4 as int) as y").repartition(16)
+    path = f"{tmp_path}/t"
+    assert write_table(df, path, ["y"]) == 4000
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("y=*/*.parquet")}
+    assert len(files) <= 8  # one or two a year, not one a task and year
+    assert write_table(df.where("y = 2 and id < 100").withColumn("id", -F.col("id")), path, ["y"], keep_others=True) == 25
+    after = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("y=*/*.parquet")}
+    kept = {p: t for p, t in files.items() if "y=2" not in str(p)}
+    assert {p: t for p, t in after.items() if "y=2" not in str(p)} == kept
+    assert read_table(spark, path).selectExpr("count(*)", "sum(if(id < 0, 1, 0))").first() == (3025, 25)
+
+
 def test_broken_workbook_fails_the_job(spark, tmp_path):
     (tmp_path / "b.xlsx").write_bytes(b"not a zip file")
     with pytest.raises(PythonException, match="BadZipFile"):

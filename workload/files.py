@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from limpid.functions import snake_columns
 from limpid.operators import tagged_union
 from limpid.sources import (
+    decode_tabs,
     decode_workbooks,
     drop_row_order,
     read_delimited,
@@ -14,6 +17,7 @@ from limpid.sources import (
     scratch_folder,
     split_unreadable,
     tab_headings,
+    typed_tab,
     workbook_tab,
     write_quarantine,
     write_table,
@@ -136,11 +140,57 @@ def partitioned_table(spark, sf_dir):
         "o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("annee")
     )
     path = scratch_folder(spark, "orders")
-    # Gather the years first, in slices that Spark sizes: no small files, no fixed number.
-    write_table(raw.hint("rebalance", "annee"), path, ["annee"])
+    write_table(raw, path, ["annee"])
     return read_table(spark, path).where(F.col("annee").isin(1996, 1997))
 
 
+@query("""
+SELECT o_orderkey, CAST(CASE WHEN year(o_orderdate) = 1996 THEN 0 ELSE o_custkey END AS BIGINT) AS o_custkey,
+       CAST(year(o_orderdate) AS INTEGER) AS annee
+FROM orders WHERE year(o_orderdate) <> 1996 OR o_orderstatus = 'F'
+""")
+def rewritten_partition(spark, sf_dir):
+    """One year of a written table is replaced; the other years are not touched."""
+    raw = table(spark, sf_dir, "orders")
+    annee = F.year("o_orderdate").alias("annee")
+    path = scratch_folder(spark, "rewritten")
+    write_table(raw.select("o_orderkey", "o_custkey", annee), path, ["annee"])
+    again = raw.where("year(o_orderdate) = 1996 and o_orderstatus = 'F'")
+    again = again.select("o_orderkey", F.lit(0).cast("bigint").alias("o_custkey"), annee)
+    write_table(again, path, ["annee"], keep_others=True)
+    return read_table(spark, path)
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS code,
+       CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN NULL WHEN '5-LOW' THEN CAST('2020-01-01' AS DATE)
+         WHEN '3-MEDIUM' THEN CAST('1905-07-12' AS DATE) ELSE CAST(o_orderdate AS DATE) END AS jour,
+       CASE o_orderpriority WHEN '4-NOT SPECIFIED' THEN 'inconnue' END AS jour_illisible
+FROM orders WHERE o_orderkey % 4 = 0
+""")
+def workbook_typed_cells(spark, sf_dir):
+    """Dates, ISO text, a year as text, the same digits as a number, and text that is no date."""
+    kinds = {"1-URGENT": "jour", "2-HIGH": "iso", "3-MEDIUM": "nombre", "4-NOT SPECIFIED": "texte", "5-LOW": "annee"}
+    day, priority = F.col("o_orderdate").cast("date"), F.col("o_orderpriority")
+    orders = table(spark, sf_dir, "orders").where("o_orderkey % 4 = 0").select(
+        F.col("o_orderkey").cast("string").alias("Code"),
+        day.alias("jour"), day.cast("string").alias("iso"), F.lit(2020).alias("nombre"),
+        F.lit("inconnue").alias("texte"), F.lit("2020").alias("annee"),
+        F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[priority].alias("tab"),
+        F.floor(F.col("o_orderkey") / ROWS_PER_WORKBOOK).alias("book"),
+    )
+    # One tab per kind of cell; its second heading names the kind.
+    columns = {kind: ["Code", kind] for kind in kinds.values()}
+    files = through_scratch(as_workbooks(orders, "jours", "book", "tab", columns), "typed-workbooks")
+    rows = through_scratch(decode_tabs(files, list(columns), ["Code", *columns]), "typed-rows")
+    tabs = [
+        typed_tab(rows, kind, ["Code", kind], dates=[kind], with_order=False)
+        .toDF("code", "jour", "jour_illisible")
+        for kind in columns
+    ]
+    return reduce(lambda a, b: a.unionByName(b), tabs)
+
+
 @query("""
 SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority FROM orders
 WHERE o_orderstatus = 'P'

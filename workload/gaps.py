@@ -13,7 +13,18 @@ from limpid.operators import (
     stats_before_after,
     zero_fill,
 )
-from workload.registry import STAMP, cents, query, table
+from limpid.operators.rollup import (
+    DISTINCT_ERROR,
+    RANK_ERROR,
+    bitmap_counts,
+    distinct_bitmaps,
+    distinct_sketches,
+    key_numbers,
+    median_sketches,
+    sketch_counts,
+    sketch_medians,
+)
+from workload.registry import STAMP, cents, query, table, through_scratch
 
 FEW_GAPS = """
 WITH readings AS (
@@ -154,3 +165,47 @@ def zero_fill_budget(spark, sf_dir):
         "o_orderkey", total.alias("budget_total"), other.alias("budget_investissement")
     )
     return zero_fill(raw, ["budget_total", "budget_investissement"])
+
+
+@query("""
+SELECT o_orderpriority, count(*) AS nb, TRUE AS dans_la_marge FROM orders GROUP BY o_orderpriority
+""")
+def group_median_sketched(spark, sf_dir):
+    """Sketches of each year, written, then merged: is the median's rank within the stated error?"""
+    orders = table(spark, sf_dir, "orders").withColumn("annee", F.year("o_orderdate"))
+    sketches = median_sketches(orders, "o_totalprice", ["o_orderpriority", "annee"])
+    found = sketch_medians(through_scratch(sketches, "sketches"), ["o_orderpriority"], "mediane")
+    rank = orders.join(found, "o_orderpriority").groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("nb"),
+        F.count_if(F.col("o_totalprice") < F.col("mediane")).alias("below"),
+        F.count_if(F.col("o_totalprice") <= F.col("mediane")).alias("upto"),
+    )
+    near = (F.col("below") <= F.col("nb") * (0.5 + RANK_ERROR)) & (F.col("upto") >= F.col("nb") * (0.5 - RANK_ERROR))
+    return rank.select("o_orderpriority", "nb", near.alias("dans_la_marge"))
+
+
+@query("""
+SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS annee, count(DISTINCT o_custkey) AS clients FROM orders
+GROUP BY GROUPING SETS ((o_orderpriority, year(o_orderdate)), (o_orderpriority), ())
+""")
+def distinct_rollup(spark, sf_dir):
+    """Distinct customers per priority and year, per priority and in all, from one set of bitmaps."""
+    orders = table(spark, sf_dir, "orders").withColumn("annee", F.year("o_orderdate"))
+    numbers = key_numbers(table(spark, sf_dir, "customer"), "c_custkey").withColumnRenamed("c_custkey", "o_custkey")
+    fine = ["o_orderpriority", "annee"]
+    bitmaps = through_scratch(distinct_bitmaps(orders, numbers, "o_custkey", fine), "bitmaps")
+    parts = [bitmap_counts(bitmaps, fine[:n], "clients") for n in (2, 1, 0)]
+    return parts[0].unionByName(parts[1], True).unionByName(parts[2], True)
+
+
+@query("""
+SELECT o_orderpriority, TRUE AS dans_la_marge FROM orders GROUP BY o_orderpriority
+""")
+def distinct_rollup_sketched(spark, sf_dir):
+    """The same by sketches of each year: within four times the stated error?"""
+    orders = table(spark, sf_dir, "orders").withColumn("annee", F.year("o_orderdate"))
+    sketches = through_scratch(distinct_sketches(orders, "o_custkey", ["o_orderpriority", "annee"]), "hll")
+    found = sketch_counts(sketches, ["o_orderpriority"], "environ")
+    exact = orders.groupBy("o_orderpriority").agg(F.count_distinct("o_custkey").alias("clients"))
+    off = F.abs(F.col("environ") - F.col("clients")) <= F.greatest(F.lit(1.0), F.col("clients") * 4 * DISTINCT_ERROR)
+    return found.join(exact, "o_orderpriority").select("o_orderpriority", off.alias("dans_la_marge"))

@@ -14,6 +14,7 @@ def _writer():
 
     def workbook_bytes(tabs: Mapping[str, Tab]) -> bytes:
         """A minimal .xlsx: shared strings for headings, inline text and plain numbers."""
+        import datetime
         import io
         import zipfile
         from xml.sax.saxutils import escape, quoteattr
@@ -40,6 +41,9 @@ def _writer():
             if isinstance(value, str):
                 text = f'<t xml:space="preserve">{escape(value)}</t>'
                 return f'<c r="{place}" t="inlineStr"><is>{text}</is></c>'
+            if isinstance(value, datetime.date):
+                days = (value - datetime.date(1899, 12, 30)).days
+                return f'<c r="{place}" s="1"><v>{days}</v></c>'
             return f'<c r="{place}"><v>{value}</v></c>'
 
         def row(number: int, values: Sequence[object]) -> str:
@@ -64,6 +68,8 @@ def _writer():
         parts = {
             "workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets>{names}</sheets></workbook>',
             "_rels/workbook.xml.rels": f'<Relationships xmlns="{packed}">{links}</Relationships>',
+            "styles.xml": f'<styleSheet xmlns="{main}"><cellXfs><xf numFmtId="0"/><xf numFmtId="14"/>'
+            "</cellXfs></styleSheet>",
             "sharedStrings.xml": f'<sst xmlns="{main}">{strings}</sst>',
             **sheets,
         }
