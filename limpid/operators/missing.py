@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from limpid.functions.numbers import NUMBER, round_half_up, to_number
 from limpid.functions.text import BUDGET_SENTINELS, nullify_tokens
 from limpid.operators.median import medians_of_counts, overall_median, overall_of_counts, value_counts
+from limpid.operators.rollup import SKETCH_K
 
 THRESHOLD = 0.05
 
@@ -33,12 +35,46 @@ def nan_to_null(df: DataFrame, col: str, drop: bool = False) -> DataFrame:
     return df.withColumn(col, F.when(~F.isnan(col), F.col(col)))
 
 
+@dataclass(frozen=True)
+class GapFacts:
+    """What one aggregate tells of a column before its gaps are handled.
+
+    The median is that of a sketch: exact for few rows, else off by ``rollup.RANK_ERROR``.
+    """
+
+    rows: int
+    missing: int
+    mean: float | None
+    median: float | None
+
+    @property
+    def rate(self) -> float:
+        return self.missing / self.rows if self.rows else 0.0
+
+
+def column_facts(col: str) -> dict[str, Column]:
+    """Aggregates of a column, NaN counted as missing; also for an observation."""
+    number = F.col(col).cast("double")
+    value = F.when(~F.isnan(number), number)
+    sketch = F.kll_sketch_agg_double(value, F.lit(SKETCH_K))
+    return {
+        "rows": F.count(F.lit(1)),
+        "missing": F.count_if(value.isNull()),
+        "mean": F.avg(value),
+        # An empty sketch has no quantile.
+        "median": F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(sketch, F.lit(0.5))),
+    }
+
+
+def gap_facts(df: DataFrame, col: str) -> GapFacts:
+    """Runs one aggregate job over one column."""
+    found = df.agg(*[x.alias(name) for name, x in column_facts(col).items()]).first()
+    return GapFacts(**found.asDict())
+
+
 def missing_rate(df: DataFrame, col: str) -> float:
     """Share of NULL and NaN in ``col``; 0 for an empty table. Runs one aggregate job."""
-    counts = nan_to_null(df.select(col), col).agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(col).isNull()).alias("missing")
-    ).first()
-    return counts["missing"] / counts["rows"] if counts["rows"] else 0.0
+    return gap_facts(df, col).rate
 
 
 def delete_missing(
@@ -98,13 +134,16 @@ def handle_missing(
     threshold: float = THRESHOLD,
     strategy: str = "auto",
     run_ts: str | None = None,
+    facts: GapFacts | None = None,
 ) -> tuple[DataFrame, DataFrame, str]:
     """(clean, audit, strategy used). ``auto`` deletes up to ``threshold`` included.
 
-    The rate is one small aggregate job; only the chosen branch is then planned.
+    The rate is one small aggregate job, unless its ``facts`` are known; only the chosen
+    branch is then planned.
     """
     if strategy == "auto":
-        strategy = "delete" if missing_rate(df, col) <= threshold else "impute"
+        rate = facts.rate if facts else missing_rate(df, col)
+        strategy = "delete" if rate <= threshold else "impute"
     if strategy == "delete":
         return *delete_missing(df, col, run_ts), strategy
     if strategy == "impute":

@@ -9,6 +9,7 @@ repeat only its own stage.
     out/quarantine/<entity>/<why> rejected and altered rows
     out/gold/synthese_regionale   regional marts
     out/quality, out/metrics      checks and counters of the run
+    out/mesures                   rates, means and medians around a step
     out/work/<name>               tables that cut a lineage, removed at the end
 """
 
@@ -19,12 +20,12 @@ from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from limpid.functions.text import REGIONS
 from limpid.operators import quality as Q
-from limpid.operators.missing import run_stamp
+from limpid.operators.missing import GapFacts, column_facts, run_stamp
 from limpid.plans import gold
 from limpid.plans.silver import (
     SCHOOL_KEY,
@@ -58,6 +59,7 @@ TEACHERS_FILES = "personnel_enseignant*.xlsx"
 BUDGETS_FILES = "budgets_regionaux*.xlsx"
 
 METRICS = "step string, metric string, value bigint"
+MEASURED = "step string, metric string, value double"
 # Every reason for which a row of an entity can be set aside.
 REASONS = {
     "etablissements": ("doublons",),
@@ -67,8 +69,24 @@ REASONS = {
 }
 
 
+def filled_facts() -> dict[str, Column]:
+    """What the audit of filled rows tells in the pass that writes it."""
+    return {
+        "mediane_globale": F.max("mediane_globale_fallback").cast("double"),
+        "lignes_sans_mediane": F.count_if("etablissement_sans_median").cast("double"),
+    }
+
+
+def observed(df: DataFrame, measures: dict[str, Column]) -> tuple[DataFrame, Observation | None]:
+    """Aggregates taken while ``df`` is written; there is nothing to observe without any."""
+    if not measures:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[x.alias(name) for name, x in measures.items()]), seen
+
+
 class Run:
-    """Paths and counters of one run."""
+    """Paths, counters and measures of one run."""
 
     def __init__(
         self,
@@ -82,10 +100,21 @@ class Run:
         self.run_ts = run_ts or run_stamp()
         self.audit_format = audit_format
         self.counters: list[tuple[str, str, int]] = []
+        self.measures: list[tuple[str, str, float | None]] = []
 
     def count(self, step: str, metric: str, value: int) -> None:
         self.counters.append((step, metric, value))
 
+    def measure(self, step: str, stage: str, column: str, facts: GapFacts) -> None:
+        """Facts of a column before or after a step; the medians are those of sketches."""
+        values = {
+            "lignes": facts.rows, "manquantes": facts.missing, "taux_manquant": facts.rate,
+            "moyenne": facts.mean, "mediane_environ": facts.median,
+        }
+        for name, value in values.items():
+            number = None if value is None else float(value)
+            self.measures.append((step, f"{name}_{column}_{stage}", number))
+
     def bronze(self, df: DataFrame, entity: str) -> DataFrame:
         path = f"{self.out}/bronze/{entity}"
         self.count(f"bronze_{entity}", "lignes_lues", write_table(df, path))
@@ -103,15 +132,23 @@ class Run:
         """Write a clean table and its quarantine, note the counters."""
         step = f"clean_{entity}"
         path = f"{self.out}/silver/{entity}"
-        self.count(step, "lignes_ecrites", write_table(result.clean, path))
+        clean, seen = observed(result.clean, column_facts(result.gap_column) if result.gaps else {})
+        self.count(step, "lignes_ecrites", write_table(clean, path))
+        if seen:
+            self.measure(step, "avant", result.gap_column, result.gaps)
+            self.measure(step, "apres", result.gap_column, GapFacts(**seen.get))
         # Reasons of another run that this one does not have are emptied.
         unused = {r: result.clean.limit(0) for r in REASONS[entity] if r not in result.rejects}
         for reason, rows in {**result.rejects, **unused}.items():
+            filled = reason == "imputes" and reason not in unused
+            rows, seen = observed(rows, filled_facts() if filled else {})
             n_rows = write_quarantine(
                 rows, f"{self.out}/quarantine", entity, reason, self.audit_format
             )
             if reason not in unused:
                 self.count(step, reason, n_rows)
+            if seen:
+                self.measures += [(step, name, value) for name, value in seen.get.items()]
         if result.strategy in ("delete", "impute"):
             self.count(step, f"strategie_{result.strategy}", 1)
         if result.measures is not None:
@@ -317,6 +354,8 @@ def run(
         silver_to_gold(job)
         quality(job, regions)
         job.counters.sort()
+        job.measures.sort(key=lambda m: m[:2])
         write_table(spark.createDataFrame(job.counters, METRICS), f"{job.out}/metrics")
+        write_table(spark.createDataFrame(job.measures, MEASURED), f"{job.out}/mesures")
     remove_folder(spark, f"{job.out}/work")
     return job

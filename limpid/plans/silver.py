@@ -19,7 +19,7 @@ from limpid.functions.numbers import to_count, to_number, to_year
 from limpid.functions.text import region_name, squish
 from limpid.operators.dedup import keep_first
 from limpid.operators.integrity import split_by_reference, split_marked
-from limpid.operators.missing import THRESHOLD, amount, handle_missing, zero_fill
+from limpid.operators.missing import THRESHOLD, GapFacts, amount, gap_facts, handle_missing, zero_fill
 from limpid.operators.profile import one_row_per
 from limpid.operators.union import tagged_union
 from limpid.sources.roworder import ROW_ORDER, drop_row_order
@@ -39,12 +39,17 @@ def _no_cut(df: DataFrame, name: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class CleanResult:
-    """``rejects`` are rows by reason; ``measures`` is (metric, value), if any."""
+    """``rejects`` are rows by reason; ``measures`` is (metric, value), if any.
+
+    ``gaps`` tells of the column ``gap_column`` before its gaps were handled.
+    """
 
     clean: DataFrame
     rejects: dict[str, DataFrame] = field(default_factory=dict)
     measures: DataFrame | None = None
     strategy: str | None = None
+    gap_column: str | None = None
+    gaps: GapFacts | None = None
 
 
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -96,12 +101,18 @@ def clean_effectifs(
     )
     linked, orphans = split_by_reference(numbers, dim, SCHOOL_KEY)
     rejects: dict[str, DataFrame | None] = {"sans_etablissement": orphans}
+    facts = None
     if "nb_filles" in numbers.columns:
+        written = cut(linked, "effectifs")
+        # A strategy that is given needs no rate, and no job while planning.
+        facts = gap_facts(written, "nb_filles") if strategy == "auto" else None
         linked, audit, strategy = handle_missing(
-            cut(linked, "effectifs"), "nb_filles", SCHOOL_KEY, threshold, strategy, run_ts
+            written, "nb_filles", SCHOOL_KEY, threshold, strategy, run_ts, facts
         )
         rejects["supprimes" if strategy == "delete" else "imputes"] = audit
-    return CleanResult(_each(linked, COUNTS, to_count), _plain(rejects), strategy=strategy)
+    column = "nb_filles" if facts else None
+    clean = _each(linked, COUNTS, to_count)
+    return CleanResult(clean, _plain(rejects), strategy=strategy, gap_column=column, gaps=facts)
 
 
 def clean_enseignants(

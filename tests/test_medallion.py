@@ -119,6 +119,18 @@ def test_permanent_post_wins(spark, finished):
     assert rows(removed, "statut", "date_prise_de_poste") == [("contractuel", "2012-04-01")] * 3
 
 
+def test_measures_of_deleted_gaps(spark, finished):
+    found = {r["metric"]: r["value"] for r in read_table(spark, f"{finished.out}/mesures").collect()}
+    girls = [90 + i for i in range(83) if i not in (6, 9)] + [1300]
+    want = {"lignes": 83, "manquantes": 1, "taux_manquant": 1 / 83, "moyenne": sum(girls) / 82}
+    for name, value in want.items():
+        assert found[f"{name}_nb_filles_avant"] == pytest.approx(value, rel=1e-12)
+    assert (found["lignes_nb_filles_apres"], found["manquantes_nb_filles_apres"]) == (82, 0)
+    for stage in ("avant", "apres"):
+        below = sum(g < found[f"mediane_environ_nb_filles_{stage}"] for g in girls)
+        assert below in (40, 41)
+
+
 def test_all_quality_checks_pass(spark, finished):
     report = read_table(spark, f"{finished.out}/quality")
     # Zero-filled budgets are not NULL, and all regions occur; nothing is bad.
@@ -165,6 +177,12 @@ def test_a_run_with_another_strategy_leaves_no_stale_rows(spark, tmp_path):
     assert read_table(spark, f"{aside}/supprimes").count() == 0
     assert {r["date_imputation"] for r in read_table(spark, f"{aside}/imputes").collect()} == {"T2"}
     assert read_table(spark, f"{aside}/illisibles").count() == 1
+    measured = {r["metric"]: r["value"] for r in read_table(spark, f"{out}/mesures").collect()}
+    filled = read_table(spark, f"{aside}/imputes")
+    assert measured["manquantes_nb_filles_avant"] == filled.count()
+    assert measured["manquantes_nb_filles_apres"] == 0
+    assert measured["mediane_globale"] == filled.first()["mediane_globale_fallback"]
+    assert measured["lignes_sans_mediane"] == filled.where("etablissement_sans_median").count()
     assert ("bronze_effectifs", "illisibles", 1) in job.counters
 
 

@@ -402,3 +402,26 @@ SELECT step, metric, CAST(value AS BIGINT) AS value FROM (
 """)
 def run_metrics(spark, sf_dir):
     return read_table(spark, f"{full_run(spark, sf_dir).out}/metrics")
+
+
+@query(SILVER + f"""
+, gaps AS (
+  SELECT count(*) AS n, count(*) FILTER (price < {FEW}) AS missing,
+         CAST(sum(half) FILTER (price >= {FEW}) AS DOUBLE) / count(*) FILTER (price >= {FEW}) AS mean
+  FROM eff
+)
+SELECT 'clean_effectifs' AS step, metric, value FROM (
+  SELECT 'lignes_nb_filles_avant' AS metric, CAST(n AS DOUBLE) AS value FROM gaps
+  UNION ALL SELECT 'manquantes_nb_filles_avant', missing FROM gaps
+  UNION ALL SELECT 'taux_manquant_nb_filles_avant', CAST(missing AS DOUBLE) / n FROM gaps
+  UNION ALL SELECT 'moyenne_nb_filles_avant', mean FROM gaps
+  UNION ALL SELECT 'lignes_nb_filles_apres', n - missing FROM gaps
+  UNION ALL SELECT 'manquantes_nb_filles_apres', 0
+  UNION ALL SELECT 'taux_manquant_nb_filles_apres', 0
+  UNION ALL SELECT 'moyenne_nb_filles_apres', mean FROM gaps
+)
+""")
+def run_measures(spark, sf_dir):
+    """Measures of the run's own writing passes; the medians are estimates and left out here."""
+    measures = read_table(spark, f"{full_run(spark, sf_dir).out}/mesures")
+    return measures.where(~F.col("metric").startswith("mediane"))
