@@ -13,7 +13,6 @@ Everything is column expressions; nothing but ids, sizes and checksums is shuffl
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,8 +20,6 @@ from pyspark.sql import functions as F
 
 from limpid.llm.layout import cut
 
-SLICE_ROWS = 1_000_000
-LEAST_SLICES = 64
 HEX_DIGITS = 13
 
 
@@ -41,7 +38,13 @@ def inner(name: str, children: list[Node]) -> Node:
 
 
 def shard_tree(shards: int, founding: int = 24, per_rack: int = 4, racks: int = 2) -> Node:
-    """Regions of racks of shards; shards beyond the founding ones stand in own regions."""
+    """Regions of racks of shards; shards beyond the founding ones stand in own regions.
+
+    Fewer shards than the founding ones would be another tree, and one more shard would move
+    rows between old ones: such a count needs a smaller ``founding`` from its start.
+    """
+    if not 0 < founding <= shards:
+        raise ValueError(f"{shards} shards cannot grow from {founding} founding ones")
     leaves = [Node(f"s{i}", 1.0, i) for i in range(min(shards, founding))]
     rack = [inner(f"k{i // per_rack}", leaves[i : i + per_rack]) for i in range(0, len(leaves), per_rack)]
     regions = [inner(f"r{i // racks}", rack[i : i + racks]) for i in range(0, len(rack), racks)]
@@ -113,19 +116,16 @@ def shard_sql(tree: Node) -> str:
 def slots(rows: DataFrame, key: str, shard: str, order: list[str]) -> DataFrame:
     """``rows`` with ``slot``: gapless from 0 within each shard, ordered by key and ``order``.
 
-    Keys are cut into ranges of about ``SLICE_ROWS``; a slice numbers its own rows and
-    starts after the counts of the slices before it. Rows alike in all columns were
-    counted first, so that a repeated row is one row until the end.
+    Distinct rows are range-partitioned by shard, key and ``order`` and written with their
+    slice, so many rows of one key, or without one, are still split by what else tells them
+    apart. A slice numbers its own rows and starts after the counts of the slices before it
+    in its shard. Rows alike in all columns were counted first: one row until the end.
     """
     columns = rows.columns
+    by = [F.col(key).asc_nulls_first(), *(F.col(c) for c in order)]
     counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    total = rows.count()
-    wanted = max(LEAST_SLICES, math.ceil(total / SLICE_ROWS))
-    shares = [i / wanted for i in range(1, wanted)]
-    bounds = sorted(set(rows.approxQuantile(key, shares, 1 / (4 * wanted)))) if total else []
-    bounds = [int(b) for b in bounds]
-    place = F.coalesce(F.size(F.filter(F.lit(bounds).cast("array<bigint>"), lambda b: b < F.col(key))), F.lit(-1))
-    placed = counted.withColumn("_slice", F.when(F.col(key).isNull(), -1).otherwise(place))
+    spread = counted.repartitionByRange(F.col(shard), *by)
+    placed = cut(spread.withColumn("_slice", F.spark_partition_id()), "shard-slices")
     before = Window.partitionBy(shard).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         placed.groupBy(shard, "_slice").agg(F.sum("_copies").alias("_n"))
@@ -133,7 +133,7 @@ def slots(rows: DataFrame, key: str, shard: str, order: list[str]) -> DataFrame:
         .select(shard, "_slice", "_start")
     )
     within = (
-        Window.partitionBy(shard, "_slice").orderBy(F.col(key).asc_nulls_first(), *order)
+        Window.partitionBy(shard, "_slice").orderBy(*by)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     numbered = placed.withColumn("_upto", F.sum("_copies").over(within)).join(starts, [shard, "_slice"])
@@ -144,7 +144,8 @@ def slots(rows: DataFrame, key: str, shard: str, order: list[str]) -> DataFrame:
 
 
 def sharded(
-    docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "text", tree: Node | None = None
+    docs: DataFrame, shards: int = 24, key: str = "doc_id", text: str = "text",
+    tree: Node | None = None, founding: int = 24,
 ) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row of ``docs``.
 
@@ -153,7 +154,7 @@ def sharded(
     first. Rows of one id share a shard, repeated rows have a slot each. Other columns
     play no part; an empty table gives an empty one.
     """
-    tree = tree or shard_tree(shards)
+    tree = tree or shard_tree(shards, founding)
     raw = F.coalesce(F.col(text), F.lit(""))
     doc_id = F.col(key).cast("bigint")
     rows = docs.select(

@@ -23,6 +23,38 @@ def test_slots_are_gapless_and_only_the_new_shard_gains(corpus):
     assert len({r["shard"] for r in rows if r["doc_id"] == 3}) == 1
 
 
+@pytest.mark.parametrize("partitions", ["2", "40"])
+def test_rows_without_id_and_of_one_id_are_split(spark, partitions):
+    rows = [(None, f"text {i % 900}") for i in range(3000)] + [(7, "x" * (i % 50)) for i in range(500)]
+    rows += [(i, "t") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(6)
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = sharding.sharded(df).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    by_shard = defaultdict(list)
+    for r in found:
+        by_shard[r["shard"]].append(((r["doc_id"] is not None, r["doc_id"] or 0, r["size"], r["text_crc32"]), r["slot"]))
+    for members in by_shard.values():
+        members.sort(key=lambda m: m[1])
+        assert [slot for _, slot in members] == [*range(len(members))]
+        assert [key for key, _ in members] == sorted(key for key, _ in members)
+
+
+def test_small_counts_grow_from_their_own_founding_tree(spark):
+    from pyspark.sql import functions as F
+
+    with pytest.raises(ValueError, match="founding"):
+        sharding.shard_tree(20)
+    ids = spark.range(0, 5000)
+    trees = [sharding.shard_tree(n, founding=3) for n in (3, 4, 5, 23, 24)]
+    rows = ids.select(*(sharding.shard_of(F.col("id"), t).alias(f"s{i}") for i, t in enumerate(trees))).collect()
+    for i, new in ((0, 3), (1, 4), (3, 23)):
+        assert all(r[i + 1] in (r[i], new) for r in rows)
+
+
 def test_growth_step_by_step_and_weights(spark):
     from pyspark.sql import functions as F
 
