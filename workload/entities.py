@@ -19,7 +19,8 @@ from limpid.plans.silver import (
     clean_enseignants,
     clean_etablissements,
 )
-from limpid.sources import ROW_ORDER, read_delimited, read_table, scratch_folder
+from limpid.operators.ordering import order_breaks
+from limpid.sources import ROW_ORDER, read_delimited, read_table, scratch_folder, with_row_order
 from workload.cells import NBSP, dirty_region
 from workload.registry import STAMP, cents, query, school_year, table, through_scratch
 from workload.xlsx import as_workbooks
@@ -425,3 +426,13 @@ def run_measures(spark, sf_dir):
     """Measures of the run's own writing passes; the medians are estimates and left out here."""
     measures = read_table(spark, f"{full_run(spark, sf_dir).out}/mesures")
     return measures.where(~F.col("metric").startswith("mediane"))
+
+
+@query(SILVER + f"""
+SELECT count(*) AS rows, 0 AS breaks FROM (
+  SELECT DISTINCT region, annee_scolaire FROM eff JOIN region_of r ON eff.k = r.k WHERE price >= {FEW})
+""")
+def marts_in_order(spark, sf_dir):
+    """The marts stand written by region and school year."""
+    rows = with_row_order(read_table(spark, f"{full_run(spark, sf_dir).out}/gold/synthese_regionale"))
+    return order_breaks(rows, ["region", "annee"])

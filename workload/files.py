@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from limpid.functions import snake_columns
 from limpid.operators import tagged_union
+from limpid.operators.ordering import order_breaks
 from limpid.sources import (
     decode_tabs,
     decode_workbooks,
@@ -18,6 +19,7 @@ from limpid.sources import (
     split_unreadable,
     tab_headings,
     typed_tab,
+    with_row_order,
     workbook_tab,
     write_quarantine,
     write_table,
@@ -232,3 +234,24 @@ def workbook_tabs(spark, sf_dir):
         ),
     }
     return snake_columns(tagged_union(tabs, "statut"))
+
+
+@query("""
+WITH steps AS (
+  SELECT lag(o_custkey) OVER (ORDER BY o_orderkey) > o_custkey AS falls,
+         lag(o_orderpriority) OVER (ORDER BY o_orderkey) > o_orderpriority AS drops FROM orders
+)
+SELECT 'o_orderkey' AS key, count(*) AS rows, 0 AS breaks FROM steps
+UNION ALL SELECT 'o_custkey', count(*), count(*) FILTER (falls) FROM steps
+UNION ALL SELECT 'o_orderpriority', count(*), count(*) FILTER (drops) FROM steps
+""")
+def order_of_written_rows(spark, sf_dir):
+    """A table written in the order of one column, checked for that one and two others."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    path = scratch_folder(spark, "in-order")
+    write_table(orders.orderBy("o_orderkey"), path)
+    rows = with_row_order(read_table(spark, path))
+    parts = [
+        order_breaks(rows, [key]).select(F.lit(key).alias("key"), "rows", "breaks") for key in orders.columns
+    ]
+    return reduce(lambda a, b: a.unionByName(b), parts)
