@@ -30,6 +30,7 @@ from limpid.plans import gold
 from limpid.plans.silver import (
     SCHOOL_KEY,
     STATUS_OF_TAB,
+    UNREAD,
     CleanResult,
     clean_budgets,
     clean_effectifs,
@@ -132,11 +133,17 @@ class Run:
         """Write a clean table and its quarantine, note the counters."""
         step = f"clean_{entity}"
         path = f"{self.out}/silver/{entity}"
-        clean, seen = observed(result.clean, column_facts(result.gap_column) if result.gaps else {})
-        self.count(step, "lignes_ecrites", write_table(clean, path))
-        if seen:
+        facts = column_facts(result.gap_column) if result.gaps else {}
+        if result.checked is not None:
+            facts["unread"] = F.coalesce(F.sum(UNREAD), F.lit(0))
+        clean, seen = observed(result.clean if result.checked is None else result.checked, facts)
+        self.count(step, "lignes_ecrites", write_table(clean.drop(UNREAD), path))
+        found = dict(seen.get) if seen else {}
+        if result.checked is not None:
+            self.measures.append((step, "dates_illisibles", float(found.pop("unread"))))
+        if result.gaps:
             self.measure(step, "avant", result.gap_column, result.gaps)
-            self.measure(step, "apres", result.gap_column, GapFacts(**seen.get))
+            self.measure(step, "apres", result.gap_column, GapFacts(**found))
         # Reasons of another run that this one does not have are emptied.
         unused = {r: result.clean.limit(0) for r in REASONS[entity] if r not in result.rejects}
         for reason, rows in {**result.rejects, **unused}.items():

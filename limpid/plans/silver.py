@@ -29,6 +29,7 @@ COUNTS = ("nb_garcons", "nb_filles")
 # Status by worksheet; a permanent post wins over a contract.
 STATUS_OF_TAB = {"Titulaires": "titulaire", "Contractuels": "contractuel"}
 STATUS_RANK = {"titulaire": 1, "contractuel": 2}
+UNREAD = "_dates_illisibles"
 
 Cut = Callable[[DataFrame, str], DataFrame]
 
@@ -41,7 +42,8 @@ def _no_cut(df: DataFrame, name: str) -> DataFrame:
 class CleanResult:
     """``rejects`` are rows by reason; ``measures`` is (metric, value), if any.
 
-    ``gaps`` tells of the column ``gap_column`` before its gaps were handled.
+    ``gaps`` tells of the column ``gap_column`` before its gaps were handled. ``checked`` is
+    ``clean`` with ``UNREAD``, the number of cells of a row that hold text but no date.
     """
 
     clean: DataFrame
@@ -50,6 +52,7 @@ class CleanResult:
     strategy: str | None = None
     gap_column: str | None = None
     gaps: GapFacts | None = None
+    checked: DataFrame | None = None
 
 
 def _present(df: DataFrame, columns: Sequence[str]) -> list[str]:
@@ -60,8 +63,15 @@ def _each(df: DataFrame, columns: Sequence[str], change: Callable[[Column], Colu
     return df.withColumns({c: change(F.col(c)) for c in _present(df, columns)})
 
 
+def _with_dates(df: DataFrame, columns: Sequence[str], change: Callable[[Column], Column]) -> DataFrame:
+    """Dates in place of text, and ``UNREAD``."""
+    there = _present(df, columns)
+    unread = [(F.col(c).isNotNull() & change(F.col(c)).isNull()).cast("int") for c in there]
+    return df.withColumns({**{c: change(F.col(c)) for c in there}, UNREAD: sum(unread, F.lit(0))})
+
+
 def _plain(frames: dict[str, DataFrame | None]) -> dict[str, DataFrame]:
-    return {reason: drop_row_order(df) for reason, df in frames.items() if df is not None}
+    return {r: drop_row_order(df).drop(UNREAD) for r, df in frames.items() if df is not None}
 
 
 def clean_etablissements(
@@ -79,8 +89,10 @@ def clean_etablissements(
     tidy = _each(kept, ["region", "prefecture"], squish)
     if canonical_region:
         tidy = _each(tidy, ["region"], region_name)
-    dated = _each(tidy, ["date_creation"], lambda c: to_date_coerce(c, DAY_FIRST))
-    return CleanResult(drop_row_order(dated), _plain({"doublons": removed}))
+    dated = drop_row_order(
+        _with_dates(tidy, ["date_creation"], lambda c: to_date_coerce(c, DAY_FIRST))
+    )
+    return CleanResult(dated.drop(UNREAD), _plain({"doublons": removed}), checked=dated)
 
 
 def clean_effectifs(
@@ -128,15 +140,15 @@ def clean_enseignants(
     ``cut`` may write the marked rows, which kept, orphans and duplicates then share.
     """
     stacked = snake_columns(tagged_union(tabs, "statut"))
-    dated = _each(stacked, columns_with(stacked, "date"), lambda c: iso_text(to_date_coerce(c)))
+    dated = _with_dates(stacked, columns_with(stacked, "date"), lambda c: iso_text(to_date_coerce(c)))
     kept, orphans = split_marked(dated, dim, SCHOOL_KEY, lambda df: cut(df, "enseignants"))
     removed = None
     if "matricule" in kept.columns:
         ranks = F.create_map(*[F.lit(x) for pair in STATUS_RANK.items() for x in pair])
         kept, removed = keep_first(kept, ["matricule"], order_by, ranks[F.col("statut")])
-    return CleanResult(
-        drop_row_order(kept), _plain({"sans_etablissement": orphans, "doublons": removed})
-    )
+    kept = drop_row_order(kept)
+    rejects = _plain({"sans_etablissement": orphans, "doublons": removed})
+    return CleanResult(kept.drop(UNREAD), rejects, checked=kept)
 
 
 def clean_budgets(df: DataFrame) -> CleanResult:

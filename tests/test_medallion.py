@@ -169,6 +169,9 @@ def test_a_run_with_another_strategy_leaves_no_stale_rows(spark, tmp_path):
     lines = (raw / "effectifs_eleves.csv").read_text("utf-8-sig").split("\n")
     lines[20:40] = [line.rsplit(",", 1)[0] + "," for line in lines[20:40]]
     lines[50] += ",7"
+    schools = (raw / "etablissements_scolaires.csv").read_bytes().decode("latin-1")
+    schools = schools.replace("02/03/1991", "bientôt").replace("03/03/1992", "31/02/2000").replace("04/03/1993", "")
+    (raw / "etablissements_scolaires.csv").write_bytes(schools.encode("latin-1"))
     (raw / "effectifs_eleves.csv").write_bytes("\n".join(lines).encode("utf-8-sig"))
     before = scratch_folders(spark)
     job = run(spark, str(raw), str(out), run_ts="T2")
@@ -178,6 +181,9 @@ def test_a_run_with_another_strategy_leaves_no_stale_rows(spark, tmp_path):
     assert {r["date_imputation"] for r in read_table(spark, f"{aside}/imputes").collect()} == {"T2"}
     assert read_table(spark, f"{aside}/illisibles").count() == 1
     measured = {r["metric"]: r["value"] for r in read_table(spark, f"{out}/mesures").collect()}
+    unread = read_table(spark, f"{out}/mesures").where("metric = 'dates_illisibles'")
+    assert rows(unread, "step", "value") == [("clean_enseignants", 0.0), ("clean_etablissements", 2.0)]
+    assert read_table(spark, f"{out}/silver/etablissements").where("date_creation is null").count() == 3
     filled = read_table(spark, f"{aside}/imputes")
     assert measured["manquantes_nb_filles_avant"] == filled.count()
     assert measured["manquantes_nb_filles_apres"] == 0

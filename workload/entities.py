@@ -423,8 +423,8 @@ SELECT 'clean_effectifs' AS step, metric, value FROM (
 )
 """)
 def run_measures(spark, sf_dir):
-    """Measures of the run's own writing passes; the medians are estimates and left out here."""
-    measures = read_table(spark, f"{full_run(spark, sf_dir).out}/mesures")
+    """Measures of enrolment, taken while it is written; the medians are estimates and left out here."""
+    measures = read_table(spark, f"{full_run(spark, sf_dir).out}/mesures").where("step = 'clean_effectifs'")
     return measures.where(~F.col("metric").startswith("mediane"))
 
 
