@@ -3,9 +3,15 @@
 Documents longer than the longest length are cut into pieces of it. Pieces are dealt into
 groups of about ``GROUP_PIECES`` whatever their sizes and packed group by group, best fit by
 falling size: a piece goes into the open bin that it leaves the least room in. If none
-has room, a bin is opened in the length of least cost per expected word, given the
-piece and what is still to come: a longer bin must be worth its attention. At the end each
-bin shrinks to the shortest permitted length that holds its contents.
+has room, a bin is opened in the length of least cost per expected word: for each permitted
+length the pieces still to come are walked, largest first, into the room that it would leave,
+and the contents found are charged at the length they would shrink to.
+
+The walk knows nothing of other bins that want the same small pieces. So each group is
+packed with several reserves, the size below which the walk counts on no piece, and the
+packing of least total cost stands. The largest reserve counts on nothing to come and
+always opens the shortest length that fits. At the end each bin shrinks to the shortest
+permitted length that holds its contents.
 
 A group's ends waste a few bins, so the loss against one large packing is below one in a
 thousand; no piece is dropped, and groups only grow in number.
@@ -15,6 +21,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,38 +43,84 @@ def sequence_cost(length: int) -> float:
     return length * (1 + length / ATTENTION)
 
 
-def best_fit(
-    sizes: Sequence[int],
-    lengths: Sequence[int] = LENGTHS,
-    cost: Callable[[int], float] = sequence_cost,
-) -> tuple[list[int], list[int], list[int]]:
-    """(bin of each piece, position of each piece, length of each bin).
+def reserves(lengths: Sequence[int]) -> list[int]:
+    """Sizes below which a new bin counts on no piece: none, half of each length, all."""
+    return [1, *(c // 2 for c in sorted(lengths) if c > 3), max(lengths) + 1]
+
+
+def expected_fill(falling: Sequence[int], at: int, room: int, least: int) -> int:
+    """Words that pieces from ``at`` on, none below ``least``, bring into ``room``, largest first.
 
-    ``sizes`` must fall and lie between 1 and the longest length.
+    ``falling`` holds the sizes negated, so that it ascends.
     """
+    fill = 0
+    while room >= least:
+        at = bisect_left(falling, -room, at)
+        if at == len(falling) or -falling[at] < least:
+            break
+        size = -falling[at]
+        end = bisect_left(falling, 1 - size, at)
+        taken = min(end - at, room // size) * size
+        fill, room, at = fill + taken, room - taken, end
+    return fill
+
+
+@dataclass
+class Packing:
+    """Bin and position of each piece; opened and final length of each bin."""
+
+    bins: list[int]
+    positions: list[int]
+    opened: list[int]
+    lengths: list[int]
+
+
+def packed_with(
+    sizes: Sequence[int], lengths: Sequence[int], cost: Callable[[int], float], least: int
+) -> Packing:
+    """Best fit whose new bins count on no piece below ``least``."""
     lengths = sorted(lengths)
     costs = [cost(c) for c in lengths]
-    left = sum(sizes)
+    falling = [-s for s in sizes]
     rooms: list[tuple[int, int]] = []  # (room, bin), ascending
-    capacity, used = [], []
+    opened, used = [], []
     bins, positions = [], []
-    for size in sizes:
+
+    def cost_per_word(i: int, done: int, size: int) -> float:
+        words = size + expected_fill(falling, done, lengths[i] - size, least)
+        return costs[bisect_left(lengths, words)] / words
+
+    for done, size in enumerate(sizes, 1):
         at = bisect_left(rooms, (size, -1))
         if at < len(rooms):
             room, number = rooms.pop(at)
         else:
             fits = range(bisect_left(lengths, size), len(lengths))
-            best = min(fits, key=lambda i: (costs[i] / min(lengths[i], left), i))
-            number, room = len(capacity), lengths[best]
-            capacity.append(room)
+            best = min(fits, key=lambda i: (cost_per_word(i, done, size), i))
+            number, room = len(opened), lengths[best]
+            opened.append(room)
             used.append(0)
         bins.append(number)
         positions.append(used[number])
         used[number] += size
-        left -= size
         if room > size:
             insort(rooms, (room - size, number))
-    return bins, positions, [lengths[bisect_left(lengths, u)] for u in used]
+    return Packing(bins, positions, opened, [lengths[bisect_left(lengths, u)] for u in used])
+
+
+def best_fit(
+    sizes: Sequence[int],
+    lengths: Sequence[int] = LENGTHS,
+    cost: Callable[[int], float] = sequence_cost,
+) -> tuple[list[int], list[int], list[int]]:
+    """(bin of each piece, position of each piece, length of each bin).
+
+    ``sizes`` must fall and lie between 1 and the longest length. Of equally cheap packings
+    that of the smallest reserve stands.
+    """
+    tried = (packed_with(sizes, lengths, cost, least) for least in reserves(lengths))
+    best = min(tried, key=lambda p: sum(map(cost, sorted(p.lengths))))
+    return best.bins, best.positions, best.lengths
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

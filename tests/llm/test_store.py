@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from limpid.llm import packing, sharding, warc
 from tests.llm.conftest import CORPUS, bag
@@ -119,6 +122,80 @@ def test_best_fit_takes_the_tightest_bin():
     assert packing.best_fit([], (4, 8)) == ([], [], [])
 
 
+def slow_packing(sizes, lengths, cost, least):
+    """Best fit with all bins and all pieces to come looked at, one by one."""
+    bins, opened, where = [], [], []
+    for i, size in enumerate(sizes):
+        fits = [b for b in range(len(bins)) if opened[b] - sum(bins[b]) >= size]
+        if fits:
+            chosen = min(fits, key=lambda b: (opened[b] - sum(bins[b]), b))
+        else:
+            prices = []
+            for length in sorted(lengths):
+                words = size
+                for later in sizes[i + 1 :]:
+                    if later >= least and words + later <= length:
+                        words += later
+                if words <= length:
+                    prices.append((cost(min(c for c in lengths if c >= words)) / words, length))
+            chosen = len(bins)
+            opened.append(min(prices)[1])
+            bins.append([])
+        bins[chosen].append(size)
+        where.append(chosen)
+    return where, opened, [min(c for c in lengths if c >= sum(b)) for b in bins]
+
+
+PERMITTED = st.sampled_from([(4, 8), (8, 16, 32), (5, 7, 40), (10,), packing.LENGTHS])
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.data(), PERMITTED)
+def test_packing_equals_a_slow_one(data, lengths):
+    some = st.integers(1, max(lengths)) | st.integers(1, min(lengths))
+    sizes = sorted(data.draw(st.lists(some, max_size=40)), reverse=True)
+
+    def cost(length):
+        return length * (1 + length / (8 * max(lengths)))
+
+    slow = [slow_packing(sizes, lengths, cost, least) for least in packing.reserves(lengths)]
+    for least, (where, opened, final) in zip(packing.reserves(lengths), slow):
+        fast = packing.packed_with(sizes, lengths, cost, least)
+        assert (fast.bins, fast.opened, fast.lengths) == (where, opened, final)
+    bins, _, final = packing.best_fit(sizes, lengths, cost)
+    totals = [sum(map(cost, sorted(s[2]))) for s in slow]
+    best = slow[totals.index(min(totals))]
+    assert (bins, final) == (best[0], best[2])
+
+
+def test_a_longer_bin_wins_and_bins_shrink():
+    lengths, cost = (512, 1024), packing.sequence_cost
+    # Three pieces of 300 cost less in one bin of 1024 than in three of 512.
+    assert packing.best_fit([300, 300, 300], lengths, cost) == ([0, 0, 0], [0, 300, 600], [1024])
+    # The last one alone shrinks back to the short length.
+    assert packing.best_fit([300] * 4, lengths, cost)[2] == [1024, 512]
+    shrunk = 0
+    rng = random.Random(3)
+    for _ in range(300):
+        sizes = sorted((rng.randint(1, 32) for _ in range(rng.randint(1, 12))), reverse=True)
+        for least in packing.reserves((8, 16, 32)):
+            found = packing.packed_with(sizes, (8, 16, 32), packing.sequence_cost, least)
+            shrunk += sum(a > b for a, b in zip(found.opened, found.lengths))
+    assert shrunk > 0
+
+
+def test_joint_packing_costs_no_more_than_one_length_or_the_shortest(documents):
+    words = [len((r["text"] or "").split()) for r in documents.select("text").collect()]
+    sizes = sorted((min(n - a, 4096) for n in words for a in range(0, n, 4096)), reverse=True)
+
+    def total(final):
+        return sum(map(packing.sequence_cost, final))
+
+    joint = total(packing.best_fit(sizes)[2])
+    shortest = packing.packed_with(sizes, packing.LENGTHS, packing.sequence_cost, 4097)
+    assert joint <= total(shortest.lengths) < total(packing.best_fit(sizes, (4096,))[2])
+
+
 PAGES = [
     (1, "http://a/ä b", "<p>é</p>" * 200), (2, "http://a/2", "<p>é</p>" * 200), (9, None, "<p>é</p>" * 200),
     (3, "http://a/%41\r\nx: y", "short"), (4, "http://a/4", "short"), (5, "http://a/5", None), (6, "", ""),
