@@ -1,8 +1,8 @@
 """Document quality by supervised subword embeddings.
 
-Every word, every pair of neighbouring words and every run of 3 to 5 bytes of a word (its
-blanks included) is hashed into one of ``BUCKETS`` learned vectors; a document is the average of its vectors; a softmax layer
-tells good from bad. Training is numpy stochastic gradient descent over at most ``SAMPLE``
+Every word, every pair of neighbouring words and every run of 3 to 5 characters of a word (its
+blanks included) is hashed into one of ``BUCKETS`` learned vectors; a document is the average
+of its vectors; a softmax layer tells good from bad. Training is numpy stochastic gradient descent over at most ``SAMPLE``
 labelled documents, those of the smallest hashed ids, whole texts; their counts per bucket
 are made by Spark tasks. Scoring reads every whole text: with the layer fixed, the logit is
 the average of one number per bucket, so a task needs a table of ``BUCKETS`` floats.
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from limpid.llm.hashing import (
-    STEP, U64, binary_bounds, mixed, sliding_words, text_slices, word_hashes, word_spans,
+    STEP, U64, binary_bounds, mixed, text_slices, word_hashes, word_spans,
 )
 
 BUCKETS = 1 << 16
@@ -48,22 +48,46 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> U64(64 - BUCKETS.bit_length() + 1)).astype(np.int32)
 
 
-def subwords(data: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(offset, bucket, is a subword) of the byte runs of each length, piece by piece."""
-    blank = (data == 32) | ((data >= 9) & (data <= 13))
-    plain = np.where(blank, np.uint8(32), data)
-    eight = sliding_words(plain)
-    for at in range(0, len(data), PIECE):
-        words = eight[at : at + PIECE].copy()
-        gap = np.concatenate([blank[at : at + PIECE + max(LENGTHS)], np.ones(max(LENGTHS), bool)])
-        size = len(words)
-        inside = ~gap[1 : size + 1]
-        for n in LENGTHS:
-            inside = inside & ~gap[n - 2 : n - 2 + size] if n > 3 else inside
-            part = words & U64((1 << (8 * n)) - 1)
-            ok = inside.copy()
-            ok[max(0, len(data) - at - n + 1) :] = False
-            yield at, _slots((part ^ U64(n)) * STEP * U64(2 * n + 1)), ok
+def characters(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(one number per UTF-8 character, bounds of texts in characters).
+
+    The number is made of the character's bytes. Stray bytes that continue nothing belong
+    to the character before, which counts its first four bytes.
+    """
+    later = (data & 0xC0) == 0x80
+    if not later.any():
+        return data.astype(np.uint32), bounds
+    later[bounds[:-1][bounds[:-1] < len(data)]] = False  # a character ends with its text
+    starts = np.flatnonzero(~later)
+    value, more = data[starts].astype(np.uint32), np.ones(len(starts), bool)
+    for k in (1, 2, 3):
+        at = np.minimum(starts + k, len(data) - 1)
+        more &= later[at] & (starts + k < len(data))
+        value |= np.where(more, data[at].astype(np.uint32) << np.uint32(8 * k), np.uint32(0))
+    return value, np.searchsorted(starts, bounds)
+
+
+def subwords(chars: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(offset, bucket, is a subword) of the character runs of each length, piece by piece."""
+    blank = (chars == 32) | ((chars >= 9) & (chars <= 13))
+    plain = np.where(blank, np.uint32(32), chars)
+    ahead = max(LENGTHS)
+    for at in range(0, len(chars), PIECE):
+        size = min(PIECE, len(chars) - at)
+        near = np.full(size + ahead, 32, U64)
+        part = plain[at : at + size + ahead]
+        near[: len(part)] = part
+        gap = np.ones(size + ahead, bool)
+        gap[: len(part)] = blank[at : at + size + ahead]
+        run, inside = near[:size], np.ones(size, bool)
+        for n in range(2, ahead + 1):
+            run = mixed(run * STEP + near[n - 1 : n - 1 + size])
+            if n > 2:
+                inside = inside & ~gap[n - 2 : n - 2 + size]
+            if n in LENGTHS:
+                ok = inside.copy()
+                ok[max(0, len(chars) - at - n + 1) :] = False
+                yield at, _slots(run), ok
 
 
 def whole_words(data: np.ndarray, bounds: np.ndarray):
@@ -85,10 +109,11 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, counts = [], []
         for text in batch.column("text"):
             data = np.frombuffer(text.as_buffer(), np.uint8)
+            bounds = np.array([0, len(data)])
             total = np.zeros(BUCKETS, np.int64)
-            for _, slot, ok in subwords(data):
+            for _, slot, ok in subwords(characters(data, bounds)[0]):
                 total += np.bincount(slot[ok], minlength=BUCKETS)
-            for slot, ok, _ in whole_words(data, np.array([0, len(data)])):
+            for slot, ok, _ in whole_words(data, bounds):
                 total += np.bincount(slot[ok], minlength=BUCKETS)
             used = np.flatnonzero(total)
             slots.append(used.astype("<u2").tobytes())  # below BUCKETS
@@ -180,11 +205,12 @@ def _scored(shared):
             data, bounds = binary_bounds(batch.column("text"))
             n = batch.num_rows
             total, count = np.zeros(n, np.int64), np.zeros(n, np.int64)
-            for at, slot, ok in subwords(data):
-                # Documents of this piece, cut at its ends; every document holds two bytes.
-                first = np.searchsorted(bounds, at, side="right") - 1
-                last = np.searchsorted(bounds, at + len(slot), side="left")
-                cuts = np.maximum(bounds[first:last] - at, 0)
+            chars, edges = characters(data, bounds)
+            for at, slot, ok in subwords(chars):
+                # Documents of this piece, cut at its ends; every document holds two blanks.
+                first = np.searchsorted(edges, at, side="right") - 1
+                last = np.searchsorted(edges, at + len(slot), side="left")
+                cuts = np.maximum(edges[first:last] - at, 0)
                 total[first:last] += np.add.reduceat(table[slot] * ok, cuts, dtype=np.int64)
                 count[first:last] += np.add.reduceat(ok, cuts, dtype=np.int64)
             for slot, ok, limits in whole_words(data, bounds):

@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import dataclasses
+import math
+import re
+import types
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from limpid.llm import bpe, minhash_dedup, quality, substring_dedup, suffix_dedup
+from limpid.llm import bpe, hashing, minhash_dedup, quality, substring_dedup, suffix_dedup
 from limpid.llm.components import components, roots
 from tests.llm import brute
 from tests.llm.conftest import CORPUS, SF, bag, words
@@ -249,3 +253,61 @@ def test_empty_tables(spark, empty):
         quality.quality_scores(empty, labels), minhash_dedup.without_near_duplicates(empty),
     ):
         assert found.collect() == []
+
+
+def slow_score(text, model):
+    """Word by word and character by character, with the library's hashes of single numbers."""
+    number = hashing.U64
+    table, bias = model.bucket_logits()
+    shift, mask = 64 - quality.BUCKETS.bit_length() + 1, (1 << 64) - 1
+
+    def mix(x):
+        return int(hashing.mixed(np.array([x & mask], number))[0])
+
+    found = []
+    # Blanks end a run and count inside it as one kind.
+    chars = [" " if c in " \t\n\v\f\r" else c for c in f" {text} "]
+    codes = [int.from_bytes(c.encode(), "little") for c in chars]
+    for i in range(len(chars)):
+        for n in quality.LENGTHS:
+            if i + n > len(chars) or " " in chars[i + 1 : i + n - 1]:
+                continue
+            run = codes[i]
+            for code in codes[i + 1 : i + n]:
+                run = mix(run * int(hashing.STEP) + code)
+            found.append(run)
+    plain = []
+    for word in re.findall(r"[^\x20\x09-\x0D]+", text):
+        data = np.frombuffer(word.encode(), np.uint8)
+        plain.append(int(hashing.word_hashes(data, np.array([0]), np.array([len(data)]))[0]))
+    found += [mix(w) for w in plain]
+    found += [mix(b - a + int(hashing.STEP)) for a, b in zip(plain, plain[1:])]
+    total = sum(int(table[h >> shift]) for h in found)
+    logit = total / (quality.UNIT * max(len(found), 1)) + bias
+    return 1 / (1 + math.exp(-max(-60.0, min(60.0, logit))))
+
+
+def test_scores_equal_a_slow_average_over_characters(spark, corpus, monkeypatch):
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    model = quality.fit(spark.read.parquet(f"{SF}/documents.parquet"), labels, sample=200)
+    texts = [r[1] for r in CORPUS if len(r[1] or "") < 5000]
+    texts += ["日本語 テスト", "é", "éa\tßß\u2003x", "😀😀 a😀b", "a", " ", "\u00a0", "naïve café\nÅngström"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").coalesce(2)
+    want = [pytest.approx(slow_score(t or "", model), rel=1e-12) for t in texts]
+    got = quality.scored(rows, model, carried=["doc_id"]).collect()
+    assert [r["score"] for r in sorted(got, key=lambda r: r["rest"][0])] == want
+    # In pieces of seven characters, all texts in one batch.
+    monkeypatch.setattr(quality, "PIECE", 7)
+    batch = pa.RecordBatch.from_pydict(
+        {"rest": list(range(len(texts))), "text": [f" {t or ''} ".encode() for t in texts]}
+    )
+    shared = types.SimpleNamespace(value=model.bucket_logits())
+    assert pa.Table.from_batches(quality._scored(shared)([batch])).column("score").to_pylist() == want
+
+
+def test_characters_of_broken_text():
+    data = np.frombuffer(b"a\x80\x80\x80\x80\x80b\xc3\xa9\xe2\x82", np.uint8)
+    values, bounds = quality.characters(data, np.array([0, 2, 2, 8, 11]))
+    # A stray byte that begins a text is a character of its own.
+    assert values.tolist() == [0x8061, 0x80808080, 0x62, 0xC3, 0xA9, 0x82E2]
+    assert bounds.tolist() == [0, 1, 1, 4, 6]
