@@ -2,7 +2,8 @@
 
 Every stage hands over through a written table. That decodes each raw file once,
 cuts the lineage where several jobs read the same rows, and lets a lost executor
-repeat only its own stage.
+repeat only its own stage. All is written below ``out/_next`` first and takes the place of
+the tables of the run before at the end, so that a run that fails changes none of them.
 
     out/bronze/<entity>           raw text cells in Parquet, with the row order
     out/silver/<entity>           clean tables
@@ -10,7 +11,7 @@ repeat only its own stage.
     out/gold/synthese_regionale   regional marts
     out/quality, out/metrics      checks and counters of the run
     out/mesures                   rates, means and medians around a step
-    out/work/<name>               tables that cut a lineage, removed at the end
+    out/_next/work/<name>         tables that cut a lineage, removed at the end
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ from limpid.plans.silver import (
     clean_etablissements,
 )
 from limpid.sources.delimited import UNREADABLE, read_delimited, split_unreadable
+from limpid.sources.publish import publish, settle, staging
 from limpid.sources.scratch import remove_folder, scratch_removed
 from limpid.sources.tables import (
     read_table,
@@ -353,8 +355,11 @@ def run(
     records are set aside whole.
 
     ``audit_format`` is that of the quarantine: Parquet, or CSV with a byte-order mark.
+
+    A run that ended while it put its tables in place is finished first.
     """
-    job = Run(spark, out_dir, run_ts, audit_format)
+    settle(spark, out_dir)
+    job = Run(spark, staging(out_dir), run_ts, audit_format)
     with scratch_removed(spark):
         opened = raw_files(spark, raw, multi_line) if isinstance(raw, str) else raw
         bronze_to_silver(job, opened, canonical_region)
@@ -365,4 +370,6 @@ def run(
         write_table(spark.createDataFrame(job.counters, METRICS), f"{job.out}/metrics")
         write_table(spark.createDataFrame(job.measures, MEASURED), f"{job.out}/mesures")
     remove_folder(spark, f"{job.out}/work")
+    publish(spark, out_dir)
+    job.out = out_dir.rstrip("/")
     return job

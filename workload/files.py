@@ -24,6 +24,7 @@ from limpid.sources import (
     write_quarantine,
     write_table,
 )
+from limpid.sources.publish import mark_complete, publish, settle, staging
 from workload.registry import query, table, through_scratch
 from workload.xlsx import as_workbooks
 
@@ -255,3 +256,37 @@ def order_of_written_rows(spark, sf_dir):
         order_breaks(rows, [key]).select(F.lit(key).alias("key"), "rows", "breaks") for key in orders.columns
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+@query("""
+SELECT 'done' AS state, o_orderstatus AS part, o_orderkey AS code FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT 'dropped', o_orderstatus, o_orderkey FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT 'finished', o_orderstatus, o_orderkey FROM orders WHERE o_orderstatus <> 'F'
+""")
+def published_tables(spark, sf_dir):
+    """Two tables published together; then a run that ends early, and one that ends in between."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderstatus").alias("part"), F.col("o_orderkey").alias("code")
+    )
+    out = scratch_folder(spark, "published")
+
+    def stage(rows, *names):
+        for name in names:
+            write_table(rows, f"{staging(out)}/{name}")
+
+    def seen(state, name):
+        return through_scratch(read_table(spark, f"{out}/{name}"), state).select(F.lit(state).alias("state"), "*")
+
+    old, new = orders.where("part = 'F'"), orders.where("part <> 'F'")
+    stage(old, "one", "two")
+    publish(spark, out)
+    done = seen("done", "one")
+    stage(new, "one")  # ended before its second table: nothing changes
+    settle(spark, out)
+    dropped = seen("dropped", "one")
+    stage(new, "one", "two")  # complete, ended before its moves: they are made up for
+    mark_complete(spark, out)
+    settle(spark, out)
+    return done.unionByName(dropped).unionByName(seen("finished", "two"))
