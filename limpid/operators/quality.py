@@ -225,3 +225,68 @@ def schema_drift(df: DataFrame, expected: T.StructType) -> DataFrame:
     return counted.withColumn("_f", facts[F.col("label")]).select(
         F.col("label").alias("column_name"), "_f.kind", "_f.expected", "_f.actual", "n_values"
     )
+
+
+def file_drift(
+    footers: DataFrame, expected: T.StructType, in_folders: Sequence[str] = ()
+) -> DataFrame:
+    """``schema_drift`` of each file by itself, so that one odd file among many is named.
+
+    (file, column_name, kind, expected, actual, n_rows, n_values), a row per finding;
+    ``footers`` are those of ``file_footers``. Files that keep to the contract have no
+    row. Kinds are missing, new and retyped, and ``unreadable`` for a file that is no
+    Parquet. ``n_values`` are the non-null values that the finding touches, by the
+    statistics of the file, or NULL if there are none; a missing column touches every row.
+    Columns in ``in_folders`` stand in folder names and are not looked for in files.
+
+    The contract is a constant of the plan: no join, no shuffle, nothing to the driver.
+    """
+    wanted = F.array(
+        *(
+            F.struct(F.lit(f.name).alias("name"), F.lit(f.dataType.simpleString()).alias("kind"))
+            for f in expected
+            if f.name not in in_folders
+        )
+    )
+    if len(expected) == len(in_folders):
+        wanted = F.expr("CAST(array() AS array<struct<name: string, kind: string>>)")
+
+    def finding(name: Column, kind: str, was: Column, now: Column, n_values: Column) -> Column:
+        return F.struct(
+            name.alias("column_name"),
+            F.lit(kind).alias("kind"),
+            was.cast("string").alias("expected"),
+            now.cast("string").alias("actual"),
+            n_values.cast("bigint").alias("n_values"),
+        )
+
+    def same_name(columns: Column, name: Column) -> Column:
+        return F.filter(columns, lambda c: c["name"] == name)
+
+    nothing, found = F.lit(None), F.col("columns")
+    with_values = F.col("n_rows")
+    absent = F.transform(
+        F.filter(wanted, lambda w: F.size(same_name(found, w["name"])) == 0),
+        lambda w: finding(w["name"], "missing", w["kind"], nothing, with_values),
+    )
+    added = F.transform(
+        F.filter(found, lambda c: F.size(same_name(wanted, c["name"])) == 0),
+        lambda c: finding(c["name"], "new", nothing, c["kind"], with_values - c["n_nulls"]),
+    )
+    retyped = F.transform(
+        F.filter(
+            found, lambda c: F.exists(wanted, lambda w: (w["name"] == c["name"]) & (w["kind"] != c["kind"]))
+        ),
+        lambda c: finding(
+            c["name"],
+            "retyped",
+            F.get(same_name(wanted, c["name"]), F.lit(0))["kind"],
+            c["kind"],
+            with_values - c["n_nulls"],
+        ),
+    )
+    broken = F.array(finding(nothing.cast("string"), "unreadable", nothing, F.col("fault"), nothing))
+    drift = F.when(F.col("fault").isNotNull(), broken).otherwise(F.concat(absent, added, retyped))
+    return footers.select("file", "n_rows", F.explode(drift).alias("_f")).select(
+        "file", "_f.column_name", "_f.kind", "_f.expected", "_f.actual", "n_rows", "_f.n_values"
+    )

@@ -1,6 +1,7 @@
 """Reading and writing: delimited text, workbooks, Parquet tables, quarantine."""
 
 from limpid.sources.delimited import UNREADABLE, read_delimited, split_unreadable
+from limpid.sources.footers import file_footers
 from limpid.sources.roworder import ROW_ORDER, drop_row_order, with_row_order
 from limpid.sources.scratch import remove_folder, scratch_folder, scratch_removed
 from limpid.sources.tables import (
@@ -27,6 +28,7 @@ __all__ = [
     "decode_tabs",
     "decode_workbooks",
     "drop_row_order",
+    "file_footers",
     "read_delimited",
     "read_table",
     "read_table_if_any",

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from limpid.operators import distinct_profile
 from limpid.operators import quality as Q
+from limpid.sources import file_footers
 from tests.conftest import rows
 
 
@@ -99,5 +100,53 @@ def test_schema_drift(spark):
     assert Q.schema_drift(sample(spark), sample(spark).schema).count() == 0
 
 
+CONTRACT = T.StructType(
+    [
+        T.StructField("k", T.StringType()),
+        T.StructField("n", T.IntegerType()),
+        T.StructField("at", T.TimestampNTZType()),
+        T.StructField("seen", T.TimestampType()),
+        T.StructField("tags", T.ArrayType(T.StringType())),
+        T.StructField("lot", T.IntegerType()),
+    ]
+)
+KEPT = "SELECT 'a' AS k, 1 AS n, timestamp_ntz'2020-01-01' AS at, timestamp'2020-01-01' AS seen, array('x') AS tags"
+
+
+def test_drift_names_the_file(spark, tmp_path):
+    root = tmp_path / "a table, 100%"
+    lots = {
+        1: KEPT,
+        2: KEPT.replace("1 AS n", "CAST(NULL AS BIGINT) AS n") + ", 2.5D AS extra",
+        3: "SELECT 'a' AS k, 1 AS n",
+        4: f"SELECT * FROM ({KEPT}) WHERE n > 9",
+    }
+    for lot, sql in lots.items():
+        spark.sql(sql).coalesce(1).write.parquet(f"{root}/lot={lot}")
+    (root / "lot=5").mkdir()
+    (root / "lot=5" / "part.parquet").write_bytes(b"no table")
+    (root / "lot=6").mkdir()
+    (root / "lot=6" / "part.parquet").write_bytes(b"")  # no scan sees an empty file
+    lot = F.regexp_extract("file", "lot=(.)", 1).alias("lot")
+    drift = Q.file_drift(file_footers(spark, str(root)), CONTRACT, in_folders=["lot"])
+    plan = drift._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+    told = drift.withColumn("actual", F.when(F.col("kind") != "unreadable", F.col("actual")))
+    assert rows(told.select(lot, *[c for c in drift.columns if c != "file"])) == [
+        ("2", "extra", "new", None, "double", 1, 1),
+        ("2", "n", "retyped", "int", "bigint", 1, 0),
+        ("3", "at", "missing", "timestamp_ntz", None, 1, 1),
+        ("3", "seen", "missing", "timestamp", None, 1, 1),
+        ("3", "tags", "missing", "array<string>", None, 1, 1),
+        ("5", None, "unreadable", None, None, None, None),
+    ]
+    assert {r["file"].rsplit("/", 2)[1] for r in drift.collect()} == {f"lot={i}" for i in (2, 3, 5)}
+    # A column of folder names is missing in each file that can be read, unless it is named.
+    everywhere = Q.file_drift(file_footers(spark, str(root), "*.parquet"), CONTRACT)
+    assert everywhere.where("column_name = 'lot' AND kind = 'missing'").count() == 4
+    nothing = Q.file_drift(file_footers(spark, str(root)), T.StructType([]))
+    assert nothing.where("kind = 'new'").count() == 5 + 6 + 2 + 5
+
+
 def test_distinct_profile(spark):
     assert rows(distinct_profile(sample(spark), ["k", "n"])) == [("k", 1), ("n", 2)]

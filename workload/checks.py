@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from limpid.operators import distinct_profile, null_profile
 from limpid.operators import quality as Q
 from limpid.plans.medallion import quality_of
-from limpid.sources import table_exists
+from limpid.sources import file_footers, scratch_folder, table_exists, write_table
 from workload.gaps import FEW_GAPS, readings
 from workload.marts import FACTS, SYNTHESIS, enrolment, order_lines, schools, synthese_regionale
 from workload.registry import query, table
@@ -160,6 +160,18 @@ def iso_date_check(spark, sf_dir):
     return Q.check_rows(dated, "orders", [Q.iso_date("jour")])
 
 
+ORDERS_CONTRACT = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()),
+        T.StructField("o_totalprice", T.DecimalType(15, 2)),
+        T.StructField("o_orderdate", T.TimestampNTZType()),
+        T.StructField("o_clerk", T.StringType()),
+    ]
+)
+
+
 @query("""
 SELECT * FROM (
   SELECT 'o_totalprice' AS column_name, 'retyped' AS kind, 'decimal(15,2)' AS expected,
@@ -169,14 +181,43 @@ SELECT * FROM (
 )
 """)
 def contract_drift(spark, sf_dir):
-    contract = T.StructType(
-        [
-            T.StructField("o_orderkey", T.LongType()),
-            T.StructField("o_custkey", T.LongType()),
-            T.StructField("o_orderstatus", T.StringType()),
-            T.StructField("o_totalprice", T.DecimalType(15, 2)),
-            T.StructField("o_orderdate", T.TimestampNTZType()),
-            T.StructField("o_clerk", T.StringType()),
-        ]
+    return Q.schema_drift(table(spark, sf_dir, "orders"), ORDERS_CONTRACT)
+
+
+@query("""
+SELECT lot, column_name, kind, expected, actual, n_rows, n_values FROM (
+  SELECT 'F' AS lot, 'o_clerk' AS column_name, 'missing' AS kind, 'string' AS expected,
+         NULL AS actual, count(*) AS n_rows, count(*) AS n_values
+  FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT 'F', 'o_totalprice', 'retyped', 'decimal(15,2)', 'double',
+         count(*), count(o_totalprice) FROM orders WHERE o_orderstatus = 'F'
+  UNION ALL SELECT 'O', 'o_orderpriority', 'new', NULL, 'string',
+         count(*), count(nullif(o_orderpriority, '1-URGENT')) FROM orders WHERE o_orderstatus = 'O'
+  UNION ALL SELECT 'P', 'o_orderkey', 'retyped', 'bigint', 'string',
+         count(*), count(o_orderkey) FROM orders WHERE o_orderstatus = 'P'
+) WHERE n_rows > 0
+""")
+def drift_per_file(spark, sf_dir):
+    """Three lots of one table, written by three jobs that differ; each file is judged alone.
+
+    A lot may be several files, so the findings of its files are added up.
+    """
+    root = scratch_folder(spark, "lots")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    )
+    price = F.col("o_totalprice").cast("decimal(15,2)")
+    whole = orders.withColumn("o_totalprice", price).withColumn("o_clerk", F.lit("c"))
+    not_urgent = F.expr("nullif(o_orderpriority, '1-URGENT')")
+    lots = {
+        "F": orders.drop("o_orderpriority"),
+        "O": whole.withColumn("o_orderpriority", not_urgent),
+        "P": whole.drop("o_orderpriority").withColumn("o_orderkey", F.col("o_orderkey").cast("string")),
+    }
+    for lot, rows in lots.items():
+        write_table(rows.where(F.col("o_orderstatus") == lot), f"{root}/lot={lot}")
+    found = Q.file_drift(file_footers(spark, root), ORDERS_CONTRACT).where("n_rows > 0")
+    facts = ["column_name", "kind", "expected", "actual"]
+    return found.groupBy(F.regexp_extract("file", "/lot=([^/]*)/", 1).alias("lot"), *facts).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_values").alias("n_values")
     )
-    return Q.schema_drift(table(spark, sf_dir, "orders"), contract)
