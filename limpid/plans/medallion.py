@@ -4,6 +4,7 @@ Every stage hands over through a written table. That decodes each raw file once,
 cuts the lineage where several jobs read the same rows, and lets a lost executor
 repeat only its own stage. All is written below ``out/_next`` first and takes the place of
 the tables of the run before at the end, so that a run that fails changes none of them.
+The next run on the same files goes on from the stages that one had finished.
 
     out/bronze/<entity>           raw text cells in Parquet, with the row order
     out/silver/<entity>           clean tables
@@ -12,11 +13,12 @@ the tables of the run before at the end, so that a run that fails changes none o
     out/quality, out/metrics      checks and counters of the run
     out/mesures                   rates, means and medians around a step
     out/_next/work/<name>         tables that cut a lineage, removed at the end
+    out/_next/_notes/<stage>      what a finished stage was made from, and its counters
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextvars import copy_context
 from dataclasses import dataclass
@@ -39,7 +41,15 @@ from limpid.plans.silver import (
     clean_etablissements,
 )
 from limpid.sources.delimited import UNREADABLE, read_delimited, split_unreadable
-from limpid.sources.publish import publish, settle, staging
+from limpid.sources.publish import (
+    drop_note,
+    files_fingerprint,
+    publish,
+    read_note,
+    settle,
+    staging,
+    write_note,
+)
 from limpid.sources.scratch import remove_folder, scratch_removed
 from limpid.sources.tables import (
     read_table,
@@ -104,6 +114,29 @@ class Run:
         self.audit_format = audit_format
         self.counters: list[tuple[str, str, int]] = []
         self.measures: list[tuple[str, str, float | None]] = []
+        self.resumed: list[str] = []  # stages that an earlier run had finished
+
+    def stage(self, name: str, made_from: str | None, work: Callable[[], object]) -> None:
+        """Do ``work`` unless its tables are staged already, made from the same inputs.
+
+        Without a fingerprint (``None``) it is always done. The note goes before the tables
+        change and comes back after the last of them, so it never vouches for half of them.
+        Steps of a stage end with its name; a skipped stage takes their counters from the note.
+        """
+        note = read_note(self.spark, self.out, name) if made_from else None
+        if note and note["made_from"] == made_from:
+            self.resumed.append(name)
+            self.counters += [tuple(c) for c in note["counters"]]
+            self.measures += [tuple(m) for m in note["measures"]]
+            return
+        drop_note(self.spark, self.out, name)
+        work()
+        if made_from:
+            mine = {
+                kind: [x for x in rows if x[0].endswith(name)]
+                for kind, rows in (("counters", self.counters), ("measures", self.measures))
+            }
+            write_note(self.spark, self.out, name, {"made_from": made_from, **mine})
 
     def count(self, step: str, metric: str, value: int) -> None:
         self.counters.append((step, metric, value))
@@ -177,15 +210,41 @@ class Raw:
     budgets: DataFrame
 
 
-def raw_files(spark: SparkSession, raw_dir: str, multi_line: bool = False) -> Raw:
-    raw = raw_dir.rstrip("/")
-    options = {"multi_line": multi_line, "unreadable": True}
-    return Raw(
-        read_delimited(spark, f"{raw}/{SCHOOLS_FILES}", sep=";", encoding="ISO-8859-1", **options),
-        read_delimited(spark, f"{raw}/{ENROLMENT_FILES}", **options),
-        read_workbook_files(spark, f"{raw}/{TEACHERS_FILES}"),
-        read_workbook_files(spark, f"{raw}/{BUDGETS_FILES}"),
-    )
+@dataclass(frozen=True)
+class RawFolder:
+    """The inputs of ``Raw`` in a folder, each opened when it is asked for."""
+
+    spark: SparkSession
+    folder: str
+    multi_line: bool = False
+
+    def _text(self, files: str, **options) -> DataFrame:
+        return read_delimited(
+            self.spark, f"{self.folder}/{files}", multi_line=self.multi_line, unreadable=True, **options
+        )
+
+    @property
+    def schools(self) -> DataFrame:
+        return self._text(SCHOOLS_FILES, sep=";", encoding="ISO-8859-1")
+
+    @property
+    def enrolment(self) -> DataFrame:
+        return self._text(ENROLMENT_FILES)
+
+    @property
+    def teachers(self) -> DataFrame:
+        return read_workbook_files(self.spark, f"{self.folder}/{TEACHERS_FILES}")
+
+    @property
+    def budgets(self) -> DataFrame:
+        return read_workbook_files(self.spark, f"{self.folder}/{BUDGETS_FILES}")
+
+    def fingerprint(self, files: str) -> str:
+        return f"{files_fingerprint(self.spark, f'{self.folder}/{files}')}:{self.multi_line}"
+
+
+def raw_files(spark: SparkSession, raw_dir: str, multi_line: bool = False) -> RawFolder:
+    return RawFolder(spark, raw_dir.rstrip("/"), multi_line)
 
 
 def bronze_tabs(
@@ -198,33 +257,52 @@ def bronze_tabs(
     return [workbook_tab(rows, sheet, cols) for sheet, cols in zip(sheets, names)]
 
 
-def bronze_to_silver(run: Run, raw: Raw, canonical_region: bool = False) -> None:
+def bronze_to_silver(run: Run, raw: Raw | RawFolder, canonical_region: bool = False) -> None:
     """Schools first; the three others need at most the written schools.
 
     They are submitted together, so that one's small jobs fill the gaps of another.
     """
-    schools = run.silver(
-        "etablissements",
-        clean_etablissements(
-            run.bronze(raw.schools, "etablissements"), canonical_region=canonical_region
-        ),
-    )
+
+    def made_from(files: str, *others: object) -> str | None:
+        """Raw files and options of a stage; unknown for inputs that came opened."""
+        if isinstance(raw, Raw):
+            return None
+        return "|".join([raw.fingerprint(files), run.audit_format, *map(str, others)])
+
+    of_schools = made_from(SCHOOLS_FILES, canonical_region)
+
+    def clean_schools() -> None:
+        rows = run.bronze(raw.schools, "etablissements")
+        run.silver("etablissements", clean_etablissements(rows, canonical_region=canonical_region))
+
+    run.stage("etablissements", of_schools, clean_schools)
+    schools = read_table(run.spark, f"{run.out}/silver/etablissements")
 
     def cut(df: DataFrame, name: str) -> DataFrame:
         return through_table(df, f"{run.out}/work/{name}")
 
-    def enrolment() -> None:
+    def clean_enrolment() -> None:
         rows = run.bronze(raw.enrolment, "effectifs")
         run.silver("effectifs", clean_effectifs(rows, schools, run_ts=run.run_ts, cut=cut))
 
-    def teachers() -> None:
+    def clean_teachers() -> None:
         tabs = bronze_tabs(run, raw.teachers, "enseignants", list(STATUS_OF_TAB))
         by_status = dict(zip(STATUS_OF_TAB.values(), tabs))
         run.silver("enseignants", clean_enseignants(by_status, schools, cut=cut))
 
-    def budgets() -> None:
+    def clean_amounts() -> None:
         run.silver("budgets", clean_budgets(bronze_tabs(run, raw.budgets, "budgets", [0])[0]))
 
+    def enrolment() -> None:
+        # The audit of filled rows carries the time text of its run.
+        run.stage("effectifs", made_from(ENROLMENT_FILES, of_schools, run.run_ts), clean_enrolment)
+
+    def teachers() -> None:
+        run.stage("enseignants", made_from(TEACHERS_FILES, of_schools), clean_teachers)
+
+    def budgets() -> None:
+        run.stage("budgets", made_from(BUDGETS_FILES), clean_amounts)
+
     with ThreadPoolExecutor(3) as pool:
         parts = (enrolment, teachers, budgets)
         for done in [pool.submit(copy_context().run, part) for part in parts]:
@@ -356,10 +434,15 @@ def run(
 
     ``audit_format`` is that of the quarantine: Parquet, or CSV with a byte-order mark.
 
-    A run that ended while it put its tables in place is finished first.
+    A run that ended while it put its tables in place is finished first. One that ended
+    before is taken up: of a folder whose files and options are as they were, the entities
+    that it had cleaned are not read again, and its time text goes on (unless ``run_ts`` is
+    another). The marts and all checks are always made anew.
     """
-    settle(spark, out_dir)
-    job = Run(spark, staging(out_dir), run_ts, audit_format)
+    settle(spark, out_dir, keep_unfinished=isinstance(raw, str))
+    begun = read_note(spark, staging(out_dir), "run") or {}
+    job = Run(spark, staging(out_dir), run_ts or begun.get("run_ts"), audit_format)
+    write_note(spark, job.out, "run", {"run_ts": job.run_ts})
     with scratch_removed(spark):
         opened = raw_files(spark, raw, multi_line) if isinstance(raw, str) else raw
         bronze_to_silver(job, opened, canonical_region)

@@ -67,3 +67,44 @@ def test_a_failed_run_changes_nothing(spark, tmp_path, monkeypatch):
     job = medallion.run(spark, str(raw), str(out), run_ts="T3")
     assert job.out == str(out) and not left.exists()
     assert read_table(spark, f"{out}/silver/etablissements").count() == 19
+
+
+def test_a_run_goes_on_from_the_stages_of_one_that_failed(spark, tmp_path, monkeypatch):
+    raw, out = tmp_path / "raw", tmp_path / "out"
+    raw.mkdir()
+    write_raw(raw)
+    clean_budgets = medallion.clean_budgets
+
+    def broken(tab):
+        raise RuntimeError("ended")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(medallion, "clean_budgets", broken)
+        with pytest.raises(RuntimeError, match="ended"):
+            medallion.run(spark, str(raw), str(out), run_ts="T1")
+    staged = out / "_next" / "silver"
+    before = {p: p.stat().st_mtime_ns for p in (staged / "enseignants").iterdir()}
+    # Another file of enrolment: that entity is read again, the others are not.
+    text = (raw / "effectifs_eleves.csv").read_bytes()
+    (raw / "effectifs_eleves.csv").write_bytes(text.rsplit(b"\n", 3)[0])
+    cleaned = []
+
+    def counted(tab):
+        cleaned.append("budgets")
+        return clean_budgets(tab)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(medallion, "clean_budgets", counted)
+        job = medallion.run(spark, str(raw), str(out))
+    assert sorted(job.resumed) == ["enseignants", "etablissements"] and cleaned == ["budgets"]
+    assert job.run_ts == "T1" and not (out / "_next").exists()
+    kept = out / "silver" / "enseignants"
+    assert {p.name: p.stat().st_mtime_ns for p in kept.iterdir()} == {p.name: t for p, t in before.items()}
+    metrics = {(r[0], r[1]): r[2] for r in read_table(spark, f"{out}/metrics").collect()}
+    assert metrics["bronze_etablissements", "lignes_lues"] == 37
+    assert metrics["bronze_effectifs", "lignes_lues"] == 85 - 3
+    assert metrics["bronze_enseignants", "lignes_lues"] == 512
+    measured = {(r[0], r[1]) for r in read_table(spark, f"{out}/mesures").collect()}
+    assert ("clean_enseignants", "dates_illisibles") in measured
+    # A finished run leaves nothing to go on from.
+    assert medallion.run(spark, str(raw), str(out)).resumed == []
