@@ -18,7 +18,11 @@ SERIAL_LAST = 2958465
 
 def from_serial(text: Column) -> Column:
     """The day of a spreadsheet serial number, NULL for other text and beyond its range."""
-    days = F.when(text.rlike(SERIAL), text).try_cast("double")
+    return F.when(text.rlike(SERIAL), _serial_day(text))
+
+
+def _serial_day(digits: Column) -> Column:
+    days = digits.try_cast("double")
     return F.when(
         days.between(1, SERIAL_LAST), F.date_add(F.lit(SERIAL_ORIGIN).cast("date"), days.cast("int"))
     )
@@ -46,10 +50,13 @@ def to_date_coerce(col: Column, fmt: str | None = None) -> Column:
     if fmt is not None:
         return F.try_to_date(col, fmt)
     text = squish(col.cast("string"))
-    year = F.when(text.rlike(YEAR), F.try_to_date(text, "yyyy"))
-    serial = from_serial(F.when(~text.rlike(YEAR), text))
     iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text).try_cast("date")
-    return F.coalesce(year, serial, iso, F.try_to_date(text, DAY_FIRST))
+    # Digits are no other kind of date, so each pattern is asked once.
+    return (
+        F.when(text.rlike(YEAR), F.try_to_date(text, "yyyy"))
+        .when(text.rlike(SERIAL), _serial_day(text))
+        .otherwise(F.coalesce(iso, F.try_to_date(text, DAY_FIRST)))
+    )
 
 
 def iso_text(col: Column) -> Column:

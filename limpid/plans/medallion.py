@@ -291,7 +291,8 @@ def bronze_to_silver(run: Run, raw: Raw | RawFolder, canonical_region: bool = Fa
         run.silver("enseignants", clean_enseignants(by_status, schools, cut=cut))
 
     def clean_amounts() -> None:
-        run.silver("budgets", clean_budgets(bronze_tabs(run, raw.budgets, "budgets", [0])[0]))
+        rows = bronze_tabs(run, raw.budgets, "budgets", [0])[0]
+        run.silver("budgets", clean_budgets(rows, cut=cut))
 
     def enrolment() -> None:
         # The audit of filled rows carries the time text of its run.

@@ -19,7 +19,7 @@ from limpid.functions.numbers import to_count, to_number, to_year
 from limpid.functions.text import region_name, squish
 from limpid.operators.dedup import keep_first
 from limpid.operators.integrity import split_by_reference, split_marked
-from limpid.operators.missing import THRESHOLD, GapFacts, amount, gap_facts, handle_missing, zero_fill
+from limpid.operators.missing import THRESHOLD, GapFacts, amount, gap_facts, handle_missing
 from limpid.operators.profile import one_row_per
 from limpid.operators.union import tagged_union
 from limpid.sources.roworder import ROW_ORDER, drop_row_order
@@ -65,9 +65,12 @@ def _each(df: DataFrame, columns: Sequence[str], change: Callable[[Column], Colu
 
 def _with_dates(df: DataFrame, columns: Sequence[str], change: Callable[[Column], Column]) -> DataFrame:
     """Dates in place of text, and ``UNREAD``."""
-    there = _present(df, columns)
-    unread = [(F.col(c).isNotNull() & change(F.col(c)).isNull()).cast("int") for c in there]
-    return df.withColumns({**{c: change(F.col(c)) for c in there}, UNREAD: sum(unread, F.lit(0))})
+    # In a column of its own a cell is read once, for its date and for the count.
+    read = {c: f"_read_{c}" for c in _present(df, columns)}
+    tried = df.withColumns({name: change(F.col(c)) for c, name in read.items()})
+    unread = [(F.col(c).isNotNull() & F.col(name).isNull()).cast("int") for c, name in read.items()]
+    dates = {**{c: F.col(name) for c, name in read.items()}, UNREAD: sum(unread, F.lit(0))}
+    return tried.withColumns(dates).drop(*read.values())
 
 
 def _plain(frames: dict[str, DataFrame | None]) -> dict[str, DataFrame]:
@@ -151,16 +154,20 @@ def clean_enseignants(
     return CleanResult(kept.drop(UNREAD), rejects, checked=kept)
 
 
-def clean_budgets(df: DataFrame) -> CleanResult:
-    """Budgets: canonical regions, whole years, unknown amounts counted and set to 0."""
+def clean_budgets(df: DataFrame, cut: Cut = _no_cut) -> CleanResult:
+    """Budgets: canonical regions, whole years, unknown amounts counted and set to 0.
+
+    ``cut`` may write the rows with their amounts read; output and counts then share them.
+    """
     named = drop_row_order(snake_columns(df))
     tidy = _each(_each(named, ["region"], region_name), ["annee"], to_year)
     amounts = columns_with(tidy, "budget")
-    counted = {f"mises_a_zero_{c}": [F.count_if(amount(F.col(c)).isNull())] for c in amounts}
+    tidy = cut(_each(tidy, amounts, amount), "budgets")
+    counted = {f"mises_a_zero_{c}": [F.count_if(F.col(c).isNull())] for c in amounts}
     if "region" in tidy.columns:
         counted["regions_distinctes"] = [F.count_distinct("region")]
     measures = one_row_per(counted, tidy, ["value"]) if counted else None
     return CleanResult(
-        zero_fill(tidy, amounts),
+        _each(tidy, amounts, lambda c: F.coalesce(c, F.lit(0.0))),
         measures=measures and measures.withColumnRenamed("label", "metric"),
     )

@@ -151,6 +151,34 @@ def test_teachers(spark):
     assert rows(result.rejects["sans_etablissement"], "nom") == [("orphan here",)]
 
 
+def test_amounts_are_read_once_for_rows_and_counts(spark, tmp_path):
+    data = [("KARA", "2023", "10.5"), (" kara", "2023", " en attente"), ("Savanes", "x", "12d")]
+    written = []
+
+    def cut(df, name):
+        written.append(df.columns)
+        df.write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    result = clean_budgets(raw(spark, ["Région", "Annee", "Budget total"], data), cut=cut)
+    assert written == [["region", "annee", "budget_total"]]
+    assert rows(result.clean) == [("Kara", 2023, 0.0), ("Kara", 2023, 10.5), ("Savanes", None, 0.0)]
+    counts = {"mises_a_zero_budget_total": 2, "regions_distinctes": 2}
+    assert dict(tuple(r) for r in result.measures.collect()) == counts
+    plan = result.measures._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan.lower()
+
+
+def test_a_date_is_read_once_for_its_value_and_its_count(spark):
+    columns = ["Matricule", "Code établissement", "Date prise de poste"]
+    df = raw(spark, columns, [("T1", "E", "45000"), ("T2", "E", "2020"), ("T3", "E", "9999999"), ("T4", "E", "x")])
+    result = clean_enseignants({"titulaire": df})
+    found = {r["matricule"]: r["date_prise_de_poste"] for r in result.clean.collect()}
+    assert found == {"T1": "2023-03-15", "T2": "2020-01-01", "T3": None, "T4": None}
+    plan = result.checked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("dd/M/yyyy") + plan.count("d/M/yyyy") == 1
+
+
 def test_budgets(spark):
     columns = ["Région", "Annee", "Budget fonctionnement", "Budget investissement", "Budget total"]
     data = [

@@ -1,8 +1,14 @@
 from __future__ import annotations
 
+import datetime
+import io
+import re
 import subprocess
 import sys
+import zipfile
+from xml.etree import ElementTree
 
+import pyarrow as pa
 import pytest
 from pyspark import cloudpickle
 from pyspark.errors import PythonException
@@ -302,3 +308,81 @@ def test_task_code_needs_no_install_on_executors(tmp_path, headings_only):
         path.write_bytes(cloudpickle.dumps(function))
         load = f"import pickle; pickle.load(open({str(path)!r}, 'rb'))"
         subprocess.run([sys.executable, "-c", load], cwd=tmp_path, check=True, timeout=60)
+
+
+SHEET = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
+
+
+def with_sheet(change):
+    """A workbook of 3,000 rows, the text of its sheet changed."""
+    rows = [[f"T{i}", "a <b> & c", None if i % 7 else "", i] for i in range(3000)]
+    made = zipfile.ZipFile(io.BytesIO(workbook_bytes({"s": (["Code", "Note", "Vide", "Rang"], rows)})))
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as book:
+        for name in made.namelist():
+            text = made.read(name).decode()
+            book.writestr(name, change(text) if name.startswith("xl/worksheets/") else text)
+    return out.getvalue()
+
+
+def decoded(content):
+    batch = pa.RecordBatch.from_pydict({"path": ["f"], "content": pa.array([content], pa.binary())})
+    return [(r["row_no"], dict(r["cells"])) for b in _decoder(False)(iter([batch])) for r in b.to_pylist()]
+
+
+def plain_row(i):
+    note = {"Code": f"T{i}", "Note": "a <b> & c", "Rang": str(i)}
+    return i + 2, note if i % 7 else {**note, "Vide": ""}
+
+
+def test_rows_of_common_form_are_not_parsed_one_by_one(monkeypatch):
+    fed = []
+
+    class Counting(ElementTree.XMLParser):
+        def feed(self, data):
+            fed.append(len(data))
+            return super().feed(data)
+
+    sizes = []
+    content = with_sheet(lambda text: (sizes.append(len(text)), text)[1])
+    monkeypatch.setattr(ElementTree, "XMLParser", Counting)
+    assert decoded(content) == [plain_row(i) for i in range(3000)]
+    assert sum(fed) < sizes[0] / 4
+
+
+@pytest.mark.parametrize(
+    ("old", "new", "found"),
+    [
+        ('<c r="D2002"><v>2000</v></c>', '<c r="D2002"><v>2000</v></c><!-- </row> -->', {}),
+        ('<c r="D2002"><v>2000</v></c>', '<c r="D2002" t="str"><v>&#233;</v></c>', {"Rang": "é"}),
+        ('<c r="D2002"><v>2000</v></c>', '<c r="D2002" t="b"><v>1</v></c>', {"Rang": "True"}),
+        ('<c r="D2002"><v>2000</v></c>', '<c r="F2002" t="s"><v>1</v></c>', {"Rang": None, "Unnamed: 5": "Note"}),
+        ('<c r="D2002"><v>2000</v></c>', '<c r="D2002"><v>1</v></c><c r="D2002"><v>5</v></c>', {"Rang": "5"}),
+        ('<row r="2002">', "<row>", {}),
+    ],
+)
+def test_rows_of_other_forms_among_common_ones(old, new, found):
+    want = [plain_row(i) for i in range(3000)]
+    cells = {**want[2000][1], **found}
+    want[2000] = (2002, {k: v for k, v in cells.items() if v is not None})
+    assert decoded(with_sheet(lambda text: text.replace(old, new))) == want
+
+
+def test_heading_after_many_empty_rows():
+    empty = "".join(f'<row r="{i}"></row>' for i in range(1, 2000))
+
+    def later(text):
+        return re.sub(r'(<row r="|<c r="[A-Z])(\d+)', lambda m: f"{m[1]}{int(m[2]) + 2000}", text)
+
+    want = [(n + 2000, cells) for n, cells in map(plain_row, range(3000))]
+    assert decoded(with_sheet(lambda text: later(text).replace("<sheetData>", f"<sheetData>{empty}"))) == want
+
+
+def test_workbook_of_a_table_has_the_cells_of_its_rows():
+    days = [datetime.date(2020, 1, 2), None, datetime.date(1905, 5, 6)]
+    columns = {"t": ["x & <y>", None, "é"], "n": [1, 2, 3], "d": days, "f": [1.5, None, 2.0]}
+    parts = []
+    for rows in ([*zip(*columns.values())], pa.table(columns)):
+        book = zipfile.ZipFile(io.BytesIO(workbook_bytes({"s": ([*columns], rows)})))
+        parts.append({n: book.read(n) for n in book.namelist()})
+    assert parts[0] == parts[1]
