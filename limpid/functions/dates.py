@@ -48,16 +48,23 @@ def to_date_coerce(col: Column, fmt: str | None = None) -> Column:
     time part allowed, or day first.
     """
     if fmt is not None:
-        return F.try_to_date(col, fmt)
+        return _laid_out(col, fmt)
     text = squish(col.cast("string"))
     iso = F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), text).try_cast("date")
     # Digits are no other kind of date, so each pattern is asked once.
     return (
         F.when(text.rlike(YEAR), F.try_to_date(text, "yyyy"))
         .when(text.rlike(SERIAL), _serial_day(text))
-        .otherwise(F.coalesce(iso, F.try_to_date(text, DAY_FIRST)))
+        .otherwise(F.coalesce(iso, _laid_out(text, DAY_FIRST)))
     )
 
 
+def _laid_out(text: Column, fmt: str) -> Column:
+    """The date of a text in that layout. A text without its ``/`` is not tried: each failure costs
+    an exception in the parser."""
+    tried = F.try_to_date(text, fmt)
+    return F.when(F.contains(text, F.lit("/")), tried) if "/" in fmt else tried
+
+
 def iso_text(col: Column) -> Column:
-    return F.date_format(col, "yyyy-MM-dd")
+    return col.cast("date").cast("string")

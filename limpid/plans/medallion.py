@@ -60,8 +60,9 @@ from limpid.sources.tables import (
 )
 from limpid.sources.workbook import (
     decode_workbooks,
+    headings_of_tabs,
+    plain_headings,
     read_workbook_files,
-    tab_headings,
     workbook_tab,
 )
 
@@ -251,9 +252,9 @@ def bronze_tabs(
     run: Run, files: DataFrame, entity: str, sheets: Sequence[str | int]
 ) -> list[DataFrame]:
     """Decode the workbooks once; the headings come from a first-row decode."""
-    headings = decode_workbooks(files, headings_only=True)
-    names = [tab_headings(headings, sheet) for sheet in sheets]
-    rows = run.bronze(decode_workbooks(files), entity)
+    names = headings_of_tabs(decode_workbooks(files, headings_only=True), sheets)
+    columns = plain_headings(h for of_tab in names for h in of_tab)
+    rows = run.bronze(decode_workbooks(files, columns=columns), entity)
     return [workbook_tab(rows, sheet, cols) for sheet, cols in zip(sheets, names)]
 
 

@@ -18,7 +18,7 @@ from limpid.functions.names import columns_with, snake_columns
 from limpid.functions.numbers import to_count, to_number, to_year
 from limpid.functions.text import region_name, squish
 from limpid.operators.dedup import keep_first
-from limpid.operators.integrity import split_by_reference, split_marked
+from limpid.operators.integrity import split_marked
 from limpid.operators.missing import THRESHOLD, GapFacts, amount, gap_facts, handle_missing
 from limpid.operators.profile import one_row_per
 from limpid.operators.union import tagged_union
@@ -108,21 +108,23 @@ def clean_effectifs(
 ) -> CleanResult:
     """Enrolment: numbers from text, known schools only, gaps in ``nb_filles`` handled.
 
-    ``cut`` may write the linked rows to a table and read them back; several jobs
-    read them (rate, medians, output).
+    One join marks the known schools; ``cut`` may write the marked rows to a table and read
+    them back, as several jobs read them (rate, medians, output, orphans).
     """
     numbers = _each(
         drop_row_order(snake_columns(df, fold=False)), COUNTS, lambda c: to_number(c, grouped=True)
     )
-    linked, orphans = split_by_reference(numbers, dim, SCHOOL_KEY)
+    has_gaps = "nb_filles" in numbers.columns
+    linked, orphans = split_marked(
+        numbers, dim, SCHOOL_KEY, lambda df: cut(df, "effectifs") if has_gaps else df
+    )
     rejects: dict[str, DataFrame | None] = {"sans_etablissement": orphans}
     facts = None
-    if "nb_filles" in numbers.columns:
-        written = cut(linked, "effectifs")
+    if has_gaps:
         # A strategy that is given needs no rate, and no job while planning.
-        facts = gap_facts(written, "nb_filles") if strategy == "auto" else None
+        facts = gap_facts(linked, "nb_filles") if strategy == "auto" else None
         linked, audit, strategy = handle_missing(
-            written, "nb_filles", SCHOOL_KEY, threshold, strategy, run_ts, facts
+            linked, "nb_filles", SCHOOL_KEY, threshold, strategy, run_ts, facts
         )
         rejects["supprimes" if strategy == "delete" else "imputes"] = audit
     column = "nb_filles" if facts else None

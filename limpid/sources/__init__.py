@@ -15,6 +15,8 @@ from limpid.sources.tables import (
 from limpid.sources.workbook import (
     decode_tabs,
     decode_workbooks,
+    headings_of_tabs,
+    plain_headings,
     read_workbook_files,
     read_workbook_tab,
     tab_headings,
@@ -29,6 +31,8 @@ __all__ = [
     "decode_workbooks",
     "drop_row_order",
     "file_footers",
+    "headings_of_tabs",
+    "plain_headings",
     "read_delimited",
     "read_table",
     "read_table_if_any",

@@ -76,7 +76,13 @@ def raw_schools(spark, sf_dir) -> DataFrame:
 
 
 def thousands(number: Column) -> Column:
-    return F.translate(F.format_number(number, 0), ",", NBSP)
+    # The usual case needs no number format, which is slow.
+    parts = F.concat(F.floor(number / 1000), F.lit(NBSP), F.lpad((number % 1000).cast("string"), 3, "0"))
+    return (
+        F.when(number.between(0, 999), number.cast("string"))
+        .when(number.between(1000, 999_999), parts)
+        .otherwise(F.translate(F.format_number(number, 0), ",", NBSP))
+    )
 
 
 def raw_enrolment(spark, sf_dir, gap_below: int) -> DataFrame:
