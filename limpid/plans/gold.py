@@ -65,11 +65,21 @@ def effectifs_par_region(etab: DataFrame, eff: DataFrame) -> DataFrame:
 
 
 def _teachers(etab: DataFrame, yearly: DataFrame, ens: DataFrame) -> DataFrame:
-    # One row per school and year, so a teacher meets each year once.
-    active = _located(etab, yearly).select(SCHOOL, *GROUP)
-    posts = ens.select("matricule", SCHOOL)
-    counted = posts.join(active, SCHOOL).groupBy(*GROUP)
-    return counted.agg(F.count_distinct("matricule").alias("nb_enseignants"))
+    """Distinct teachers per (region, year).
+
+    A teacher with one post is counted at its school, and the school's count is added up over its
+    years; only teachers with several posts meet each year one by one.
+    """
+    active = _located(etab.select(SCHOOL, "region").distinct(), yearly).select(SCHOOL, *GROUP)
+    posts = ens.select("matricule", SCHOOL).dropna()
+    several = posts.groupBy("matricule").count().where("count > 1").select("matricule")
+    alone = posts.join(several, "matricule", "left_anti").groupBy(SCHOOL).count()
+    moving = posts.join(several, "matricule", "left_semi").distinct()
+    parts = [
+        alone.join(active, SCHOOL).groupBy(*GROUP).agg(F.sum("count").alias("_n")),
+        moving.join(active, SCHOOL).groupBy(*GROUP).agg(F.count_distinct("matricule").alias("_n")),
+    ]
+    return parts[0].unionByName(parts[1]).groupBy(*GROUP).agg(F.sum("_n").alias("nb_enseignants"))
 
 
 def enseignants_par_region(etab: DataFrame, eff: DataFrame, ens: DataFrame) -> DataFrame:
