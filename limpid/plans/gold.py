@@ -71,9 +71,10 @@ def _teachers(etab: DataFrame, yearly: DataFrame, ens: DataFrame) -> DataFrame:
     years; only teachers with several posts meet each year one by one.
     """
     active = _located(etab.select(SCHOOL, "region").distinct(), yearly).select(SCHOOL, *GROUP)
-    posts = ens.select("matricule", SCHOOL).dropna()
-    several = posts.groupBy("matricule").count().where("count > 1").select("matricule")
-    alone = posts.join(several, "matricule", "left_anti").groupBy(SCHOOL).count()
+    posts = ens.select("matricule", SCHOOL)
+    several = posts.dropna().groupBy("matricule").count().where("count > 1").select("matricule")
+    # A post without a number counts for nobody, but its region and year are there.
+    alone = posts.join(several, "matricule", "left_anti").groupBy(SCHOOL).agg(F.count("matricule").alias("count"))
     moving = posts.join(several, "matricule", "left_semi").distinct()
     parts = [
         alone.join(active, SCHOOL).groupBy(*GROUP).agg(F.sum("count").alias("_n")),
