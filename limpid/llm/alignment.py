@@ -8,8 +8,9 @@ pairs back and sums them per text. A pair crosses the shuffle once a block, not
 occurrence. Measures are joined to the rows by the text's 256-bit digest.
 
 Within a block, a stretch from one blank after a visible sign to the next is aligned once:
-tokens of both vocabularies end there, so no group reaches across. A text in which a stretch
-does not come back byte for byte is encoded whole.
+tokens of both vocabularies end there, so no group reaches across. For the same reason new
+stretches are encoded several to a line. The stretches met most often are remembered from
+block to block. A text in which a stretch does not come back byte for byte is encoded whole.
 """
 
 from __future__ import annotations
@@ -36,11 +37,15 @@ BLANK = "▁"
 # block to block.
 BLOCK_CHARS = 2 << 20
 SLICE_CHARS = 1 << 18
-REMEMBERED = 1 << 20
+REMEMBERED = 2 << 20
+# Stretches encoded as one line, and its characters at most.
+LINE = 16
+LINE_CHARS = 4096
 # Links of a group that are listed one by one; more are counted by pair first.
 FEW = 4096
 # A blank counts as a cut only after a sign that is no blank in either vocabulary.
 CUT = re.compile(f"(?<=[^\\s{BLANK}])(?= )")
+UNCUT = re.compile(f"[\\s{BLANK}] ")
 LOW = (1 << 32) - 1
 
 MEASURES = ("n_a", "n_b", "n_groups", "n_links")
@@ -78,6 +83,23 @@ class Units:
         ):
             column.frombytes(np.ascontiguousarray(values, np.int64).tobytes())
 
+    def spots(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(number of pairs of each unit, their places one after another)."""
+        starts = np.array(self.starts, np.int64)
+        size = np.diff(starts)[units]
+        return size, np.arange(size.sum()) + np.repeat(starts[units] - np.cumsum(size) + size, size)
+
+    def picked(self, units: np.ndarray) -> Units:
+        """These units alone, renumbered in the order given."""
+        size, at = self.spots(units)
+        out = Units()
+        out.extend(
+            [self.groups[k] for k in units.tolist()], np.frombuffer(self.sound, np.uint8)[units],
+            np.array(self.measures, np.int64).reshape(-1, 4)[units],
+            np.array(self.pairs, np.int64)[at], np.array(self.times, np.int64)[at], size,
+        )
+        return out
+
 
 class Tokenizers:
     """Both vocabularies in a task: ids of a text, and the bytes of each id."""
@@ -145,27 +167,52 @@ class Tokenizers:
         for of, length, ids in ((self.bytes_a, self.length_a, a), (self.bytes_b, self.length_b, b)):
             size, flat = self._flat(ids)
             until = np.concatenate([[0], np.cumsum(length[flat])])[np.cumsum(size)]
-            if (until != ends).any() or b"".join([of[i] for i in flat.tolist()]) != line:
+            if (until != ends).any() or b"".join(map(of.__getitem__, flat.tolist())) != line:
                 sound &= [b"".join([of[i] for i in x]) == r for x, r in zip(ids, raw, strict=True)]
         return sound
 
-    def align(self, units: Units, texts: list[str]) -> None:
-        """Add a unit per text, a slice of bounded size at a time."""
+    def _tokens(self, texts: list[str], each: int) -> tuple[tuple, tuple, np.ndarray]:
+        """(number of tokens of each text, their ids in a row) for A and for B, and which texts
+        come back byte for byte on both sides; the others have no tokens."""
+        # Up to ``each`` texts are encoded as one line if both vocabularies cut at every blank of it.
+        runs = []
+        for n in range(0, len(texts), each):
+            run = texts[n : n + each]
+            line = " ".join(run)
+            alone = len(line) > LINE_CHARS or BLANK in line or UNCUT.search(" " + line)
+            runs += [[t] for t in run] if alone else [run]
+        lines = [" ".join(run) for run in runs]
+        a, b = self.ids(lines)
+        fine, number = self._sound(lines, a, b), np.fromiter(map(len, runs), np.int64, len(runs))
+        if (number[~fine] > 1).any():
+            return self._tokens(texts, 1)
+        if not fine.all():
+            a, b = ([ids if ok else [] for ids, ok in zip(x, fine, strict=True)] for x in (a, b))
+        sound = np.repeat(fine, number)
+        sizes = map(len, texts) if all(map(str.isascii, lines)) else (len(t.encode()) for t in texts)
+        ends = np.cumsum((np.fromiter(sizes, np.int64, len(texts)) + 1) * sound)
+        sides = []
+        for ids, length in ((a, self.length_a), (b, self.length_b)):
+            flat = self._flat(ids)[1]
+            until = np.concatenate([[0], np.cumsum(length[flat])])
+            last = np.searchsorted(until, ends, side="right") - 1
+            if (until[last] != ends).any():
+                return self._tokens(texts, 1)
+            sides.append((np.diff(last, prepend=0), flat))
+        return *sides, sound
+
+    def align(self, units: Units, texts: list[str], each: int = LINE) -> None:
+        """Add a unit per text, a slice of bounded size at a time, up to ``each`` texts a line."""
         start, held = 0, 0
         for n, text in enumerate(texts):
             held += len(text)
             if held > SLICE_CHARS or n == len(texts) - 1:
-                self._align(units, texts[start : n + 1])
+                self._align(units, texts[start : n + 1], each)
                 start, held = n + 1, 0
 
-    def _align(self, units: Units, texts: list[str]) -> None:
+    def _align(self, units: Units, texts: list[str], each: int) -> None:
         """Add a unit per text: its groups between common ends."""
-        a, b = self.ids(texts)
-        sound = self._sound(texts, a, b)
-        if not sound.all():
-            a, b = ([ids if ok else [] for ids, ok in zip(x, sound, strict=True)] for x in (a, b))
-        (n_a, flat_a), (n_b, flat_b) = self._flat(a), self._flat(b)
-        del a, b
+        (n_a, flat_a), (n_b, flat_b), sound = self._tokens(texts, each)
         # All texts in one row of bytes: both sides end where a text ends.
         end_a, end_b = np.cumsum(self.length_a[flat_a]), np.cumsum(self.length_b[flat_b])
         place = np.searchsorted(end_b, end_a)
@@ -218,47 +265,69 @@ class Tokenizers:
         return [line[i : max(i, j - 1)] for i, j in zip(ends[:-1], ends[1:], strict=True)]
 
 
+class Numbers(dict):
+    """Numbers of stretches, written without the blank before them, in the order first met."""
+
+    def __init__(self, known: list[str]):
+        super().__init__(zip(known, range(len(known)), strict=True))
+        self.fresh: list[str] = []
+
+    def __missing__(self, stretch: str) -> int:
+        number = self[stretch] = len(self)
+        self.fresh.append(stretch)
+        return number
+
+
 class BlockAligner:
     """Aligns blocks of distinct texts; remembers stretches up to a bound."""
 
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers([])
         self.units = Units()
+        self.used = np.zeros(0, np.int64)
         self.held = 0
 
-    def _stretches(self, texts: list[str]) -> list[list[int]]:
-        """Numbers of the stretches of each text, all of them aligned."""
+    def _forget(self) -> None:
+        """Keep the stretches met most often, up to half of the bound; those met once go."""
+        known = list(self.number)
+        size = np.fromiter(map(len, known), np.int64, len(known)) + 1
+        order = np.argsort(-self.used, kind="stable")
+        kept = np.sort(order[(self.used[order] > 1) & (np.cumsum(size[order]) <= REMEMBERED // 2)])
+        self.number = Numbers([known[k] for k in kept.tolist()])
+        self.units = self.units.picked(kept)
+        self.used = self.used[kept] // 2
+        self.held = int(size[kept].sum())
+
+    def _stretches(self, texts: list[str]) -> tuple[list[list[int]], np.ndarray]:
+        """(numbers of the stretches of each text, the same in a row), all of them aligned."""
         if self.held > REMEMBERED:
             self._forget()
-        number, fresh, parts = self.number, [], []
+        number, parts = self.number, []
         for text in texts:
-            stretches = CUT.split(" " + text)
-            for stretch in stretches:
-                if stretch not in number:
-                    number[stretch] = len(number)
-                    fresh.append(stretch[1:])
-                    self.held += len(stretch)
-            parts.append([number[stretch] for stretch in stretches])
+            spaced = " " + text
+            # Without runs of blanks every blank is a cut.
+            stretches = [s[1:] for s in CUT.split(spaced)] if UNCUT.search(spaced) else text.split(" ")
+            parts.append(list(map(number.__getitem__, stretches)))
+        fresh, number.fresh = number.fresh, []
+        self.held += sum(map(len, fresh)) + len(fresh)
         self.tokenizers.align(self.units, fresh)
-        return parts
+        unit = np.fromiter(chain.from_iterable(parts), np.int64, sum(map(len, parts)))
+        self.used = np.bincount(unit, minlength=len(number)) + np.pad(self.used, (0, len(number) - len(self.used)))
+        return parts, unit
 
     def block(self, texts: list[str]) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray, np.ndarray]:
         """(measures, group strings, text of each link kind, its pair, its number of links)."""
-        parts, units = self._stretches(texts), self.units
-        lengths = np.array([len(p) for p in parts], np.int64)
-        unit = np.fromiter((k for p in parts for k in p), np.int64, lengths.sum())
-        owner = np.repeat(np.arange(len(texts)), lengths)
+        parts, unit = self._stretches(texts)
+        units = self.units
+        owner = np.repeat(np.arange(len(texts)), [len(p) for p in parts])
         odd = np.unique(owner[np.frombuffer(units.sound, np.uint8)[unit] == 0])
         measures, groups, owner, pair, times = self._summed(units, len(texts), parts, owner, unit)
         if not len(odd):
             return measures, groups, owner, pair, times
         # Texts in which a stretch does not come back are judged whole.
         whole = Units()
-        self.tokenizers.align(whole, [texts[n] for n in odd])
+        self.tokenizers.align(whole, [texts[n] for n in odd], 1)
         own = np.arange(len(odd))
         w_measures, w_groups, w_owner, w_pair, w_times = self._summed(whole, len(odd), own[:, None], own, own)
         measures[odd] = w_measures
@@ -273,7 +342,6 @@ class BlockAligner:
     @staticmethod
     def _summed(units: Units, n: int, parts, owner: np.ndarray, unit: np.ndarray):
         each = np.array(units.measures, np.int64).reshape(-1, 4)
-        starts = np.array(units.starts, np.int64)
         flat_pairs, flat_times = np.array(units.pairs, np.int64), np.array(units.times, np.int64)
         measures = np.zeros((n, 4), np.int64)
         np.add.at(measures, owner, each[unit])
@@ -281,10 +349,11 @@ class BlockAligner:
         kinds = len(units.groups) or 1
         both, again = np.unique(owner * kinds + unit, return_counts=True)
         owner, unit = both // kinds, both % kinds
-        size = np.diff(starts)[unit]
-        at = np.repeat(starts[unit] - np.concatenate([[0], np.cumsum(size)])[:-1], size) + np.arange(size.sum())
+        size, at = units.spots(unit)
         owner, pair, times = np.repeat(owner, size), flat_pairs[at], flat_times[at] * np.repeat(again, size)
-        order = np.lexsort((pair, owner))
+        # One sort: ids are far below 2 ** 21, and a block has fewer texts than that.
+        narrow = (pair >> 32) * ((pair & LOW).max(initial=0) + 1) + (pair & LOW)
+        order = np.argsort(owner * (narrow.max(initial=0) + 1) + narrow)
         owner, pair, times = owner[order], pair[order], times[order]
         new = np.ones(len(pair), bool)
         new[1:] = (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])

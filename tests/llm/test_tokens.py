@@ -165,6 +165,67 @@ def test_blocks_of_any_size_align_alike(short, monkeypatch, few, remembered, blo
         at += len(piece)
 
 
+class Heard(alignment.Tokenizers):
+    """Keeps what the libraries are asked to encode."""
+
+    def __init__(self):
+        super().__init__(BYTES, PIECES)
+        self.asked = []
+
+    def ids(self, texts):
+        self.asked.append(list(texts))
+        return super().ids(texts)
+
+
+def test_common_stretches_outlive_the_bound(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 400)
+    heard = Heard()
+    aligner = alignment.BlockAligner(heard)
+    for block in range(20):
+        rare = " ".join(f"rare{block}x{n}" for n in range(40))
+        measures, groups, _, _, _ = aligner.block([f"the of the of the of {rare} the of"])
+        n_a, n_b = (len(x[0]) for x in heard.ids([f"the of the of the of {rare} the of"]))
+        heard.asked.pop()
+        assert measures[0].tolist()[:2] == [n_a, n_b]
+        assert groups[0].count(";") + 1 == measures[0][2]
+        assert aligner.held < 1000
+    asked = " ".join(t for texts in heard.asked for t in texts).split(" ")
+    assert (asked.count("the"), asked.count("of")) == (1, 1)
+
+
+def test_stretches_are_encoded_in_lines():
+    heard = Heard()
+    alignment.BlockAligner(heard).block([" ".join(f"word{n}" for n in range(1000))])
+    assert sum(map(len, heard.asked)) <= 100
+
+
+def test_lines_with_a_text_that_does_not_come_back():
+    # The sign of a blank comes back as a blank; its neighbours in the line keep their tokens.
+    texts = ["one two", "a▁b c", "three", "", "four ", " five", "é  six"]
+    units, alone = alignment.Units(), alignment.Units()
+    both = alignment.Tokenizers(BYTES, PIECES)
+    both.align(units, texts)
+    for text in texts:
+        both.align(alone, [text])
+    assert (units.groups, units.sound, units.measures) == (alone.groups, alone.sound, alone.measures)
+    assert (units.pairs, units.times, units.starts) == (alone.pairs, alone.times, alone.starts)
+    assert units.sound == bytes([1, 0, 1, 1, 1, 1, 1])
+
+
+def test_lines_that_are_not_given_back_are_encoded_text_by_text():
+    class Dropping(Heard):
+        def ids(self, texts):
+            a, b = super().ids(texts)
+            return [x[:-1] if " " in t else x for t, x in zip(texts, a, strict=True)], b
+
+    texts = ["one", "twofold", "three", "über", "日本"]
+    dropping, units, alone = Dropping(), alignment.Units(), alignment.Units()
+    dropping.align(units, texts)
+    alignment.Tokenizers(BYTES, PIECES).align(alone, texts, 1)
+    assert [len(x) for x in dropping.asked] == [1, 5]
+    assert (units.groups, units.sound, units.pairs) == (alone.groups, bytes([1] * 5), alone.pairs)
+
+
 def test_alignment_of_long_texts_keeps_its_sums(spark):
     texts = ["a" * 4000, "日本" * 2000, "word " * 5000]
     table = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
