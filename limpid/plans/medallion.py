@@ -31,6 +31,7 @@ from limpid.operators import quality as Q
 from limpid.operators.missing import GapFacts, column_facts, run_stamp
 from limpid.plans import gold
 from limpid.plans.silver import (
+    BUDGETS_CUT,
     SCHOOL_KEY,
     STATUS_OF_TAB,
     UNREAD,
@@ -293,7 +294,8 @@ def bronze_to_silver(run: Run, raw: Raw | RawFolder, canonical_region: bool = Fa
 
     def clean_amounts() -> None:
         rows = bronze_tabs(run, raw.budgets, "budgets", [0])[0]
-        run.silver("budgets", clean_budgets(rows, cut=cut))
+        BUDGETS_CUT.set(cut)
+        run.silver("budgets", clean_budgets(rows))
 
     def enrolment() -> None:
         # The audit of filled rows carries the time text of its run.

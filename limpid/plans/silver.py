@@ -8,6 +8,7 @@ writing stay outside. Steps run only for the columns that exist.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextvars import ContextVar
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +39,10 @@ def _no_cut(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+# How a run cuts the lineage of the budgets; entities are cleaned each in its own context.
+BUDGETS_CUT: ContextVar[Cut] = ContextVar("budgets_cut", default=_no_cut)
+
+
 @dataclass(frozen=True)
 class CleanResult:
     """``rejects`` are rows by reason; ``measures`` is (metric, value), if any.
@@ -156,11 +161,13 @@ def clean_enseignants(
     return CleanResult(kept.drop(UNREAD), rejects, checked=kept)
 
 
-def clean_budgets(df: DataFrame, cut: Cut = _no_cut) -> CleanResult:
+def clean_budgets(df: DataFrame, cut: Cut | None = None) -> CleanResult:
     """Budgets: canonical regions, whole years, unknown amounts counted and set to 0.
 
-    ``cut`` may write the rows with their amounts read; output and counts then share them.
+    ``cut`` (``BUDGETS_CUT`` if not given) may write the rows with their amounts read; output
+    and counts then share them.
     """
+    cut = cut or BUDGETS_CUT.get()
     named = drop_row_order(snake_columns(df))
     tidy = _each(_each(named, ["region"], region_name), ["annee"], to_year)
     amounts = columns_with(tidy, "budget")
